@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydromart.operators import series, thresholds as th
+from hydromart.operators import series, tables, thresholds as th, versions as vers
 from hydromart.plans import marts, testbed
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -214,3 +214,283 @@ def q_min_history(spark, sf_dir):
 @register("ml_features", with_ctes(*FEATURE_CHAIN) + "SELECT * FROM features")
 def q_ml_features(spark, sf_dir):
     return build_ml_features(spark, sf_dir)
+
+
+# --------------------------------------------------------------------------- M1: versioned raw
+# events as a raw versioned table: key (user_id, day, event_type), load instant = ts,
+# tie-break event_id; morning rows are the stored table, afternoon rows the incoming load.
+EV_KEYS = ["user_id", "date", "event_type"]
+EV_ORDER = ["ts", "event_id"]
+EV_COLS = ["user_id", "date", "event_type", "event_id", "ts", "value", "props"]
+
+SQL_EV = """
+ev AS (
+  SELECT user_id, CAST(ts AS DATE) AS date, event_type, event_id, ts, value, props,
+         CASE WHEN hour(ts) < 12 THEN 'am' ELSE 'pm' END AS batch_id
+  FROM events
+),
+ev_old AS (SELECT * FROM ev WHERE batch_id = 'am'),
+ev_new AS (SELECT * FROM ev WHERE batch_id = 'pm'),
+cur_old AS (
+  SELECT * FROM ev_old
+  QUALIFY row_number() OVER (PARTITION BY user_id, date, event_type
+                             ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) = 1
+),
+load_new AS (
+  SELECT * FROM ev_new
+  QUALIFY row_number() OVER (PARTITION BY user_id, date, event_type
+                             ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) = 1
+)"""
+
+
+def events_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = testbed.table(spark, sf_dir, "events")
+    return ev.select("user_id", F.to_date("ts").alias("date"), "event_type", "event_id", "ts", "value",
+                     "props", F.when(F.hour("ts") < 12, "am").otherwise("pm").alias("batch_id"))
+
+
+def _ev_split(spark, sf_dir):
+    raw = events_raw(spark, sf_dir)
+    return raw.where(F.col("batch_id") == "am"), raw.where(F.col("batch_id") == "pm")
+
+
+def _ev_hash(df: DataFrame) -> DataFrame:
+    return df.withColumn("row_hash", vers.content_hash(["user_id", "date", "event_type", "value"]))
+
+
+@register("latest_version", with_ctes(SQL_EV) + """
+SELECT user_id, date, event_type, event_id, ts, value, props FROM ev
+QUALIFY row_number() OVER (PARTITION BY user_id, date, event_type
+                           ORDER BY ts DESC NULLS LAST, event_id DESC NULLS LAST) = 1""")
+def q_latest_version(spark, sf_dir):
+    raw = events_raw(spark, sf_dir).drop("batch_id")
+    return vers.latest_versions(raw, EV_KEYS, EV_ORDER).select(*EV_COLS)
+
+
+@register("current_in_batch", with_ctes(SQL_EV) + """
+SELECT c.user_id, c.date, c.event_type, c.event_id, c.ts, c.value, c.props FROM cur_old c
+WHERE EXISTS (SELECT 1 FROM ev_new n WHERE n.user_id = c.user_id AND n.date = c.date
+              AND n.event_type = c.event_type)""")
+def q_current_in_batch(spark, sf_dir):
+    old, new = _ev_split(spark, sf_dir)
+    cur = vers.current_for_batch(old.drop("batch_id"), new, EV_KEYS, EV_ORDER)
+    return cur.select(*EV_COLS)
+
+
+@register("batch_conflicts", with_ctes(SQL_EV) + """
+SELECT user_id, date, event_type, count(DISTINCT value) AS n_versions, count(*) AS n_rows
+FROM ev_new GROUP BY user_id, date, event_type HAVING count(DISTINCT value) > 1""")
+def q_batch_conflicts(spark, sf_dir):
+    _, new = _ev_split(spark, sf_dir)
+    return vers.batch_conflicts(_ev_hash(new), EV_KEYS)
+
+
+@register("append_changed", with_ctes(SQL_EV) + """
+SELECT n.user_id, n.date, n.event_type, n.event_id, n.value
+FROM load_new n LEFT JOIN cur_old o USING (user_id, date, event_type)
+WHERE o.value IS DISTINCT FROM n.value""")
+def q_append_changed(spark, sf_dir):
+    old, new = _ev_split(spark, sf_dir)
+    incoming = _ev_hash(vers.latest_versions(new, EV_KEYS, EV_ORDER))
+    plan = vers.plan_load(_ev_hash(old), incoming, EV_KEYS, EV_ORDER)
+    return plan["to_append"].select("user_id", "date", "event_type", "event_id", "value")
+
+
+@register("rejected_keys", """
+SELECT event_id, CAST(value AS VARCHAR) AS code_insee, 'code_insee too long' AS reason
+FROM events WHERE length(trim(CAST(value AS VARCHAR))) > 5""")
+def q_rejected_keys(spark, sf_dir):
+    # The incoming code is the text of ``value`` (4 to 6 characters), so the length rule
+    # fires on real rows; dates come from the timestamp text, the measure from event_type.
+    ev = testbed.table(spark, sf_dir, "events").select(
+        "event_id", F.col("value").cast("string").alias("code_insee"),
+        F.col("ts").cast("string").alias("date"), "event_type")
+    out = vers.normalise_keys(ev, "code_insee", "date", ["event_type"])
+    return out["rejected"].select("event_id", "code_insee", "reason")
+
+
+@register("version_chain_aba", """
+WITH v AS (
+  SELECT user_id, CAST(ts AS DATE) AS date, event_type, event_id, round(value, -1) AS content,
+         lag(round(value, -1)) OVER w AS prev, row_number() OVER w AS rn
+  FROM events
+  WINDOW w AS (PARTITION BY user_id, CAST(ts AS DATE), event_type ORDER BY ts, event_id)
+)
+SELECT user_id, date, event_type, event_id, content FROM v
+WHERE rn = 1 OR content IS DISTINCT FROM prev""")
+def q_version_chain_aba(spark, sf_dir):
+    raw = events_raw(spark, sf_dir).withColumn("content", F.round("value", -1))
+    return (vers.version_changes(raw, EV_KEYS, EV_ORDER, "content")
+            .select("user_id", "date", "event_type", "event_id", "content"))
+
+
+@register("rollback_batch", with_ctes(SQL_EV) + """
+SELECT user_id, date, event_type, event_id, ts, value, props FROM cur_old""")
+def q_rollback_batch(spark, sf_dir):
+    restored = tables.rollback_batch(events_raw(spark, sf_dir), "pm")
+    return vers.latest_versions(restored.drop("batch_id"), EV_KEYS, EV_ORDER).select(*EV_COLS)
+
+
+# orders as a target table; the load re-delivers 1996 onwards with every order marked F.
+SQL_ORD = """
+tgt AS (
+  SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
+         md5(concat(o_orderstatus, '|', CAST(o_totalprice AS VARCHAR))) AS row_hash
+  FROM orders WHERE o_orderdate < TIMESTAMP '1997-01-01'
+),
+src AS (
+  SELECT o_orderkey, o_custkey, 'F' AS o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
+         md5(concat('F', '|', CAST(o_totalprice AS VARCHAR))) AS row_hash
+  FROM orders WHERE o_orderdate >= TIMESTAMP '1996-01-01'
+)"""
+ORD_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "row_hash"]
+
+
+def _orders_halves(spark, sf_dir):
+    o = testbed.table(spark, sf_dir, "orders")
+
+    def shaped(df, status):
+        return df.select("o_orderkey", "o_custkey", status.alias("o_orderstatus"), "o_totalprice",
+                         F.to_date("o_orderdate").alias("o_orderdate")).withColumn(
+            "row_hash", F.md5(F.concat_ws("|", "o_orderstatus", F.col("o_totalprice").cast("string"))))
+    tgt = shaped(o.where(F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp")), F.col("o_orderstatus"))
+    src = shaped(o.where(F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp")), F.lit("F"))
+    return tgt, src
+
+
+@register("upsert", with_ctes(SQL_ORD) + """
+SELECT * FROM tgt WHERE o_orderkey NOT IN (SELECT o_orderkey FROM src)
+UNION ALL SELECT * FROM src""")
+def q_upsert(spark, sf_dir):
+    tgt, src = _orders_halves(spark, sf_dir)
+    return tables.upsert(tgt, src, ["o_orderkey"])
+
+
+@register("upsert_counts", with_ctes(SQL_ORD) + """
+SELECT count(*) FILTER (WHERE t.o_orderkey IS NULL) AS inserted,
+       count(*) FILTER (WHERE t.o_orderkey IS NOT NULL) AS updated
+FROM src s LEFT JOIN tgt t USING (o_orderkey)""")
+def q_upsert_counts(spark, sf_dir):
+    tgt, src = _orders_halves(spark, sf_dir)
+    return tables.upsert_counts(tgt, src, ["o_orderkey"])
+
+
+@register("upsert_changed_only", with_ctes(SQL_ORD) + """
+SELECT CASE WHEN s.o_orderkey IS NULL OR t.row_hash IS NOT DISTINCT FROM s.row_hash
+            THEN t.o_orderkey ELSE s.o_orderkey END AS o_orderkey,
+       CASE WHEN s.o_orderkey IS NULL OR t.row_hash IS NOT DISTINCT FROM s.row_hash
+            THEN t.o_custkey ELSE s.o_custkey END AS o_custkey,
+       CASE WHEN s.o_orderkey IS NULL OR t.row_hash IS NOT DISTINCT FROM s.row_hash
+            THEN t.o_orderstatus ELSE s.o_orderstatus END AS o_orderstatus,
+       CASE WHEN s.o_orderkey IS NULL OR t.row_hash IS NOT DISTINCT FROM s.row_hash
+            THEN t.o_totalprice ELSE s.o_totalprice END AS o_totalprice,
+       CASE WHEN s.o_orderkey IS NULL OR t.row_hash IS NOT DISTINCT FROM s.row_hash
+            THEN t.o_orderdate ELSE s.o_orderdate END AS o_orderdate,
+       CASE WHEN s.o_orderkey IS NULL OR t.row_hash IS NOT DISTINCT FROM s.row_hash
+            THEN t.row_hash ELSE s.row_hash END AS row_hash,
+       CASE WHEN s.o_orderkey IS NULL THEN 'keep' WHEN t.o_orderkey IS NULL THEN 'insert'
+            WHEN t.row_hash IS NOT DISTINCT FROM s.row_hash THEN 'keep' ELSE 'update' END AS _action
+FROM tgt t FULL OUTER JOIN src s ON t.o_orderkey = s.o_orderkey""")
+def q_upsert_changed_only(spark, sf_dir):
+    tgt, src = _orders_halves(spark, sf_dir)
+    return tables.upsert_changed_only(tgt, src, ["o_orderkey"])
+
+
+# --------------------------------------------------------------------------- M3: incremental + resume
+SQL_INC = """
+src_obs AS (
+  SELECT md5(concat(code_station, '|', CAST(date_obs_elab AS VARCHAR))) AS row_hash,
+         code_station, date_obs_elab AS date, resultat_obs_elab, code_qualification
+  FROM obs
+),
+mart AS (SELECT * FROM src_obs WHERE date < DATE '2001-01-01' AND code_qualification = '20')"""
+
+
+def _inc_frames(spark, sf_dir):
+    from hydromart.functions.codes import identity_hash
+    obs = testbed.river_observations(spark, sf_dir)
+    src = obs.select(identity_hash("code_station", "date_obs_elab").alias("row_hash"), "code_station",
+                     F.col("date_obs_elab").alias("date"), "resultat_obs_elab", "code_qualification")
+    # The stored mart predates 2001 and never received the rows flagged '10' (withheld keys).
+    mart = src.where((F.col("date") < F.lit("2001-01-01").cast("date")) & (F.col("code_qualification") == "20"))
+    return src, mart
+
+
+@register("incremental_mart", with_ctes(SQL_OBS, SQL_INC) + """
+SELECT * FROM src_obs m
+WHERE date >= (SELECT max(date) FROM mart) - INTERVAL 35 DAY
+   OR NOT EXISTS (SELECT 1 FROM mart t WHERE t.row_hash = m.row_hash)""")
+def q_incremental_mart(spark, sf_dir):
+    src, mart = _inc_frames(spark, sf_dir)
+    return tables.incremental_rows(src, mart, "date", "row_hash", 35)
+
+
+# Resume windows: customers are the entities, their orders the loaded history.
+RESUME_TODAY, RESUME_FLOOR = "2001-08-10", "1995-01-01"
+SQL_RESUME = """
+last AS (SELECT o_custkey AS c_custkey, max(CAST(o_orderdate AS DATE)) AS last_date FROM orders GROUP BY 1),
+plan AS (
+  SELECT c.c_custkey, l.last_date,
+         CASE WHEN l.last_date IS NULL THEN DATE '1995-01-01'
+              ELSE greatest(least(DATE '2001-08-03' - INTERVAL 35 DAY, l.last_date + INTERVAL 1 DAY),
+                            DATE '1995-01-01') END::DATE AS start_date,
+         DATE '2001-08-03' AS end_date
+  FROM (SELECT DISTINCT c_custkey FROM customer WHERE c_custkey IS NOT NULL) c LEFT JOIN last l USING (c_custkey)
+)"""
+
+
+def _resume(spark, sf_dir):
+    cust = testbed.table(spark, sf_dir, "customer").select("c_custkey")
+    loaded = testbed.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("c_custkey"), F.to_date("o_orderdate").alias("date"))
+    end = vers.resume_end(RESUME_TODAY)
+    return vers.resume_plan(cust, loaded, "c_custkey", "date", end, RESUME_FLOOR)
+
+
+@register("resume_plan", with_ctes(SQL_RESUME) + "SELECT * FROM plan WHERE start_date <= end_date")
+def q_resume_plan(spark, sf_dir):
+    return _resume(spark, sf_dir)
+
+
+@register("resume_global", """
+WITH a AS (SELECT max(CAST(l_shipdate AS DATE)) AS last_obs FROM lineitem),
+     b AS (SELECT max(CAST(o_orderdate AS DATE)) AS last_weather FROM orders)
+SELECT last_obs, last_weather, least(last_obs, last_weather) AS last_common,
+       least(DATE '2001-08-03' - INTERVAL 35 DAY, least(last_obs, last_weather) + INTERVAL 1 DAY)::DATE
+         AS start_date
+FROM a CROSS JOIN b""")
+def q_resume_global(spark, sf_dir):
+    a = vers.global_last_date(testbed.table(spark, sf_dir, "lineitem")
+                              .select(F.to_date("l_shipdate").alias("d")), "d").withColumnRenamed("last_date", "last_obs")
+    b = vers.global_last_date(testbed.table(spark, sf_dir, "orders")
+                              .select(F.to_date("o_orderdate").alias("d")), "d").withColumnRenamed("last_date", "last_weather")
+    both = a.crossJoin(b).withColumn("last_common", F.least("last_obs", "last_weather"))
+    return both.withColumn("start_date", vers.resume_start("last_common", vers.resume_end(RESUME_TODAY)))
+
+
+@register("month_chunks", """
+WITH w AS (
+  SELECT o_orderpriority AS grandeur,
+         least(DATE '2001-08-03' - INTERVAL 35 DAY, max(CAST(o_orderdate AS DATE)) + INTERVAL 1 DAY)::DATE AS start_date,
+         DATE '2001-08-03' AS end_date
+  FROM orders GROUP BY 1
+),
+m AS (
+  SELECT w.*, CAST(unnest(generate_series(date_trunc('month', start_date), date_trunc('month', end_date),
+                                          INTERVAL 1 MONTH)) AS DATE) AS mois
+  FROM w
+),
+ledger AS (SELECT DISTINCT o_orderpriority AS grandeur, CAST(date_trunc('month', o_orderdate) AS DATE) AS mois
+           FROM orders WHERE o_orderstatus = 'F')
+SELECT grandeur, start_date, end_date, mois, greatest(mois, start_date) AS chunk_start,
+       least(last_day(mois), end_date) AS chunk_end
+FROM m WHERE NOT EXISTS (SELECT 1 FROM ledger l WHERE l.grandeur = m.grandeur AND l.mois = m.mois)""")
+def q_month_chunks(spark, sf_dir):
+    o = testbed.table(spark, sf_dir, "orders")
+    end = vers.resume_end(RESUME_TODAY)
+    win = (o.groupBy(F.col("o_orderpriority").alias("grandeur"))
+           .agg(F.max(F.to_date("o_orderdate")).alias("last"))
+           .select("grandeur", vers.resume_start("last", end).alias("start_date"), end.alias("end_date")))
+    ledger = (o.where(F.col("o_orderstatus") == "F")
+              .select(F.col("o_orderpriority").alias("grandeur"), F.trunc("o_orderdate", "MM").alias("mois")))
+    return vers.pending_chunks(vers.month_chunks(win), ledger, ["grandeur", "mois"])

@@ -494,3 +494,142 @@ def q_month_chunks(spark, sf_dir):
     ledger = (o.where(F.col("o_orderstatus") == "F")
               .select(F.col("o_orderpriority").alias("grandeur"), F.trunc("o_orderdate", "MM").alias("mois")))
     return vers.pending_chunks(vers.month_chunks(win), ledger, ["grandeur", "mois"])
+
+
+# --------------------------------------------------------------------------- M2: staging and dimensions
+from hydromart.functions import codes as fc, temporal as ft  # noqa: E402
+from hydromart.plans import staging  # noqa: E402
+
+SQL_KEY = "regexp_replace(lower(strip_accents({x})), '['' -]', '', 'g')"
+
+
+@register("fuzzy_place_join", f"""
+WITH d AS (SELECT doc_id, lang, {SQL_KEY.format(x='text')} AS k FROM documents),
+c AS (SELECT k, lang, min(doc_id) AS canonical_id FROM d GROUP BY k, lang)
+SELECT d.doc_id, d.lang, c.canonical_id FROM d LEFT JOIN c USING (k, lang)""")
+def q_fuzzy_place_join(spark, sf_dir):
+    # Whole document texts act as place names and ``lang`` as the department: every text is
+    # matched to the canonical (smallest id) text with the same accent-free key.
+    docs = testbed.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    seed = (docs.groupBy(fc.place_key("text").alias("name"), F.col("lang").alias("dept"))
+            .agg(F.min("doc_id").alias("canonical_id")))
+    seed = seed.withColumn("_plain", F.col("name"))  # key already normalised; place_key is idempotent
+    out = marts.place_join(docs, seed, F.col("text"), F.col("_plain"), F.col("lang"), F.col("dept"),
+                           {"canonical_id": "canonical_id"})
+    return out.select("doc_id", "lang", "canonical_id")
+
+
+@register("padded_code_join", """
+SELECT c.c_custkey, n.code_insee, n.n_name, n.departement
+FROM customer c LEFT JOIN (
+  SELECT lpad(CAST(n_nationkey AS VARCHAR), 5, '0') AS code_insee, n_name,
+         lpad(CAST(n_regionkey AS VARCHAR), 2, '0') AS departement FROM nation) n
+ON lpad(trim(CAST(c.c_nationkey AS VARCHAR)), 5, '0') = n.code_insee""")
+def q_padded_code_join(spark, sf_dir):
+    cust = testbed.table(spark, sf_dir, "customer").select(
+        "c_custkey", fc.pad_code("c_nationkey", 5).alias("code_insee"))
+    nat = testbed.table(spark, sf_dir, "nation").select(
+        fc.pad_code("n_nationkey", 5).alias("code_insee"), "n_name",
+        fc.pad_code("n_regionkey", 2).alias("departement"))
+    return cust.join(nat, "code_insee", "left").select("c_custkey", "code_insee", "n_name", "departement")
+
+
+CUTOVER = "1998-01-01"
+
+
+@register("union_cutover", """
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, o_totalprice, 'history' AS source
+FROM orders WHERE CAST(o_orderdate AS DATE) < DATE '1998-01-01'
+UNION ALL
+SELECT o_orderkey, CAST(o_orderdate AS DATE) AS date, o_totalprice, 'daily' AS source
+FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1998-01-01'""")
+def q_union_cutover(spark, sf_dir):
+    o = testbed.table(spark, sf_dir, "orders").select(
+        "o_orderkey", F.to_date("o_orderdate").alias("date"), "o_totalprice")
+    hist = o.where(F.col("date") < ft.as_date(CUTOVER)).withColumn("source", F.lit("history"))
+    daily = o.where(F.col("date") >= ft.as_date(CUTOVER)).select(
+        "date", "o_totalprice", "o_orderkey", F.lit("daily").alias("source"))  # other column order
+    return hist.unionByName(daily)
+
+
+@register("dim_date", """
+WITH b AS (SELECT min(CAST(l_shipdate AS DATE)) AS s, max(CAST(l_shipdate AS DATE)) AS e FROM lineitem),
+d AS (SELECT CAST(unnest(generate_series(s, e, INTERVAL 1 DAY)) AS DATE) AS date FROM b)
+SELECT date, CAST(year(date) AS INTEGER) AS annee, CAST(quarter(date) AS INTEGER) AS trimestre,
+       CAST(month(date) AS INTEGER) AS mois, CAST(strftime(date, '%U') AS INTEGER) AS semaine,
+       CAST(day(date) AS INTEGER) AS jour, CAST(dayofweek(date) + 1 AS INTEGER) AS jour_semaine
+FROM d""")
+def q_dim_date(spark, sf_dir):
+    li = testbed.table(spark, sf_dir, "lineitem")
+    bounds = li.agg(F.min(F.to_date("l_shipdate")).alias("start"), F.max(F.to_date("l_shipdate")).alias("end"))
+    return marts.dim_date_between(bounds)
+
+
+@register("dim_commune", """
+SELECT DISTINCT lpad(trim(CAST(n.n_nationkey AS VARCHAR)), 5, '0') AS code_insee, n.n_name AS ville,
+       lpad(trim(CAST(n.n_regionkey AS VARCHAR)), 2, '0') AS numero_departement, r.r_name AS region,
+       42.0 + ((n.n_nationkey * 37) % 900) / 100.0 AS latitude,
+       -5.0 + ((n.n_nationkey * 53) % 1300) / 100.0 AS longitude, r.r_name AS departement
+FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""")
+def q_dim_commune(spark, sf_dir):
+    return marts.dim_commune(testbed.commune_seed(spark, sf_dir))
+
+
+@register("dim_departement", """
+SELECT DISTINCT CASE WHEN upper(trim(CAST(n.n_regionkey AS VARCHAR))) IN ('2A', '2B')
+                     THEN upper(trim(CAST(n.n_regionkey AS VARCHAR)))
+                     ELSE lpad(trim(CAST(n.n_regionkey AS VARCHAR)), 2, '0') END AS code_departement,
+       trim(r.r_name) AS departement, trim(r.r_name) AS region
+FROM nation n JOIN region r ON n.n_regionkey = r.r_regionkey""")
+def q_dim_departement(spark, sf_dir):
+    return marts.dim_departement(testbed.commune_seed(spark, sf_dir))
+
+
+@register("dim_observed", """
+SELECT CAST(s_suppkey AS VARCHAR) AS code_station, s_name AS libelle_station,
+       lpad(CAST(s_nationkey AS VARCHAR), 5, '0') AS code_commune_station
+FROM supplier WHERE s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_suppkey IS NOT NULL)""")
+def q_dim_observed(spark, sf_dir):
+    sup = testbed.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("code_station"), F.col("s_name").alias("libelle_station"),
+        fc.pad_code("s_nationkey", 5).alias("code_commune_station"))
+    observed = testbed.table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("string").alias("code_station"))
+    return marts.dim_station(sup, observed)
+
+
+@register("sentinel_dates", """
+SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '1996-01-01' THEN NULL
+                        ELSE CAST(o_orderdate AS DATE) END AS date_ouverture
+FROM orders""")
+def q_sentinel_dates(spark, sf_dir):
+    # The sentinel floor is a parameter; on this data 1996-01-01 makes earlier dates sentinels.
+    o = testbed.table(spark, sf_dir, "orders")
+    return o.select("o_orderkey", ft.sentinel_date("o_orderdate", "1996-01-01").alias("date_ouverture"))
+
+
+@register("identity_hash", """
+SELECT DISTINCT md5(concat(CAST(l_suppkey AS VARCHAR), '|', CAST(CAST(l_shipdate AS DATE) AS VARCHAR), '|', 'HIXnJ'))
+         AS row_hash, CAST(l_suppkey AS VARCHAR) AS code_station, CAST(l_shipdate AS DATE) AS date_obs_elab
+FROM lineitem""")
+def q_identity_hash(spark, sf_dir):
+    li = testbed.table(spark, sf_dir, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("code_station"), F.to_date("l_shipdate").alias("date_obs_elab"))
+    return li.select(fc.identity_hash("code_station", F.col("date_obs_elab").cast("string"),
+                                      F.lit(staging.RIVER_MEASURE)).alias("row_hash"),
+                     "code_station", "date_obs_elab").distinct()
+
+
+@register("clean_risk_rows", """
+SELECT trim(CAST(l.doc_id AS VARCHAR)) AS code_insee, trim(d.lang) AS commune,
+       trim(CAST(l.quality AS VARCHAR)) AS classe_frequence
+FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id
+WHERE l.doc_id IS NOT NULL AND trim(CAST(l.doc_id AS VARCHAR)) <> ''
+  AND trim(CAST(l.doc_id AS VARCHAR)) <> 'Code_INSEE'""")
+def q_clean_risk_rows(spark, sf_dir):
+    # documents ⟕ labels is a risk file with all-NULL codes for unlabelled documents.
+    d = testbed.table(spark, sf_dir, "documents").select("doc_id", "lang")
+    lab = testbed.table(spark, sf_dir, "labels").select(F.col("doc_id").alias("l_doc_id"), "quality")
+    raw = d.join(lab, d.doc_id == lab.l_doc_id, "left").select(
+        F.col("l_doc_id").cast("string").alias("code_insee"), F.col("lang").alias("commune"),
+        F.col("quality").cast("string").alias("frequence"))
+    return staging.stg_risk_frequency(raw)

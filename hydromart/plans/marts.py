@@ -100,3 +100,20 @@ def ml_features(fct_hydro: DataFrame, stations: DataFrame, weather: DataFrame,
                     & F.col("humidite_sol").isNotNull())
              .withColumn("mois", F.month("date")))
     return min_history(joint, "code_station", min_rows).select(*ML_FEATURE_COLUMNS)
+
+
+def dim_date_between(bounds: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
+    """MD-08 with data-derived bounds: ``bounds`` is a one-row frame (e.g. min/max of a fact)."""
+    days = bounds.select(F.explode(F.sequence(F.col(start), F.col(end))).alias("date"))
+    return days.select("date", *[c.alias(k) for k, c in calendar_parts("date").items()])
+
+
+def place_join(left: DataFrame, seed: DataFrame, left_name, seed_name, left_dept, seed_dept,
+               seed_cols: dict) -> DataFrame:
+    """JN-01: left join on (accent-free place key, department); ``seed_cols`` maps output names
+    to seed columns. The seed should be unique on its keys (check with ``quality.dq_grain``)."""
+    from hydromart.functions.codes import place_key
+    l = left.withColumns({"_name_key": place_key(left_name), "_dept": left_dept})
+    s = seed.select(place_key(seed_name).alias("_name_key"), seed_dept.alias("_dept"),
+                    *[F.col(v).alias(k) for k, v in seed_cols.items()])
+    return l.join(s, ["_name_key", "_dept"], "left").drop("_name_key", "_dept")

@@ -78,3 +78,23 @@ def communes(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFra
     """The commune dimension matching ``station_directory``."""
     d = station_directory(spark, sf_dir, grain)
     return d.select(F.col("code_commune_station").alias("code_insee")).distinct()
+
+
+def derived_lat(key) -> F.Column:
+    """Coordinates derived from integer keys (whole 0.01-degree steps) for the geo operators."""
+    return F.lit(42.0) + F.pmod(F.col(key) * 37, F.lit(900)) / 100.0
+
+
+def derived_lon(key) -> F.Column:
+    return F.lit(-5.0) + F.pmod(F.col(key) * 53, F.lit(1300)) / 100.0
+
+
+def commune_seed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The commune reference file's shape from nation ⋈ region (SEED_COMMUNES columns)."""
+    nat, reg = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    return nat.join(reg, nat.n_regionkey == reg.r_regionkey).select(
+        F.col("n_name").alias("Commune"), derived_lat("n_nationkey").alias("Latitude"),
+        derived_lon("n_nationkey").alias("Longitude"), F.col("r_name").alias("Region"),
+        F.col("r_name").alias("Departement"), F.col("n_regionkey").cast("string").alias("Numero_Departement"),
+        F.lit("service").alias("Service"), F.col("n_nationkey").cast("string").alias("code_INSEE"),
+        F.lit(None).cast("string").alias("Centroide"))

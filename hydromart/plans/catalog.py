@@ -633,3 +633,61 @@ def q_clean_risk_rows(spark, sf_dir):
         F.col("l_doc_id").cast("string").alias("code_insee"), F.col("lang").alias("commune"),
         F.col("quality").cast("string").alias("frequence"))
     return staging.stg_risk_frequency(raw)
+
+
+# --------------------------------------------------------------------------- M5: geo
+from hydromart.operators import geo  # noqa: E402
+
+SQL_GEO = """
+co AS (SELECT CAST(c_custkey AS VARCHAR) AS code_insee,
+              42.0 + ((c_custkey * 37) % 900) / 100.0 AS lat, -5.0 + ((c_custkey * 53) % 1300) / 100.0 AS lon
+       FROM customer),
+st AS (SELECT CAST(s_suppkey AS VARCHAR) AS code_station,
+              42.0 + ((s_suppkey * 71) % 900) / 100.0 AS lat, -5.0 + ((s_suppkey * 29) % 1300) / 100.0 AS lon
+       FROM supplier),
+d AS (
+  SELECT co.code_insee, st.code_station,
+         2 * 6371008.8 * asin(sqrt(least(1.0,
+            pow(sin((radians(st.lat) - radians(co.lat)) / 2), 2)
+            + cos(radians(co.lat)) * cos(radians(st.lat)) * pow(sin((radians(st.lon) - radians(co.lon)) / 2), 2))))
+           AS distance_m
+  FROM co CROSS JOIN st
+),
+near AS (SELECT DISTINCT code_station FROM d WHERE distance_m <= 15000),
+lonely AS (SELECT code_insee FROM co WHERE code_insee NOT IN (SELECT code_insee FROM d WHERE distance_m <= 15000)),
+nearest AS (
+  SELECT d.code_insee, d.code_station, d.distance_m FROM d JOIN lonely USING (code_insee)
+  QUALIFY row_number() OVER (PARTITION BY d.code_insee ORDER BY d.distance_m, d.code_station) = 1
+)"""
+
+
+def _geo_frames(spark, sf_dir):
+    co = testbed.table(spark, sf_dir, "customer").select(
+        F.col("c_custkey").cast("string").alias("code_insee"),
+        testbed.derived_lat("c_custkey").alias("latitude"), testbed.derived_lon("c_custkey").alias("longitude"))
+    st = testbed.table(spark, sf_dir, "supplier").select(
+        F.col("s_suppkey").cast("string").alias("code_station"),
+        testbed.derived_lat("s_suppkey", 71).alias("latitude_station"),
+        testbed.derived_lon("s_suppkey", 29).alias("longitude_station"))
+    return co, st
+
+
+@register("radius_join", with_ctes(SQL_GEO) + "SELECT code_station FROM near")
+def q_radius_join(spark, sf_dir):
+    co, st = _geo_frames(spark, sf_dir)
+    return geo.stations_near(co, st)
+
+
+@register("nearest_fallback", with_ctes(SQL_GEO)
+          + "SELECT code_insee, code_station, round(distance_m, 2) AS distance_m FROM nearest")
+def q_nearest_fallback(spark, sf_dir):
+    co, st = _geo_frames(spark, sf_dir)
+    lonely = geo.communes_without_station(co, st)
+    return geo.nearest_station(lonely, st).withColumn("distance_m", F.round("distance_m", 2))
+
+
+@register("relevant_entities", with_ctes(SQL_GEO) + """
+SELECT code_station FROM near UNION SELECT code_station FROM nearest""")
+def q_relevant_entities(spark, sf_dir):
+    co, st = _geo_frames(spark, sf_dir)
+    return geo.relevant_stations(co, st)

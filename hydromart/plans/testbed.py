@@ -80,13 +80,13 @@ def communes(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFra
     return d.select(F.col("code_commune_station").alias("code_insee")).distinct()
 
 
-def derived_lat(key) -> F.Column:
+def derived_lat(key, mult: int = 37) -> F.Column:
     """Coordinates derived from integer keys (whole 0.01-degree steps) for the geo operators."""
-    return F.lit(42.0) + F.pmod(F.col(key) * 37, F.lit(900)) / 100.0
+    return F.lit(42.0) + F.pmod(F.col(key) * mult, F.lit(900)) / 100.0
 
 
-def derived_lon(key) -> F.Column:
-    return F.lit(-5.0) + F.pmod(F.col(key) * 53, F.lit(1300)) / 100.0
+def derived_lon(key, mult: int = 53) -> F.Column:
+    return F.lit(-5.0) + F.pmod(F.col(key) * mult, F.lit(1300)) / 100.0
 
 
 def commune_seed(spark: SparkSession, sf_dir: str) -> DataFrame:

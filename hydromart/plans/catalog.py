@@ -691,3 +691,238 @@ SELECT code_station FROM near UNION SELECT code_station FROM nearest""")
 def q_relevant_entities(spark, sf_dir):
     co, st = _geo_frames(spark, sf_dir)
     return geo.relevant_stations(co, st)
+
+
+# --------------------------------------------------------------------------- M4: data quality
+from hydromart.operators import ml, profile, quality  # noqa: E402
+
+
+@register("dq_not_null", with_ctes(*FEATURE_CHAIN)
+          + "SELECT code_station, date FROM features WHERE variation_position_1j IS NULL")
+def q_dq_not_null(spark, sf_dir):
+    return quality.not_null(build_ml_features(spark, sf_dir), "variation_position_1j").select("code_station", "date")
+
+
+@register("dq_unique", """
+SELECT l_orderkey, count(*) AS n_rows FROM lineitem WHERE l_orderkey IS NOT NULL
+GROUP BY l_orderkey HAVING count(*) > 1""")
+def q_dq_unique(spark, sf_dir):
+    return quality.unique(testbed.table(spark, sf_dir, "lineitem").select("l_orderkey"), "l_orderkey")
+
+
+@register("dq_relationships", """
+SELECT o_orderkey, o_custkey FROM orders
+WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL)""")
+def q_dq_relationships(spark, sf_dir):
+    o = testbed.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    c = testbed.table(spark, sf_dir, "customer").select("c_custkey")
+    return quality.relationships(o, c, "o_custkey", "c_custkey")
+
+
+@register("dq_grain", """
+SELECT l_orderkey, l_linenumber, count(*) AS nb_lignes FROM lineitem
+GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""")
+def q_dq_grain(spark, sf_dir):
+    li = testbed.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return quality.grain(li, ["l_orderkey", "l_linenumber"])
+
+
+@register("dq_thresholds_uniform", with_ctes(SQL_OBS, SQL_SEUILS, SQL_FCT) + """
+SELECT code_station, CAST(month(date_obs_elab) AS INTEGER) AS mois FROM fct
+GROUP BY code_station, month(date_obs_elab)
+HAVING count(DISTINCT p90) > 1 OR count(DISTINCT p95) > 1 OR count(DISTINCT p99) > 1
+    OR count(DISTINCT n_reference) > 1 OR count(DISTINCT n_annees_reference) > 1
+    OR count(p95) NOT IN (0, count(*))""")
+def q_dq_thresholds_uniform(spark, sf_dir):
+    return quality.thresholds_uniform(fct_hydro(spark, sf_dir))
+
+
+@register("dq_last_date_scorable", with_ctes(*FEATURE_CHAIN) + """
+SELECT d.date FROM (SELECT max(date) AS date FROM features) d
+LEFT JOIN features f ON f.date = d.date AND f.position_p95 IS NOT NULL AND f.variation_position_1j IS NOT NULL
+  AND f.pluie_j IS NOT NULL AND f.pluie_3j IS NOT NULL AND f.humidite_sol IS NOT NULL
+GROUP BY d.date HAVING count(f.code_station) = 0""")
+def q_dq_last_date_scorable(spark, sf_dir):
+    return quality.last_date_scorable(build_ml_features(spark, sf_dir))
+
+
+@register("dq_classifiable", with_ctes(*FEATURE_CHAIN) + """
+SELECT f.code_station, f.date FROM features f
+LEFT JOIN fct o ON f.code_station = o.code_station AND f.date = o.date_obs_elab AND o.grandeur_hydro_elab = 'HIXnJ'
+WHERE o.niveau_hydrologique IS NULL""")
+def q_dq_classifiable(spark, sf_dir):
+    return quality.classifiable(build_ml_features(spark, sf_dir), fct_hydro(spark, sf_dir))
+
+
+@register("dq_count_range", """
+SELECT n, n BETWEEN 50 AND 2000 AS in_range,
+       CASE WHEN NOT (n BETWEEN 50 AND 2000) THEN 'error' WHEN n <> 100 THEN 'warning' ELSE 'ok' END AS status
+FROM (SELECT count(DISTINCT CAST(l_suppkey AS VARCHAR)) AS n FROM lineitem)""")
+def q_dq_count_range(spark, sf_dir):
+    observed = testbed.table(spark, sf_dir, "lineitem").select(F.col("l_suppkey").cast("string").alias("code_station"))
+    return quality.count_range(observed, "code_station", 50, 2000, expected=100)
+
+
+@register("dq_coverage", with_ctes(SQL_OBS) + """
+SELECT code_station, count(DISTINCT date_obs_elab) AS n_dates,
+       (SELECT date_diff('day', min(date_obs_elab), max(date_obs_elab)) + 1 FROM obs) AS expected
+FROM obs GROUP BY code_station
+HAVING count(DISTINCT date_obs_elab) < (SELECT date_diff('day', min(date_obs_elab), max(date_obs_elab)) + 1 FROM obs)""")
+def q_dq_coverage(spark, sf_dir):
+    return quality.coverage(testbed.river_observations(spark, sf_dir), "code_station", "date_obs_elab")
+
+
+@register("dq_scoring_preconditions", with_ctes(*FEATURE_CHAIN) + """
+SELECT 'duplicated keys' AS problem, count(*) AS n FROM (
+  SELECT date, code_station FROM features WHERE date = (SELECT max(date) FROM features)
+  GROUP BY date, code_station HAVING count(*) > 1) HAVING count(*) > 0""")
+def q_dq_scoring_preconditions(spark, sf_dir):
+    return quality.scoring_preconditions(build_ml_features(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- profiles
+FEATS = ["position_p95", "variation_position_1j", "pluie_j", "pluie_3j", "humidite_sol"]
+
+
+@register("null_profile", with_ctes(*FEATURE_CHAIN) + " UNION ALL ".join(
+    f"SELECT '{c}' AS column, count(*) - count({c}) AS n_null, count(*) AS n_rows, "
+    f"CASE WHEN count(*) = 0 THEN NULL ELSE (count(*) - count({c})) / count(*) END AS null_rate FROM features"
+    for c in ["position_p95", "variation_position_1j", "pluie_3j", "target_j1"]))
+def q_null_profile(spark, sf_dir):
+    return profile.null_profile(build_ml_features(spark, sf_dir),
+                                ["position_p95", "variation_position_1j", "pluie_3j", "target_j1"])
+
+
+@register("class_balance", with_ctes(*FEATURE_CHAIN) + """
+SELECT target_j1, count(*) AS n, count(*) / sum(count(*)) OVER () AS share
+FROM features WHERE target_j1 IS NOT NULL GROUP BY target_j1""")
+def q_class_balance(spark, sf_dir):
+    f = build_ml_features(spark, sf_dir).where(F.col("target_j1").isNotNull())
+    return profile.class_balance(f, "target_j1")
+
+
+@register("histogram", with_ctes(*FEATURE_CHAIN) + """
+, r AS (SELECT min(position_p95) AS lo, max(position_p95) AS hi FROM features),
+b AS (SELECT CAST(CASE WHEN hi = lo THEN 1 ELSE least(floor((position_p95 - lo) / (hi - lo) * 30) + 1, 30) END AS INTEGER) AS bin,
+             lo, hi FROM features CROSS JOIN r WHERE position_p95 IS NOT NULL)
+SELECT 'position_p95' AS feature, bin, round(lo + (bin - 1) * (hi - lo) / 30, 6) AS lower,
+       round(lo + bin * (hi - lo) / 30, 6) AS upper, count(*) AS n
+FROM b GROUP BY bin, lo, hi""")
+def q_histogram(spark, sf_dir):
+    h = profile.histogram(build_ml_features(spark, sf_dir), "position_p95", 30)
+    return h.withColumn("lower", F.round("lower", 6)).withColumn("upper", F.round("upper", 6))
+
+
+@register("correlation", with_ctes(*FEATURE_CHAIN) + " UNION ALL ".join(
+    f"SELECT '{a}' AS x, '{b}' AS y, "
+    + (f"round(corr({a}, {b}), 6) AS r" if a != b else f"CASE WHEN count({a}) > 1 THEN 1.0 END AS r")
+    + " FROM features" for a in FEATS + ["target_j1"] for b in FEATS + ["target_j1"]))
+def q_correlation(spark, sf_dir):
+    f = build_ml_features(spark, sf_dir).withColumn("target_j1", F.col("target_j1").cast("double"))
+    return profile.correlation(f, FEATS + ["target_j1"]).withColumn("r", F.round("r", 6))
+
+
+# --------------------------------------------------------------------------- M6: ML
+ML_CUTOFF = "2000-01-01"  # the test period of this data (the reference splits at 2023-01-01)
+
+
+def _report_sql(source: str, by: str = "") -> str:
+    """DuckDB statement of the classification report over ``source`` (columns y, p)."""
+    g = f"{by}, " if by else ""
+    grp = f"GROUP BY {by}" if by else ""
+    return f"""
+, c AS (SELECT {g}count(*) FILTER (WHERE y = 1 AND p = 1) AS tp, count(*) FILTER (WHERE y = 0 AND p = 1) AS fp,
+              count(*) FILTER (WHERE y = 1 AND p = 0) AS fn, count(*) FILTER (WHERE y = 0 AND p = 0) AS tn
+       FROM {source} {grp}),
+m AS (SELECT {g}tp, fp, fn, tn,
+        CASE WHEN tp + fp = 0 THEN 0.0 ELSE tp / (tp + fp) END AS p1, CASE WHEN tp + fn = 0 THEN 0.0 ELSE tp / (tp + fn) END AS r1,
+        CASE WHEN tn + fn = 0 THEN 0.0 ELSE tn / (tn + fn) END AS p0, CASE WHEN tn + fp = 0 THEN 0.0 ELSE tn / (tn + fp) END AS r0
+      FROM c),
+f AS (SELECT *, CASE WHEN p1 + r1 = 0 THEN 0.0 ELSE 2 * p1 * r1 / (p1 + r1) END AS f11,
+              CASE WHEN p0 + r0 = 0 THEN 0.0 ELSE 2 * p0 * r0 / (p0 + r0) END AS f10,
+              tp + fn AS s1, tn + fp AS s0, tp + fn + tn + fp AS n FROM m),
+rep AS (
+  SELECT {g}'0' AS class, p0 AS precision, r0 AS recall, f10 AS f1, s0 AS support FROM f
+  UNION ALL SELECT {g}'1', p1, r1, f11, s1 FROM f
+  UNION ALL SELECT {g}'accuracy', CASE WHEN n = 0 THEN 0.0 ELSE (tp + tn) / n END,
+                   CASE WHEN n = 0 THEN 0.0 ELSE (tp + tn) / n END, CASE WHEN n = 0 THEN 0.0 ELSE (tp + tn) / n END, n FROM f
+  UNION ALL SELECT {g}'macro avg', (p0 + p1) / 2, (r0 + r1) / 2, (f10 + f11) / 2, n FROM f
+  UNION ALL SELECT {g}'weighted avg', CASE WHEN n = 0 THEN 0.0 ELSE (p0 * s0 + p1 * s1) / n END,
+                   CASE WHEN n = 0 THEN 0.0 ELSE (r0 * s0 + r1 * s1) / n END,
+                   CASE WHEN n = 0 THEN 0.0 ELSE (f10 * s0 + f11 * s1) / n END, n FROM f
+)
+SELECT {g}class, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM rep"""
+
+
+SQL_TEST = f"""
+test AS (SELECT target_j1 AS y, depasse_p95_j AS p, * FROM features
+         WHERE target_j1 IS NOT NULL AND date >= DATE '{ML_CUTOFF}')"""
+SQL_SPLITS = f"""
+splits AS (SELECT target_j1 AS y, depasse_p95_j AS p,
+                  CASE WHEN date < DATE '{ML_CUTOFF}' THEN 'train' ELSE 'test' END AS split
+           FROM features WHERE target_j1 IS NOT NULL)"""
+
+
+def _round_report(df: DataFrame) -> DataFrame:
+    return df.select(*[F.round(c, 6).alias(c) if c in ("precision", "recall", "f1") else F.col(c)
+                       for c in df.columns])
+
+
+def _persistence_split(spark, sf_dir):
+    parts = ml.chronological_split(build_ml_features(spark, sf_dir), ML_CUTOFF)
+    return {k: ml.persistence(v) for k, v in parts.items()}
+
+
+@register("persistence_report", with_ctes(*FEATURE_CHAIN, SQL_TEST) + _report_sql("test"))
+def q_persistence_report(spark, sf_dir):
+    return _round_report(ml.classification_report(_persistence_split(spark, sf_dir)["test"]))
+
+
+@register("confusion", with_ctes(*FEATURE_CHAIN, SQL_TEST) + """
+SELECT CAST(y AS INTEGER) AS label, CAST(p AS INTEGER) AS prediction, count(*) AS n FROM test GROUP BY 1, 2""")
+def q_confusion(spark, sf_dir):
+    return ml.confusion(_persistence_split(spark, sf_dir)["test"])
+
+
+@register("new_crossings", with_ctes(*FEATURE_CHAIN, SQL_TEST) + ", newc AS (SELECT * FROM test WHERE depasse_p95_j = 0)"
+          + _report_sql("newc"))
+def q_new_crossings(spark, sf_dir):
+    return _round_report(ml.new_crossings(_persistence_split(spark, sf_dir)["test"]))
+
+
+@register("train_test_report", with_ctes(*FEATURE_CHAIN, SQL_SPLITS) + _report_sql("splits", "split"))
+def q_train_test_report(spark, sf_dir):
+    s = _persistence_split(spark, sf_dir)
+    return _round_report(ml.train_test_report(s["train"], s["test"]))
+
+
+def _fitted(spark, sf_dir, kind="logistic"):
+    features = build_ml_features(spark, sf_dir)
+    parts = ml.chronological_split(features, ML_CUTOFF)
+    return features, parts, ml.fit(parts["train"], kind)
+
+
+@register("fit_logistic")
+def q_fit_logistic(spark, sf_dir):
+    _, parts, model = _fitted(spark, sf_dir)
+    return ml.predict(model, parts["test"]).select("code_station", "date", "target_j1", "prediction_j1",
+                                                   "probabilite_depassement_j1")
+
+
+@register("fit_forest")
+def q_fit_forest(spark, sf_dir):
+    _, parts, model = _fitted(spark, sf_dir, "forest")
+    return ml.predict(model, parts["test"]).select("code_station", "date", "target_j1", "prediction_j1",
+                                                   "probabilite_depassement_j1")
+
+
+@register("score_latest")
+def q_score_latest(spark, sf_dir):
+    features, _, model = _fitted(spark, sf_dir)
+    return ml.score_latest(model, features, "2001-11-05T06:00:00")
+
+
+@register("coefficients")
+def q_coefficients(spark, sf_dir):
+    _, _, model = _fitted(spark, sf_dir)
+    return ml.coefficients(model)

@@ -74,6 +74,15 @@ def read_table(spark: SparkSession, path: str, schema: StructType | None = None)
     return r.parquet(path)
 
 
+def table_exists(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a readable Parquet table."""
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except Exception:  # missing path or no data files yet
+        return False
+
+
 # ----------------------------------------------------------------------------- SNK-07
 def add_missing_columns(df: DataFrame, schema: StructType) -> DataFrame:
     """SNK-07: add the schema's absent columns as typed NULLs (old files lacking new columns)."""
@@ -141,6 +150,25 @@ def rollback_batch(raw: DataFrame, batch_id: str, batch_col: str = "batch_id") -
     return raw.where(~F.col(batch_col).eqNullSafe(F.lit(batch_id)))
 
 
+def rollback_table(spark: SparkSession, path: str, batch_id: str, partition_by: Sequence[str] = (),
+                   batch_col: str = "batch_id") -> None:
+    """SNK-05 on a stored table: remove one load's rows.
+
+    Partitioned tables rewrite only the partitions holding the batch (dynamic overwrite); if a
+    partition would become empty, dynamic overwrite cannot clear it, so the table is rewritten
+    whole instead. The partition check is one small aggregate.
+    """
+    raw = spark.read.parquet(path)
+    if partition_by:
+        per_part = raw.groupBy(*partition_by).agg(
+            F.count_if(F.col(batch_col) == batch_id).alias("_mine"), F.count(F.lit(1)).alias("_all"))
+        emptied = per_part.where((F.col("_mine") > 0) & (F.col("_mine") == F.col("_all")))
+        if emptied.isEmpty():
+            write_table(touched_partitions(raw, batch_id, partition_by, batch_col), path, partition_by, dynamic=True)
+            return
+    write_table(rollback_batch(raw, batch_id, batch_col), path, partition_by, dynamic=False)
+
+
 def touched_partitions(raw: DataFrame, batch_id: str, partition_cols: Sequence[str],
                        batch_col: str = "batch_id") -> DataFrame:
     """SNK-05: only the partitions containing the batch, minus its rows (dynamic overwrite input)."""

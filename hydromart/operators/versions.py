@@ -50,11 +50,13 @@ def enrich_batch(batch: DataFrame, batch_id: str, inserted_at=None,
 
 # ----------------------------------------------------------------------------- VER-03
 def normalise_keys(df: DataFrame, entity: str, date: str, others: Sequence[str] = (),
-                   entity_width: int | None = 5) -> dict[str, DataFrame]:
+                   entity_width: int | None = 5, prefix: str | None = None) -> dict[str, DataFrame]:
     """VER-03: trimmed keys, ISO date from the first 10 characters, entity left-padded.
 
     Returns ``{"valid": rows with normalised keys, "rejected": rows with a ``reason``}``.
     Reasons: missing key part, unparsable date, entity longer than ``entity_width``.
+    With ``prefix`` the normalised keys are added as ``prefix + name`` and the stored values
+    are left as received (the content hash covers them as received).
     """
     e, d = clean(entity), F.substring(clean(date), 1, 10).try_cast("date")
     reasons = [F.when(F.col(c).isNull() | (clean(c) == ""), F.lit(f"missing {c}"))
@@ -65,11 +67,22 @@ def normalise_keys(df: DataFrame, entity: str, date: str, others: Sequence[str]
     tagged = df.withColumn("_reason", F.coalesce(*reasons))
     norm = {entity: F.lpad(e, entity_width, "0") if entity_width else e, date: d}
     norm.update({c: clean(c) for c in others})
+    if prefix:
+        norm = {f"{prefix}{k}": v for k, v in norm.items()}
     valid = tagged.where(F.col("_reason").isNull()).drop("_reason").withColumns(norm)
     rejected = tagged.where(F.col("_reason").isNotNull()).withColumnRenamed("_reason", "reason")
     return {"valid": valid, "rejected": rejected}
 
 
+def key_expressions(entity: str, date: str, others: Sequence[str] = (), entity_width: int | None = 5,
+                    prefix: str = "_k_") -> dict[str, Column]:
+    """The same normalisation as ``normalise_keys``, for reading keys back from a raw table."""
+    out = {f"{prefix}{entity}": F.lpad(clean(entity), entity_width, "0") if entity_width else clean(entity),
+           f"{prefix}{date}": F.substring(clean(date), 1, 10).try_cast("date")}
+    out.update({f"{prefix}{c}": clean(c) for c in others})
+    return out
+
+
 # ----------------------------------------------------------------------------- VER-04
 def batch_conflicts(batch: DataFrame, keys: Sequence[str], hash_col: str = "row_hash") -> DataFrame:
     """VER-04: keys that arrive with more than one content in the same batch."""
@@ -214,3 +227,60 @@ def month_chunks(windows: DataFrame, start: str = "start_date", end: str = "end_
 def pending_chunks(chunks: DataFrame, ledger: DataFrame, keys: Sequence[str] = ("mois",)) -> DataFrame:
     """VER-11: skip months already recorded as finished in the ledger."""
     return chunks.join(ledger.select(*keys).distinct(), list(keys), "left_anti")
+
+
+# ----------------------------------------------------------------------------- whole load
+class LoadRejected(ValueError):
+    """The batch has invalid keys or contradictory versions; nothing was written."""
+
+
+# Business keys and tie order of the two raw sources.
+SOURCES = {
+    "weather": {"entity": "code_INSEE", "date": "date", "others": (), "width": 5,
+                "order": ("inserted_at", "row_hash")},
+    "river": {"entity": "code_station", "date": "date_obs_elab", "others": ("grandeur_hydro_elab",),
+              "width": None, "order": ("inserted_at", "date_prod", "row_hash")},
+}
+
+
+def load_versioned(spark, path: str, batch: DataFrame, source: str, batch_id: str, inserted_at=None,
+                   content: Sequence[str] | None = None, partition_by: Sequence[str] = ()) -> int:
+    """Entry point B: append the changed versions of ``batch`` to the raw table at ``path``.
+
+    Empty batch -> 0 without touching the table. Invalid keys or two contents for one key ->
+    ``LoadRejected`` before any write. Returns the number of rows appended.
+    """
+    from hydromart.operators.tables import append, table_exists
+    from hydromart.session import checkpoint_dir
+
+    if source not in SOURCES:
+        raise LoadRejected(f"unsupported raw source: {source}")
+    if batch.isEmpty():
+        return 0
+    cfg = SOURCES[source]
+    ent, dat, oth, width = cfg["entity"], cfg["date"], cfg["others"], cfg["width"]
+    enriched = enrich_batch(batch, batch_id, inserted_at, content)
+    norm = normalise_keys(enriched, ent, dat, oth, width, prefix="_k_")
+    if not norm["rejected"].isEmpty():
+        raise LoadRejected("invalid business keys in batch " + batch_id)
+    keys = [f"_k_{c}" for c in (ent, dat, *oth)]
+    valid = norm["valid"]
+    if not batch_conflicts(valid, keys).isEmpty():
+        raise LoadRejected("contradictory versions in batch " + batch_id)
+    deduped = dedupe_batch(valid, keys)
+    if table_exists(spark, path):
+        raw = spark.read.parquet(path)
+        exprs = key_expressions(ent, dat, oth, width)
+        scoped = raw.select(*[e.alias(k) for k, e in exprs.items()], *raw.columns)
+        touched = deduped.select(*keys).distinct()
+        current = latest_versions(scoped.join(touched, keys, "left_semi"), keys, list(cfg["order"]))
+        new_rows = changed_rows(deduped, current.select(*keys, "row_hash"), keys)
+    else:
+        new_rows = deduped
+    stored = new_rows.withColumn(dat, F.col(f"_k_{dat}")).drop(*keys)
+    checkpoint_dir(spark)
+    stable = stored.checkpoint(eager=True)
+    n = stable.count()
+    if n:
+        append(stable, path, partition_by)
+    return n

@@ -926,3 +926,79 @@ def q_score_latest(spark, sf_dir):
 def q_coefficients(spark, sf_dir):
     _, _, model = _fitted(spark, sf_dir)
     return ml.coefficients(model)
+
+
+# --------------------------------------------------------------------------- M7: landed payloads
+from hydromart.sources import landing  # noqa: E402
+
+
+def _series_docs(spark, sf_dir):
+    """One API-style document per (station, month): parallel daily arrays (at most 31 entries)."""
+    obs = testbed.river_observations(spark, sf_dir)
+    w = testbed.daily_weather(spark, sf_dir).select(
+        F.col("code_insee"), F.col("date").alias("date_obs_elab"), "pluie_totale")
+    day = obs.join(w.withColumn("code_station", F.regexp_replace("code_insee", "^0+(?=.)", "")).drop("code_insee"),
+                   ["code_station", "date_obs_elab"], "left")
+    # temperature_2m_mean plays the required measure; a qualification other than 20 blanks it.
+    day = day.withColumn("temperature_2m_mean",
+                         F.when(F.col("code_qualification") == "20", F.col("resultat_obs_elab")))
+    items = F.sort_array(F.collect_list(F.struct(
+        F.col("date_obs_elab").cast("string").alias("t"), F.col("temperature_2m_mean").alias("m"),
+        F.col("pluie_totale").alias("r"))))
+    g = day.groupBy("code_station", F.trunc("date_obs_elab", "MM").alias("mois")).agg(items.alias("it"))
+    return g.select("code_station", "mois", F.struct(
+        F.col("it.t").alias("time"), F.col("it.m").alias("temperature_2m_mean"),
+        F.col("it.r").alias("rain_sum")).alias("daily"))
+
+
+@register("explode_series", with_ctes(SQL_OBS, SQL_WEATHER) + """
+SELECT o.code_station, CAST(date_trunc('month', o.date_obs_elab) AS DATE) AS mois,
+       CAST(o.date_obs_elab AS VARCHAR) AS time, o.resultat_obs_elab AS temperature_2m_mean,
+       w.pluie_totale AS rain_sum
+FROM obs o LEFT JOIN weather w ON lpad(o.code_station, 5, '0') = w.code_insee AND o.date_obs_elab = w.date
+WHERE o.code_qualification = '20'""")
+def q_explode_series(spark, sf_dir):
+    return landing.explode_series(_series_docs(spark, sf_dir), ["temperature_2m_mean", "rain_sum"],
+                                  ["code_station", "mois"])
+
+
+def _page_envelopes(spark, sf_dir):
+    """One request per (station, month), three pages by ten-day block; page 1 announces the count."""
+    from pyspark.sql import Window
+    obs = testbed.river_observations(spark, sf_dir)
+    req = F.concat_ws("/", "code_station", F.date_format("date_obs_elab", "yyyy-MM"))
+    page = F.least(F.floor((F.dayofmonth("date_obs_elab") - 1) / 10) + 1, F.lit(3)).cast("int")
+    rec = F.struct("code_station", "date_obs_elab", "resultat_obs_elab")
+    pages = obs.groupBy(req.alias("request_id"), page.alias("page")).agg(
+        F.sort_array(F.collect_list(rec)).alias("data"))
+    total = F.sum(F.size("data")).over(Window.partitionBy("request_id"))  # <= 3 pages per request
+    first = F.min("page").over(Window.partitionBy("request_id"))
+    return pages.withColumn("count", F.when(F.col("page") == first, total).cast("int"))
+
+
+@register("explode_pages", with_ctes(SQL_OBS) + """
+SELECT code_station || '/' || strftime(date_obs_elab, '%Y-%m') AS request_id,
+       CAST(least(floor((day(date_obs_elab) - 1) / 10) + 1, 3) AS INTEGER) AS page,
+       code_station, date_obs_elab, resultat_obs_elab
+FROM obs""")
+def q_explode_pages(spark, sf_dir):
+    return landing.explode_pages(_page_envelopes(spark, sf_dir))
+
+
+# --------------------------------------------------------------------------- M8: streaming
+from hydromart.streaming import ingest  # noqa: E402
+
+
+@register("stream_latest_version", ORACLES["latest_version"])
+def q_stream_latest_version(spark, sf_dir):
+    """STR-02 over ``events`` read as a file stream; the result table must equal the batch one."""
+    import uuid
+    from hydromart.session import checkpoint_dir
+    base = f"{checkpoint_dir(spark).rstrip('/')}/stream-latest-{uuid.uuid4().hex}"
+    ev_schema = testbed.table(spark, sf_dir, "events").schema
+    stream = (spark.readStream.schema(ev_schema).option("maxFilesPerTrigger", 1)
+              .parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")  # glob: the stream source lists files
+              .select("user_id", F.to_date("ts").alias("date"), "event_type", "event_id", "ts", "value", "props",
+                      F.col("ts").cast("timestamp").alias("event_time")))  # UTC session: same instant
+    ingest.run_latest_to_table(spark, stream, EV_KEYS, EV_ORDER, "event_time", f"{base}/table", f"{base}/ckpt")
+    return spark.read.parquet(f"{base}/table").select(*EV_COLS)

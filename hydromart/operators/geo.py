@@ -88,9 +88,13 @@ def communes_without_station(communes: DataFrame, stations: DataFrame, radius_m:
 def nearest_station(communes: DataFrame, stations: DataFrame, radius_m: float = RADIUS_M,
                     commune_id: str = "code_insee", station_id: str = "code_station",
                     commune_lat: str = "latitude", commune_lon: str = "longitude",
-                    station_lat: str = "latitude_station", station_lon: str = "longitude_station") -> DataFrame:
+                    station_lat: str = "latitude_station", station_lon: str = "longitude_station",
+                    start_level: int = 0) -> DataFrame:
     """JN-10: nearest station for each commune; ties broken by station code.
 
+    ``start_level=1`` skips the first level for communes known to have no station within r
+    (the output of ``communes_without_station``): level 0 could never settle them.
+
     Level k uses cubes of side ``chord(r) * 2**k``; a commune is settled at the first level
     whose best candidate is within that side. Each level is one equi-join; the unresolved
     communes are checkpointed between levels (lineage stays short, executor loss is survivable).
@@ -98,7 +102,7 @@ def nearest_station(communes: DataFrame, stations: DataFrame, radius_m: float =
     co = _points(communes, commune_id, commune_lat, commune_lon, "b_")
     st = _points(stations, station_id, station_lat, station_lon, "a_")
     spark = communes.sparkSession
-    side = chord_for_arc(radius_m)
+    side = chord_for_arc(radius_m) * (2.0 ** start_level)
     settled = []
     pending = co
     while True:
@@ -133,7 +137,7 @@ def relevant_stations(communes: DataFrame, stations: DataFrame, radius_m: float
     station_id = cols.get("station_id", "code_station")
     near = stations_near(communes, stations, radius_m, **cols)
     lonely = communes_without_station(communes, stations, radius_m, **cols)
-    fallback = nearest_station(lonely, stations, radius_m, **cols).select(station_id)
+    fallback = nearest_station(lonely, stations, radius_m, start_level=1, **cols).select(station_id)
     return (near.unionByName(fallback).distinct().where(F.col(station_id).isNotNull())
             .orderBy(station_id))
 

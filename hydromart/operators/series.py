@@ -64,11 +64,12 @@ def lag_lead_features(df: DataFrame, entity: str = "code_station", date: str = "
 
 
 def min_history(df: DataFrame, entity: str, min_rows: int = 100) -> DataFrame:
-    """WN-05: keep entities with at least ``min_rows`` rows.
+    """WN-05: keep entities with at least ``min_rows`` rows (``qualify count(*) over (partition
+    by entity) >= n``).
 
-    Written as a grouped count (partial aggregation; output is one row per entity) and a
-    semi-join, so the rows themselves are not re-shuffled by entity; AQE broadcasts the
-    per-entity counts when they fit.
+    A window count: one exchange of the rows by entity and no second evaluation of the input
+    plan (a grouped count + semi-join would compute the input twice). A partition holds one
+    entity's daily rows, i.e. at most one row per calendar day.
     """
-    keep = df.groupBy(entity).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_rows)
-    return df.join(keep.select(entity), entity, "left_semi")
+    n = F.count(F.lit(1)).over(Window.partitionBy(entity))
+    return df.withColumn("_n", n).where(F.col("_n") >= min_rows).drop("_n")

@@ -509,14 +509,13 @@ c AS (SELECT k, lang, min(doc_id) AS canonical_id FROM d GROUP BY k, lang)
 SELECT d.doc_id, d.lang, c.canonical_id FROM d LEFT JOIN c USING (k, lang)""")
 def q_fuzzy_place_join(spark, sf_dir):
     # Whole document texts act as place names and ``lang`` as the department: every text is
-    # matched to the canonical (smallest id) text with the same accent-free key.
-    docs = testbed.table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    seed = (docs.groupBy(fc.place_key("text").alias("name"), F.col("lang").alias("dept"))
-            .agg(F.min("doc_id").alias("canonical_id")))
-    seed = seed.withColumn("_plain", F.col("name"))  # key already normalised; place_key is idempotent
-    out = marts.place_join(docs, seed, F.col("text"), F.col("_plain"), F.col("lang"), F.col("dept"),
-                           {"canonical_id": "canonical_id"})
-    return out.select("doc_id", "lang", "canonical_id")
+    # matched to the canonical (smallest id) text with the same accent-free key. The key is
+    # computed once per text and joined through its SHA-256 digest, so the shuffle moves
+    # 64-character digests rather than whole texts.
+    docs = testbed.table(spark, sf_dir, "documents").select(
+        "doc_id", "lang", F.sha2(fc.place_key("text"), 256).alias("name_key"))
+    seed = docs.groupBy("name_key", "lang").agg(F.min("doc_id").alias("canonical_id"))
+    return docs.join(seed, ["name_key", "lang"], "left").select("doc_id", "lang", "canonical_id")
 
 
 @register("padded_code_join", """
@@ -683,7 +682,7 @@ def q_radius_join(spark, sf_dir):
 def q_nearest_fallback(spark, sf_dir):
     co, st = _geo_frames(spark, sf_dir)
     lonely = geo.communes_without_station(co, st)
-    return geo.nearest_station(lonely, st).withColumn("distance_m", F.round("distance_m", 2))
+    return geo.nearest_station(lonely, st, start_level=1).withColumn("distance_m", F.round("distance_m", 2))
 
 
 @register("relevant_entities", with_ctes(SQL_GEO) + """

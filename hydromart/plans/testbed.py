@@ -13,13 +13,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hydromart.functions.codes import pad_code
+from hydromart.session import spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
+# Fact tables whose scans feed per-row work; dimension tables stay as scanned.
+FACT_TABLES = {"lineitem", "orders", "events", "documents", "customer", "pages", "conversations"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Whole table scan. Fact tables stored as one unsplittable row group are spread over the
+    session's cores (``session.spread``); filters and column pruning still reach the scan."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in FACT_TABLES else df
 
 
 def _station_key(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
@@ -40,22 +48,29 @@ def shipments(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFr
     return li.join(_station_key(spark, sf_dir, grain), li.l_suppkey == F.col("s_suppkey")).drop("s_suppkey")
 
 
+def station_days(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
+    """One aggregate per (station, day) holding every measure of both the river and the
+    weather frames, so a plan using both shares a single scan and shuffle (exchange reuse)."""
+    return shipments(spark, sf_dir, grain).groupBy("code_station", "date_obs_elab").agg(
+        F.max("l_extendedprice").alias("resultat_obs_elab"),
+        F.min("l_returnflag").alias("_min_flag"), F.min("l_linestatus").alias("_min_status"),
+        F.sum("l_quantity").alias("pluie_totale"), F.avg("l_discount").alias("_avg_discount"))
+
+
 def river_observations(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
     """One observation per (station, day): the ``stg_obs`` shape (MD-01 output columns)."""
-    day = shipments(spark, sf_dir, grain).groupBy("code_station", "date_obs_elab").agg(
-        F.max("l_extendedprice").alias("resultat_obs_elab"),
-        F.when(F.min("l_returnflag") == "R", F.lit("10")).otherwise(F.lit("20")).alias("code_qualification"),
-        F.when(F.min("l_linestatus") == "F", F.lit("12")).otherwise(F.lit("16")).alias("code_statut"))
-    return day.withColumn("grandeur_hydro_elab", F.lit("HIXnJ"))
+    return station_days(spark, sf_dir, grain).select(
+        "code_station", "date_obs_elab", "resultat_obs_elab",
+        F.when(F.col("_min_flag") == "R", F.lit("10")).otherwise(F.lit("20")).alias("code_qualification"),
+        F.when(F.col("_min_status") == "F", F.lit("12")).otherwise(F.lit("16")).alias("code_statut"),
+        F.lit("HIXnJ").alias("grandeur_hydro_elab"))
 
 
 def daily_weather(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
     """One weather row per (commune, day): ``fct_weather`` columns used by the features."""
-    day = shipments(spark, sf_dir, grain).groupBy("code_station", "date_obs_elab").agg(
-        F.sum("l_quantity").alias("pluie_totale"),
-        F.round(F.avg("l_discount"), 6).alias("humidite_sol_7_28cm"))
-    return day.select(pad_code("code_station", 5).alias("code_insee"),
-                      F.col("date_obs_elab").alias("date"), "pluie_totale", "humidite_sol_7_28cm")
+    return station_days(spark, sf_dir, grain).select(
+        pad_code("code_station", 5).alias("code_insee"), F.col("date_obs_elab").alias("date"),
+        "pluie_totale", F.round("_avg_discount", 6).alias("humidite_sol_7_28cm"))
 
 
 def station_directory(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:

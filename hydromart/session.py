@@ -61,3 +61,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
     return local
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin repartition when a scan has fewer partitions than the session's parallelism.
+
+    Used before CPU-heavy per-row work (whole-text keys). On a cluster, large inputs already
+    arrive in many splits and this is a no-op; it only matters for inputs stored as a single
+    Parquet row group, which Spark cannot split.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(target) if df.rdd.getNumPartitions() < target else df

@@ -73,8 +73,16 @@ def forest_pipeline(features: Sequence[str] = SCORING_FEATURES, label: str = LAB
 
 
 def fit(train: DataFrame, kind: str = "logistic", label: str = LABEL, **kw) -> PipelineModel:
-    """Fit a pipeline on balanced weights; the logistic penalty is scaled by the weight total."""
+    """Fit a pipeline on balanced weights; the logistic penalty is scaled by the weight total.
+
+    The weighted training set is checkpointed once (reliable, in ``spark.checkpoint.dir``):
+    the imputer, the scaler and every optimiser iteration then read it instead of
+    re-evaluating the feature plan, and a lost executor does not replay the whole lineage.
+    """
+    from hydromart.session import checkpoint_dir
     weighted = balanced_weights(train.withColumn(label, F.col(label).cast("double")), label)
+    checkpoint_dir(train.sparkSession)
+    weighted = weighted.checkpoint(eager=True)
     if kind == "logistic":
         if "reg_param" not in kw:
             total = weighted.agg(F.sum("weight")).first()[0] or 1.0  # one scalar

@@ -772,6 +772,9 @@ def q_dq_coverage(spark, sf_dir):
 
 
 @register("dq_scoring_preconditions", with_ctes(*FEATURE_CHAIN) + """
+SELECT 'no rows' AS problem, count(*) AS n FROM features WHERE date = (SELECT max(date) FROM features)
+HAVING count(*) = 0
+UNION ALL
 SELECT 'duplicated keys' AS problem, count(*) AS n FROM (
   SELECT date, code_station FROM features WHERE date = (SELECT max(date) FROM features)
   GROUP BY date, code_station HAVING count(*) > 1) HAVING count(*) > 0""")

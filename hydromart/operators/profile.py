@@ -68,3 +68,10 @@ def dataset_profile(df: DataFrame, date: str = "date", entity: str = "code_stati
                   F.min(date).alias("first_date"), F.max(date).alias("last_date"),
                   F.count_distinct(entity).alias("n_entities"),
                   F.count(target).alias("n_labelled"), F.count_if(F.col(target).isNull()).alias("n_unlabelled"))
+
+
+def spot_check(df: DataFrame, name_col: str, names: Sequence[str], coord_cols: Sequence[str]) -> DataFrame:
+    """FN-21: case-folded lookup of a few place names -> their distinct coordinates."""
+    wanted = [n.lower() for n in names]
+    return (df.where(F.lower(F.coalesce(F.col(name_col), F.lit(""))).isin(wanted))
+            .select(name_col, *coord_cols).distinct())

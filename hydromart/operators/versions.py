@@ -284,3 +284,15 @@ def load_versioned(spark, path: str, batch: DataFrame, source: str, batch_id: st
     if n:
         append(stable, path, partition_by)
     return n
+
+
+def ledger_upsert(ledger: DataFrame, finished: DataFrame, finished_at=None) -> DataFrame:
+    """VER-12: record finished (measure, month) chunks with their row counts and time.
+
+    ``finished`` has (grandeur_hydro_elab, mois, nb_lignes); the result is the new ledger
+    (SNK-03 on the two keys).
+    """
+    from hydromart.operators.tables import upsert
+    stamped = finished.select("grandeur_hydro_elab", "mois", F.col("nb_lignes").cast("long"),
+                              as_timestamp(finished_at).alias("termine_le"))
+    return upsert(ledger.select(*stamped.columns), stamped, ["grandeur_hydro_elab", "mois"])

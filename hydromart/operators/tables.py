@@ -91,12 +91,17 @@ def add_missing_columns(df: DataFrame, schema: StructType) -> DataFrame:
 
 
 # ----------------------------------------------------------------------------- SNK-03
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str], scope: Sequence[str] = ()) -> DataFrame:
     """SNK-03: MERGE on ``keys``: matched target rows take the source row, the rest is inserted.
 
     ``target ⟕anti source ∪ source`` -- one shuffle on the keys (or a broadcast of the
-    source when AQE finds it small). ``source`` must be unique on ``keys``.
+    source when AQE finds it small). ``source`` must be unique on ``keys``. With ``scope``
+    (partition columns) only the target partitions present in the source are read and
+    returned, for a dynamic partition overwrite: the MERGE touches what it changes, not the
+    whole table.
     """
+    if scope:
+        target = target.join(source.select(*scope).distinct(), list(scope), "left_semi")
     kept = target.join(source.select(*keys), list(keys), "left_anti")
     return kept.unionByName(source.select(*target.columns), allowMissingColumns=False)
 

@@ -85,7 +85,8 @@ def key_expressions(entity: str, date: str, others: Sequence[str] = (), entity_w
 
 # ----------------------------------------------------------------------------- VER-04
 def batch_conflicts(batch: DataFrame, keys: Sequence[str], hash_col: str = "row_hash") -> DataFrame:
-    """VER-04: keys that arrive with more than one content in the same batch."""
+    """VER-04: keys that arrive with more than one content in the same batch, with the number
+    of distinct contents (runs on the incoming batch only)."""
     return (batch.groupBy(*keys)
             .agg(F.count_distinct(hash_col).alias("n_versions"), F.count(F.lit(1)).alias("n_rows"))
             .where(F.col("n_versions") > 1))
@@ -268,8 +269,17 @@ def load_versioned(spark, path: str, batch: DataFrame, source: str, batch_id: st
     if not batch_conflicts(valid, keys).isEmpty():
         raise LoadRejected("contradictory versions in batch " + batch_id)
     deduped = dedupe_batch(valid, keys)
+    if "mois" in partition_by:
+        deduped = deduped.withColumn("mois", F.date_format(f"_k_{dat}", "yyyy-MM"))
     if table_exists(spark, path):
         raw = spark.read.parquet(path)
+        # The batch's date range (two scalars, like the reference's query parameters) prunes
+        # month partitions and lets Parquet skip row groups before the version lookup.
+        lo, hi = deduped.agg(F.min(f"_k_{dat}"), F.max(f"_k_{dat}")).first()
+        if "mois" in raw.columns:
+            raw = raw.where(F.col("mois").between(lo.strftime("%Y-%m"), hi.strftime("%Y-%m")))
+        if dict(raw.dtypes).get(dat) == "date":
+            raw = raw.where(F.col(dat).between(F.lit(lo), F.lit(hi)))
         exprs = key_expressions(ent, dat, oth, width)
         scoped = raw.select(*[e.alias(k) for k, e in exprs.items()], *raw.columns)
         touched = deduped.select(*keys).distinct()

@@ -1003,4 +1003,4 @@ def q_stream_latest_version(spark, sf_dir):
               .select("user_id", F.to_date("ts").alias("date"), "event_type", "event_id", "ts", "value", "props",
                       F.col("ts").cast("timestamp").alias("event_time")))  # UTC session: same instant
     ingest.run_latest_to_table(spark, stream, EV_KEYS, EV_ORDER, "event_time", f"{base}/table", f"{base}/ckpt")
-    return spark.read.parquet(f"{base}/table").select(*EV_COLS)
+    return spark.read.parquet(f"{base}/table").select(*EV_COLS)  # partition column dropped

@@ -53,20 +53,23 @@ def latest_version_stream(stream: DataFrame, keys: Sequence[str], order: Sequenc
 
 
 def run_latest_to_table(spark: SparkSession, stream: DataFrame, keys: Sequence[str], order: Sequence[str],
-                        event_time: str, out_path: str, checkpoint: str) -> None:
-    """Drive STR-02 to completion (available-now) and keep the current rows in a Parquet table.
+                        event_time: str, out_path: str, checkpoint: str, date: str = "date") -> None:
+    """Drive STR-02 to completion (available-now) and keep the current rows in a Parquet table
+    partitioned by month of ``date``.
 
-    Each micro-batch's updated keys are merged into the table (upsert on ``keys``), so the table
-    always holds one current row per key.
+    Each micro-batch's updated keys are merged into the months they touch only (scoped upsert +
+    dynamic partition overwrite), so a micro-batch never rewrites the whole table.
     """
     from hydromart.operators.tables import table_exists, upsert, write_table
 
     def merge(df: DataFrame, epoch_id: int) -> None:
         s = df.sparkSession
+        batch = df.withColumn("mois", F.date_format(date, "yyyy-MM"))
         if table_exists(s, out_path):
-            write_table(upsert(s.read.parquet(out_path), df, list(keys)), out_path, dynamic=False)
+            merged = upsert(s.read.parquet(out_path), batch, list(keys), scope=["mois"])
+            write_table(merged, out_path, ["mois"], dynamic=True)
         else:
-            df.write.mode("overwrite").parquet(out_path)
+            write_table(batch, out_path, ["mois"], dynamic=True)
 
     q = (latest_version_stream(stream, keys, order, event_time).writeStream.outputMode("update")
          .foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())

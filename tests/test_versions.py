@@ -147,3 +147,17 @@ def test_content_hash_keeps_nulls(spark):
     df = spark.createDataFrame([("a", None), ("a", "")], "x string, y string")
     hashes = [r.h for r in df.select(V.content_hash(["x", "y"]).alias("h")).collect()]
     assert hashes[0] != hashes[1]
+
+
+def test_month_partitioned_raw_table(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    t0 = dt.datetime(2026, 10, 5)
+    data = [wrow(1.0, "37001", "2026-09-30"), wrow(1.0, "37001", "2026-10-01")]
+    assert V.load_versioned(spark, path, spark.createDataFrame(data, WEATHER), "weather", "m1",
+                            inserted_at=t0, partition_by=["mois"]) == 2
+    data2 = [wrow(2.0, "37001", "2026-10-01"), wrow(1.0, "37001", "2026-09-30")]
+    assert V.load_versioned(spark, path, spark.createDataFrame(data2, WEATHER), "weather", "m2",
+                            inserted_at=t0 + dt.timedelta(hours=1), partition_by=["mois"]) == 1
+    assert sorted(r.mois for r in spark.read.parquet(path).select("mois").distinct().collect()) == ["2026-09", "2026-10"]
+    tables.rollback_table(spark, path, "m2", ["mois"])
+    assert spark.read.parquet(path).count() == 2

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hydromart.functions.codes import safe_ratio
@@ -101,6 +101,39 @@ def classify_observations(obs: DataFrame, thresholds: DataFrame, station: str =
         F.col("n_annees_reference"), min_years))
 
 
+def classify_in_place(obs: DataFrame, station: str = "code_station", date: str = "date_obs_elab",
+                      value: str = "resultat_obs_elab", qualification: str = "code_qualification",
+                      status: str = "code_statut", quantiles: Sequence[float] = QUANTILES,
+                      accuracy: int = 10000, min_years: int = MIN_REFERENCE_YEARS,
+                      good_qualification: str = GOOD_QUALIFICATION,
+                      good_statuses: Sequence[str] = GOOD_STATUSES) -> DataFrame:
+    """MD-11 without a self-join: thresholds as window aggregates over (station, month).
+
+    Valid for observations at the (station, day) grain, where a station-month group holds at
+    most 31 rows per year of history. The rows are hash-partitioned by station once; that
+    partitioning satisfies both this window and the later per-station lag/lead windows, so the
+    whole river chain costs one shuffle and one evaluation of the observations. Results equal
+    ``classify_observations(obs, monthly_thresholds(obs))``: a month without usable rows gets
+    NULL thresholds and counts, like the left join.
+    """
+    x = F.col(value)
+    usable = usable_observation(F.col(qualification), F.col(status), x, good_qualification, good_statuses)
+    w = Window.partitionBy(station, F.month(date))
+    n = F.count(F.when(usable, F.lit(1))).over(w)
+    q = F.percentile_approx(F.when(usable, x), F.array(*[F.lit(v) for v in quantiles]), accuracy).over(w)
+    years = F.size(F.collect_set(F.when(usable, F.year(date))).over(w)).cast("long")
+    names = [f"p{round(v * 100)}" for v in quantiles]
+    out = (obs.repartition(F.col(station))
+           .withColumns({"_n": n, "_q": q, "_y": years})
+           .withColumns({**{nm: F.when(F.col("_n") > 0, F.col("_q")[i]) for i, nm in enumerate(names)},
+                         "n_reference": F.when(F.col("_n") > 0, F.col("_n")),
+                         "n_annees_reference": F.when(F.col("_n") > 0, F.col("_y"))})
+           .drop("_n", "_q", "_y"))
+    return out.withColumn("niveau_hydrologique", level_class(
+        x, F.col(qualification), F.col(status), F.col("p90"), F.col("p95"), F.col("p99"),
+        F.col("n_annees_reference"), min_years, good_qualification, good_statuses))
+
+
 def hydro_thresholds_mart(obs: DataFrame, station: str = "code_station",
                           date: str = "date_obs_elab", value: str = "resultat_obs_elab",
                           qualification: str = "code_qualification", status: str = "code_statut",
@@ -109,8 +142,12 @@ def hydro_thresholds_mart(obs: DataFrame, station: str = "code_station",
     """MD-11 ``fct_hydro``: every observation with its station-month thresholds and class.
 
     A rebuilt mart (SNK-10): thresholds depend on all history, so it is never incremental.
+    The default path computes thresholds in place (``classify_in_place``); exact quantiles or
+    thresholds restricted to past data (``before``) use the aggregate + join path.
     """
     cols = dict(station=station, date=date, value=value, qualification=qualification, status=status)
+    if not exact and before is None:
+        return classify_in_place(obs, min_years=min_years, **cols)
     th = monthly_thresholds(obs, exact=exact, before=before, **cols)
     return classify_observations(obs, th, min_years=min_years, **cols)
 

@@ -1004,3 +1004,113 @@ def q_stream_latest_version(spark, sf_dir):
                       F.col("ts").cast("timestamp").alias("event_time")))  # UTC session: same instant
     ingest.run_latest_to_table(spark, stream, EV_KEYS, EV_ORDER, "event_time", f"{base}/table", f"{base}/ckpt")
     return spark.read.parquet(f"{base}/table").select(*EV_COLS)  # partition column dropped
+
+
+# --------------------------------------------------------------------------- more staging, profiles, ledger
+@register("staging_obs", """
+WITH raw AS (
+  SELECT ' ' || event_type || ' ' AS code_station, CAST(CAST(ts AS DATE) AS VARCHAR) AS date_obs_elab,
+         ' HIXnJ' AS grandeur_hydro_elab, value AS resultat_obs_elab, ts AS date_prod,
+         date_trunc('hour', ts) AS inserted_at, md5(CAST(event_id AS VARCHAR)) AS raw_hash
+  FROM events
+),
+latest AS (
+  SELECT * FROM raw
+  QUALIFY row_number() OVER (PARTITION BY trim(code_station), TRY_CAST(date_obs_elab AS DATE), trim(grandeur_hydro_elab)
+                             ORDER BY inserted_at DESC NULLS LAST, date_prod DESC NULLS LAST, raw_hash DESC NULLS LAST) = 1
+)
+SELECT md5(concat(trim(code_station), '|', date_obs_elab, '|', trim(grandeur_hydro_elab))) AS row_hash,
+       trim(code_station) AS code_station, TRY_CAST(date_obs_elab AS DATE) AS date_obs_elab,
+       trim(grandeur_hydro_elab) AS grandeur_hydro_elab, resultat_obs_elab, date_prod, inserted_at
+FROM latest""")
+def q_staging_obs(spark, sf_dir):
+    # events as raw river rows: untrimmed codes, hourly load instants (ties), production time = ts.
+    ev = testbed.table(spark, sf_dir, "events")
+    raw = ev.select(
+        F.lit("site").alias("code_site"), F.concat(F.lit(" "), "event_type", F.lit(" ")).alias("code_station"),
+        F.to_date("ts").cast("string").alias("date_obs_elab"), F.col("value").alias("resultat_obs_elab"),
+        F.col("ts").alias("date_prod"), F.lit("16").alias("code_statut"), F.lit("").alias("libelle_statut"),
+        F.lit("").alias("code_methode"), F.lit("").alias("libelle_methode"), F.lit("20").alias("code_qualification"),
+        F.lit("").alias("libelle_qualification"), F.lit(None).cast("double").alias("longitude"),
+        F.lit(None).cast("double").alias("latitude"), F.lit(" HIXnJ").alias("grandeur_hydro_elab"),
+        F.md5(F.col("event_id").cast("string")).alias("row_hash"),
+        F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("inserted_at"), F.lit("b").alias("batch_id"))
+    out = staging.stg_obs(raw)
+    return out.select("row_hash", "code_station", "date_obs_elab", "grandeur_hydro_elab", "resultat_obs_elab",
+                      F.col("date_prod").cast("timestamp_ntz").alias("date_prod"), "inserted_at")
+
+
+@register("ledger_upsert", """
+WITH done AS (
+  SELECT o_orderpriority AS grandeur_hydro_elab, CAST(date_trunc('month', o_orderdate) AS DATE) AS mois,
+         count(*) AS nb_lignes, TIMESTAMP '2001-08-01 00:00:00' AS termine_le
+  FROM orders WHERE o_orderstatus = 'F' GROUP BY 1, 2
+),
+fresh AS (
+  SELECT o_orderpriority AS grandeur_hydro_elab, CAST(date_trunc('month', o_orderdate) AS DATE) AS mois,
+         count(*) AS nb_lignes, TIMESTAMP '2001-08-10 06:00:00' AS termine_le
+  FROM orders WHERE o_orderstatus = 'P' GROUP BY 1, 2
+)
+SELECT * FROM done d WHERE NOT EXISTS (SELECT 1 FROM fresh f WHERE f.grandeur_hydro_elab = d.grandeur_hydro_elab
+                                       AND f.mois = d.mois)
+UNION ALL SELECT * FROM fresh""")
+def q_ledger_upsert(spark, sf_dir):
+    # Ledger of finished (measure, month) chunks: months with fully shipped orders are recorded;
+    # a later run records the months holding partially shipped ones.
+    o = testbed.table(spark, sf_dir, "orders")
+
+    def months(status):
+        return (o.where(F.col("o_orderstatus") == status)
+                .groupBy(F.col("o_orderpriority").alias("grandeur_hydro_elab"),
+                         F.trunc("o_orderdate", "MM").alias("mois"))
+                .agg(F.count(F.lit(1)).alias("nb_lignes")))
+    ledger = months("F").withColumn("termine_le", ft.as_timestamp("2001-08-01T00:00:00").cast("timestamp_ntz"))
+    new = vers.ledger_upsert(ledger, months("P"), "2001-08-10T06:00:00")
+    return new.withColumn("termine_le", F.col("termine_le").cast("timestamp_ntz"))
+
+
+@register("dataset_profile", with_ctes(*FEATURE_CHAIN) + """
+SELECT count(*) AS n_rows, 12 AS n_columns, min(date) AS first_date, max(date) AS last_date,
+       count(DISTINCT code_station) AS n_entities, count(target_j1) AS n_labelled,
+       count(*) - count(target_j1) AS n_unlabelled FROM features""")
+def q_dataset_profile(spark, sf_dir):
+    return profile.dataset_profile(build_ml_features(spark, sf_dir)).withColumn("n_columns", F.col("n_columns").cast("int"))
+
+
+@register("coverage_summary", with_ctes(SQL_OBS) + """
+, per AS (SELECT code_station, count(DISTINCT date_obs_elab) AS n_dates FROM obs GROUP BY code_station)
+SELECT count(*) AS n_entities, min(n_dates) AS min_dates, round(avg(n_dates), 6) AS mean_dates,
+       max(n_dates) AS max_dates FROM per""")
+def q_coverage_summary(spark, sf_dir):
+    s = profile.coverage_summary(testbed.river_observations(spark, sf_dir), "code_station", "date_obs_elab")
+    return s.withColumn("mean_dates", F.round("mean_dates", 6))
+
+
+@register("duplicates_on", """
+SELECT count(*) - count(DISTINCT (l_orderkey, l_linenumber)) AS n_duplicates FROM lineitem""")
+def q_duplicates_on(spark, sf_dir):
+    li = testbed.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
+    return profile.duplicates_on(li, ["l_orderkey", "l_linenumber"])
+
+
+@register("found_crossings", with_ctes(*FEATURE_CHAIN, SQL_TEST) + """
+SELECT count(*) FILTER (WHERE p = 1) AS found, count(*) AS total FROM test WHERE depasse_p95_j = 0 AND y = 1""")
+def q_found_crossings(spark, sf_dir):
+    return ml.found_crossings(_persistence_split(spark, sf_dir)["test"])
+
+
+@register("spot_check", """
+SELECT n.n_name AS Commune, 42.0 + ((n.n_nationkey * 37) % 900) / 100.0 AS Latitude,
+       -5.0 + ((n.n_nationkey * 53) % 1300) / 100.0 AS Longitude
+FROM nation n WHERE lower(coalesce(n.n_name, '')) IN ('nation_1', 'nation_12', 'nation_24')""")
+def q_spot_check(spark, sf_dir):
+    names = ["Nation_1", "NATION_12", "nation_24"]  # case-folded lookup parameters
+    return profile.spot_check(testbed.commune_seed(spark, sf_dir), "Commune", names, ["Latitude", "Longitude"])
+
+
+@register("partial_days", with_ctes(SQL_OBS, SQL_WEATHER) + """
+SELECT date, count(*) AS n_rows, count(DISTINCT code_insee) AS n_places FROM meteo
+WHERE pluie_j IS NULL OR pluie_3j IS NULL OR humidite_sol IS NULL GROUP BY date""")
+def q_partial_days(spark, sf_dir):
+    m = marts.weather_days(testbed.daily_weather(spark, sf_dir))
+    return quality.partial_last_day(m, "date", "code_insee", ["pluie_j", "pluie_3j", "humidite_sol"])

@@ -23,9 +23,15 @@ from hydromart.session import checkpoint_dir
 
 def versioned_ingest(spark: SparkSession, landing: str, schema: StructType, raw_path: str, source: str,
                      checkpoint: str | None = None, fmt: str = "json",
-                     available_now: bool = True) -> StreamingQuery:
-    """STR-01: stream landed files into the versioned raw table at ``raw_path``."""
-    stream = spark.readStream.schema(schema).format(fmt).load(landing)
+                     available_now: bool = True, files_per_load: int = 1) -> StreamingQuery:
+    """STR-01: stream landed files into the versioned raw table at ``raw_path``.
+
+    Each micro-batch takes ``files_per_load`` landed files and is one load: a file holding two
+    contents for one key is refused like any batch. Exactly-once comes from the checkpoint; a
+    micro-batch re-run after a failure appends nothing because its content is already current.
+    """
+    stream = (spark.readStream.schema(schema).format(fmt)
+              .option("maxFilesPerTrigger", files_per_load).load(landing))
 
     def per_batch(df: DataFrame, epoch_id: int) -> None:
         load_versioned(df.sparkSession, raw_path, df, source, f"stream-{epoch_id}",

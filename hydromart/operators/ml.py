@@ -38,8 +38,9 @@ def chronological_split(df: DataFrame, cutoff: str = SPLIT_DATE, date: str = "da
 def balanced_weights(df: DataFrame, label: str = LABEL, weight: str = "weight") -> DataFrame:
     """ML-04: ``n / (n_classes * n_class)`` per row. The per-class table has one row per class."""
     per = df.groupBy(label).agg(F.count(F.lit(1)).alias("_nc"))
-    tot = per.agg(F.sum("_nc").alias("_n"), F.count(F.lit(1)).alias("_k"))
-    w = F.broadcast(per.crossJoin(tot).select(label, (F.col("_n") / (F.col("_k") * F.col("_nc"))).alias(weight)))
+    n, k = per.agg(F.sum("_nc")).scalar(), per.agg(F.count(F.lit(1))).scalar()
+    # one row per class (two for a binary label): a broadcast with a proven size bound
+    w = F.broadcast(per.select(label, (n / (k * F.col("_nc"))).alias(weight)))
     return df.join(w, label)
 
 
@@ -197,9 +198,9 @@ PREDICTION_COLUMNS = ["date", "code_station", "code_insee", "code_departement",
 
 
 def latest_rows(features: DataFrame, date: str = "date") -> DataFrame:
-    """JN-12: rows of the latest date (``date = (select max(date))``); the max is one row."""
-    last = F.broadcast(features.agg(F.max(date).alias("_last")))
-    return features.join(last, F.col(date) == F.col("_last")).drop("_last")
+    """JN-12: rows of the latest date, ``date = (select max(date))`` as a scalar subquery; its
+    value is pushed into the Parquet scan as a runtime filter (row groups of other dates skipped)."""
+    return features.where(F.col(date) == features.agg(F.max(date)).scalar())
 
 
 def score_latest(model: PipelineModel, features: DataFrame, predicted_at=None) -> DataFrame:

@@ -20,18 +20,17 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 def class_balance(df: DataFrame, label: str) -> DataFrame:
     """AG-10: count and share per class (``value_counts(normalize=True)``)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy())  # a handful of classes: a one-task window is fine
+    total = counts.agg(F.sum("n")).scalar()  # scalar subquery; the counts' shuffle is reused
     return counts.select(label, "n", (F.col("n") / total).alias("share"))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 30) -> DataFrame:
     """AG-11: equal-width bins between the column's min and max; the max falls in the last bin."""
     x = F.col(column)
-    rng = F.broadcast(df.agg(F.min(x).alias("_lo"), F.max(x).alias("_hi")))  # one row
+    b = df.where(x.isNotNull()).withColumns({"_lo": df.agg(F.min(x)).scalar(), "_hi": df.agg(F.max(x)).scalar()})
     lo, hi = F.col("_lo"), F.col("_hi")
     raw = F.floor((x - lo) / (hi - lo) * bins) + 1
-    b = (df.where(x.isNotNull()).crossJoin(rng)
-         .withColumn("bin", F.when(hi == lo, F.lit(1)).otherwise(F.least(raw, F.lit(bins))).cast("int")))
+    b = b.withColumn("bin", F.when(hi == lo, F.lit(1)).otherwise(F.least(raw, F.lit(bins))).cast("int"))
     width = (hi - lo) / bins
     return (b.groupBy("bin", "_lo", "_hi").agg(F.count(F.lit(1)).alias("n"))
             .select(F.lit(column).alias("feature"), "bin",

@@ -66,11 +66,11 @@ SCORING_FEATURES = ["position_p95", "variation_position_1j", "pluie_j", "pluie_3
 
 def last_date_scorable(features: DataFrame, required: Sequence[str] = SCORING_FEATURES) -> DataFrame:
     """DQ-07 / JN-13: the last date, returned only if none of its rows has every feature."""
-    last = features.agg(F.max("date").alias("date"))
+    last = features.agg(F.max("date")).scalar()
     full = features.where(F.lit(True) if not required else
                           F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in required)))
-    j = F.broadcast(last).join(full.select("date", "code_station"), "date", "left")  # one-row side
-    return j.groupBy("date").agg(F.count("code_station").alias("n")).where(F.col("n") == 0).select("date")
+    n_full = full.where(F.col("date") == last).agg(F.count(F.lit(1))).scalar()
+    return features.agg(F.max("date").alias("date")).where(n_full == 0)
 
 
 def count_range(df: DataFrame, key: str, low: int, high: int, expected: int | None = None) -> DataFrame:
@@ -86,11 +86,11 @@ def coverage(df: DataFrame, entity: str, date: str) -> DataFrame:
     """DQ-11 / AG-07: entities with fewer distinct dates than the full calendar of the data.
 
     The expected count is the number of days between the overall first and last date
-    (a one-row aggregate, broadcast by construction).
+    (a scalar subquery).
     """
-    span = F.broadcast(df.agg((F.datediff(F.max(date), F.min(date)) + 1).alias("expected")))
+    expected = df.agg(F.datediff(F.max(date), F.min(date)) + 1).scalar()
     per = df.groupBy(entity).agg(F.count_distinct(date).alias("n_dates"))
-    return per.crossJoin(span).where(F.col("n_dates") < F.col("expected"))
+    return per.withColumn("expected", expected).where(F.col("n_dates") < F.col("expected"))
 
 
 def partial_last_day(df: DataFrame, date: str, entity: str, measures: Sequence[str]) -> DataFrame:
@@ -107,8 +107,7 @@ def scoring_preconditions(features: DataFrame, keys: Sequence[str] = ("date", "c
 
     One row per problem (``problem``, ``n``); empty means the latest date can be scored.
     """
-    last = features.agg(F.max("date").alias("_last"))
-    latest = features.join(F.broadcast(last), F.col("date") == F.col("_last")).drop("_last")
+    latest = features.where(F.col("date") == features.agg(F.max("date")).scalar())
     empty = latest.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == 0) \
         .select(F.lit("no rows").alias("problem"), "n")
     dups = grain(latest, list(keys), "n").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 0) \

@@ -186,14 +186,13 @@ def incremental_rows(source: DataFrame, mart: DataFrame, date: str = "date",
                      hash_col: str = "row_hash", lookback_days: int = 35) -> DataFrame:
     """SNK-09: rows to reprocess: ``date >= max(mart.date) - lookback`` OR hash absent from mart.
 
-    The mart's max date is a one-row aggregate (broadcast is size-proven). The two branches
-    are disjoint, so the anti-join only scans the rows older than the window.
+    The mart's max date is a scalar subquery. The two branches are disjoint, so the anti-join
+    only processes the source rows older than the window.
     """
-    edge = F.broadcast(mart.agg(F.date_sub(F.max(date), lookback_days).alias("_edge")))
-    s = source.crossJoin(edge)
-    recent = F.coalesce(F.col(date) >= F.col("_edge"), F.lit(False))
-    fresh = s.where(recent).drop("_edge")
-    old = s.where(~recent).drop("_edge").join(mart.select(hash_col), hash_col, "left_anti")
+    edge = mart.agg(F.date_sub(F.max(date), lookback_days)).scalar()  # scalar subquery
+    recent = F.coalesce(F.col(date) >= edge, F.lit(False))
+    fresh = source.where(recent)
+    old = source.where(~recent).join(mart.select(hash_col), hash_col, "left_anti")
     return fresh.unionByName(old)
 
 

@@ -464,7 +464,7 @@ def q_resume_global(spark, sf_dir):
                               .select(F.to_date("l_shipdate").alias("d")), "d").withColumnRenamed("last_date", "last_obs")
     b = vers.global_last_date(testbed.table(spark, sf_dir, "orders")
                               .select(F.to_date("o_orderdate").alias("d")), "d").withColumnRenamed("last_date", "last_weather")
-    both = a.crossJoin(b).withColumn("last_common", F.least("last_obs", "last_weather"))
+    both = a.withColumn("last_weather", b.scalar()).withColumn("last_common", F.least("last_obs", "last_weather"))
     return both.withColumn("start_date", vers.resume_start("last_common", vers.resume_end(RESUME_TODAY)))
 
 

@@ -182,6 +182,13 @@ def train_test_report(train: DataFrame, test: DataFrame, label: str = LABEL,
     return classification_report(both, label, prediction, by=["split"])
 
 
+def split_report(df: DataFrame, cutoff: str = SPLIT_DATE, date: str = "date", label: str = LABEL,
+                 prediction: str = "prediction") -> DataFrame:
+    """ML-11 in one pass over one frame: the split is a column, not two filtered copies."""
+    split = F.when(F.col(date) < F.lit(cutoff).cast("date"), F.lit("train")).otherwise(F.lit("test"))
+    return classification_report(df.withColumn("split", split), label, prediction, by=["split"])
+
+
 def reliability_bins(df: DataFrame, proba: str = "probabilite_depassement_j1", label: str = LABEL,
                      bins: int = 10) -> DataFrame:
     """ML-15: calibration table: mean predicted probability vs observed rate per probability bin."""

@@ -20,7 +20,9 @@ def null_profile(df: DataFrame, columns: Sequence[str] | None = None) -> DataFra
 def class_balance(df: DataFrame, label: str) -> DataFrame:
     """AG-10: count and share per class (``value_counts(normalize=True)``)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.sum("n")).scalar()  # scalar subquery; the counts' shuffle is reused
+    # The window's input is the per-class counts (one row per class), so an unpartitioned
+    # window is bounded and evaluates the source once (a scalar total would read it again).
+    total = F.sum("n").over(Window.partitionBy())
     return counts.select(label, "n", (F.col("n") / total).alias("share"))
 
 

@@ -65,12 +65,17 @@ SCORING_FEATURES = ["position_p95", "variation_position_1j", "pluie_j", "pluie_3
 
 
 def last_date_scorable(features: DataFrame, required: Sequence[str] = SCORING_FEATURES) -> DataFrame:
-    """DQ-07 / JN-13: the last date, returned only if none of its rows has every feature."""
-    last = features.agg(F.max("date")).scalar()
-    full = features.where(F.lit(True) if not required else
-                          F.expr(" AND ".join(f"`{c}` IS NOT NULL" for c in required)))
-    n_full = full.where(F.col("date") == last).agg(F.count(F.lit(1))).scalar()
-    return features.agg(F.max("date").alias("date")).where(n_full == 0)
+    """DQ-07 / JN-13: the last date, returned only if none of its rows has every feature.
+
+    One pass: fully-populated rows counted per date, then the count of the latest date taken
+    with ``max_by`` (an empty table yields its NULL last date, like the SQL left join).
+    """
+    full = F.lit(True)
+    for c in required:
+        full = full & F.col(c).isNotNull()
+    per_date = features.groupBy("date").agg(F.count_if(full).alias("n_full"))
+    last = per_date.agg(F.max("date").alias("date"), F.max_by("n_full", "date").alias("n_full"))
+    return last.where(F.coalesce(F.col("n_full"), F.lit(0)) == 0).select("date")
 
 
 def count_range(df: DataFrame, key: str, low: int, high: int, expected: int | None = None) -> DataFrame:
@@ -106,10 +111,16 @@ def scoring_preconditions(features: DataFrame, keys: Sequence[str] = ("date", "c
     """DQ-12: problems that block scoring the last date: no rows, or duplicated keys on it.
 
     One row per problem (``problem``, ``n``); empty means the latest date can be scored.
+    One pass: rows per key, then per date (rows, duplicated keys), then the latest date's
+    figures via ``max_by``.
     """
-    latest = features.where(F.col("date") == features.agg(F.max("date")).scalar())
-    empty = latest.agg(F.count(F.lit(1)).alias("n")).where(F.col("n") == 0) \
-        .select(F.lit("no rows").alias("problem"), "n")
-    dups = grain(latest, list(keys), "n").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 0) \
-        .select(F.lit("duplicated keys").alias("problem"), "n")
-    return empty.unionByName(dups)
+    date, *rest = keys
+    per_key = features.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    per_date = per_key.groupBy(date).agg(F.sum("_n").alias("_rows"), F.count_if(F.col("_n") > 1).alias("_dups"))
+    last = per_date.agg(F.max_by("_rows", date).alias("_rows"), F.max_by("_dups", date).alias("_dups"))
+    problems = F.array(
+        F.struct(F.lit("no rows").alias("problem"), F.coalesce(F.col("_rows"), F.lit(0)).cast("long").alias("n")),
+        F.struct(F.lit("duplicated keys").alias("problem"), F.coalesce(F.col("_dups"), F.lit(0)).cast("long").alias("n")))
+    out = last.select(F.inline(problems))
+    return out.where(((F.col("problem") == "no rows") & (F.col("n") == 0))
+                     | ((F.col("problem") == "duplicated keys") & (F.col("n") > 0)))

@@ -186,14 +186,14 @@ def incremental_rows(source: DataFrame, mart: DataFrame, date: str = "date",
                      hash_col: str = "row_hash", lookback_days: int = 35) -> DataFrame:
     """SNK-09: rows to reprocess: ``date >= max(mart.date) - lookback`` OR hash absent from mart.
 
-    The mart's max date is a scalar subquery. The two branches are disjoint, so the anti-join
-    only processes the source rows older than the window.
+    The mart's max date is a scalar subquery; one left join on the mart's unique hash marks
+    the absent rows, so the source (typically a staging view) is evaluated once.
     """
     edge = mart.agg(F.date_sub(F.max(date), lookback_days)).scalar()  # scalar subquery
     recent = F.coalesce(F.col(date) >= edge, F.lit(False))
-    fresh = source.where(recent)
-    old = source.where(~recent).join(mart.select(hash_col), hash_col, "left_anti")
-    return fresh.unionByName(old)
+    known = mart.select(hash_col).withColumn("_in_mart", F.lit(True))  # hash is the mart's unique key
+    return (source.join(known, hash_col, "left")
+            .where(recent | F.col("_in_mart").isNull()).drop("_in_mart"))
 
 
 def incremental_merge(source: DataFrame, mart: DataFrame, date: str = "date",

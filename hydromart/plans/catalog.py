@@ -148,6 +148,13 @@ def fct_hydro(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFr
     return th.hydro_thresholds_mart(testbed.river_observations(spark, sf_dir, grain))
 
 
+def features_table(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
+    """The feature mart materialised with a reliable checkpoint (``spark.checkpoint.dir``)."""
+    from hydromart.session import checkpoint_dir
+    checkpoint_dir(spark)
+    return build_ml_features(spark, sf_dir, grain).checkpoint(eager=True)
+
+
 def build_ml_features(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
     stations = marts.stations_with_commune(testbed.station_directory(spark, sf_dir, grain),
                                            testbed.communes(spark, sf_dir, grain))
@@ -811,7 +818,9 @@ SELECT 'position_p95' AS feature, bin, round(lo + (bin - 1) * (hi - lo) / 30, 6)
        round(lo + bin * (hi - lo) / 30, 6) AS upper, count(*) AS n
 FROM b GROUP BY bin, lo, hi""")
 def q_histogram(spark, sf_dir):
-    h = profile.histogram(build_ml_features(spark, sf_dir), "position_p95", 30)
+    # Binning needs the range first: the features are materialised once (like the stored mart)
+    # so the min/max subqueries and the binning pass read that instead of recomputing the chain.
+    h = profile.histogram(features_table(spark, sf_dir), "position_p95", 30)
     return h.withColumn("lower", F.round("lower", 6)).withColumn("upper", F.round("upper", 6))
 
 
@@ -894,8 +903,8 @@ def q_new_crossings(spark, sf_dir):
 
 @register("train_test_report", with_ctes(*FEATURE_CHAIN, SQL_SPLITS) + _report_sql("splits", "split"))
 def q_train_test_report(spark, sf_dir):
-    s = _persistence_split(spark, sf_dir)
-    return _round_report(ml.train_test_report(s["train"], s["test"]))
+    labelled = ml.persistence(build_ml_features(spark, sf_dir).where(F.col("target_j1").isNotNull()))
+    return _round_report(ml.split_report(labelled, ML_CUTOFF))
 
 
 def _fitted(spark, sf_dir, kind="logistic"):

@@ -70,5 +70,9 @@ def spread(df, min_partitions: int | None = None):
     arrive in many splits and this is a no-op; it only matters for inputs stored as a single
     Parquet row group, which Spark cannot split.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(target) if df.rdd.getNumPartitions() < target else df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the scan as it is
+        return df
+    return df.repartition(target) if splits < target else df

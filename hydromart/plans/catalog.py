@@ -945,14 +945,11 @@ from hydromart.sources import landing  # noqa: E402
 
 def _series_docs(spark, sf_dir):
     """One API-style document per (station, month): parallel daily arrays (at most 31 entries)."""
-    obs = testbed.river_observations(spark, sf_dir)
-    w = testbed.daily_weather(spark, sf_dir).select(
-        F.col("code_insee"), F.col("date").alias("date_obs_elab"), "pluie_totale")
-    day = obs.join(w.withColumn("code_station", F.regexp_replace("code_insee", "^0+(?=.)", "")).drop("code_insee"),
-                   ["code_station", "date_obs_elab"], "left")
-    # temperature_2m_mean plays the required measure; a qualification other than 20 blanks it.
-    day = day.withColumn("temperature_2m_mean",
-                         F.when(F.col("code_qualification") == "20", F.col("resultat_obs_elab")))
+    day = testbed.station_days(spark, sf_dir).select(
+        "code_station", "date_obs_elab", F.col("pluie_totale"),
+        # temperature_2m_mean plays the required measure; a qualification other than 20 blanks it.
+        F.when(F.col("_min_flag") == "R", F.lit(None).cast("double"))
+        .otherwise(F.col("resultat_obs_elab")).alias("temperature_2m_mean"))
     items = F.sort_array(F.collect_list(F.struct(
         F.col("date_obs_elab").cast("string").alias("t"), F.col("temperature_2m_mean").alias("m"),
         F.col("pluie_totale").alias("r"))))

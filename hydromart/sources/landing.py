@@ -8,21 +8,26 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def series_problems(docs: DataFrame, variables: Sequence[str], place_cols: Sequence[str],
-                    series_col: str = "daily", time_field: str = "time") -> DataFrame:
-    """DQ-10 for SRC-04: documents with an empty ``time``, a missing variable, or an array whose
-    length differs from ``time``'s. One row per (document, problem)."""
+def _problems(variables: Sequence[str], series_col: str, time_field: str) -> F.Column:
+    """Array of problem labels of one document (empty when the document is consistent)."""
     s = F.col(series_col)
     n = F.size(s[time_field])
     checks = [F.when(s[time_field].isNull() | (n <= 0), F.lit(f"empty {time_field}"))]
     for v in variables:
         checks.append(F.when(s[v].isNull(), F.lit(f"missing {v}"))
                       .when(F.size(s[v]) != n, F.lit(f"length {v}")))
-    return (docs.select(*place_cols, F.filter(F.array(*checks), lambda x: x.isNotNull()).alias("p"))
+    return F.filter(F.array(*checks), lambda x: x.isNotNull())
+
+
+def series_problems(docs: DataFrame, variables: Sequence[str], place_cols: Sequence[str],
+                    series_col: str = "daily", time_field: str = "time") -> DataFrame:
+    """DQ-10 for SRC-04: documents with an empty ``time``, a missing variable, or an array whose
+    length differs from ``time``'s. One row per (document, problem)."""
+    return (docs.select(*place_cols, _problems(variables, series_col, time_field).alias("p"))
             .select(*place_cols, F.explode("p").alias("problem")))
 
 
@@ -31,14 +36,12 @@ def explode_series(docs: DataFrame, variables: Sequence[str], place_cols: Sequen
                    required: str | None = "temperature_2m_mean", strict: bool = True) -> DataFrame:
     """SRC-04: one row per day from a document of parallel arrays, with the place columns.
 
-    ``strict`` keeps only documents without problems (see ``series_problems``); the lenient
-    variant turns a missing array into NULLs. Days whose ``required`` value is NULL are dropped.
+    ``strict`` keeps only documents without problems (a per-document filter, one pass); the
+    lenient variant turns a missing array into NULLs. Days whose ``required`` value is NULL
+    are dropped.
     """
     s = F.col(series_col)
-    src = docs
-    if strict:
-        bad = series_problems(docs, variables, place_cols, series_col, time_field).select(*place_cols)
-        src = docs.join(bad.distinct(), list(place_cols), "left_anti")
+    src = docs.where(F.size(_problems(variables, series_col, time_field)) == 0) if strict else docs
     n = F.size(s[time_field])
     arrays = [s[time_field].alias(time_field)]
     for v in variables:
@@ -52,6 +55,15 @@ def explode_series(docs: DataFrame, variables: Sequence[str], place_cols: Sequen
     return rows
 
 
+def _with_request_totals(pages: DataFrame, request_col: str, count_col: str, data_col: str) -> DataFrame:
+    """Announced count (first page's) and received records per request, as window columns.
+    A window partition holds one request's pages."""
+    w = Window.partitionBy(request_col)
+    return pages.withColumns({
+        "_announced": F.min_by(F.col(count_col), F.col("page")).over(w),
+        "_received": F.sum(F.coalesce(F.size(data_col), F.lit(0))).over(w)})
+
+
 def page_problems(pages: DataFrame, request_col: str = "request_id", count_col: str = "count",
                   data_col: str = "data") -> DataFrame:
     """DQ-10 for SRC-05: requests whose pages hold a different number of records than the
@@ -67,7 +79,7 @@ def explode_pages(pages: DataFrame, request_col: str = "request_id", data_col: s
     """SRC-05: one row per record of every page envelope ``{count, data[]}``."""
     src = pages
     if strict:
-        src = pages.join(page_problems(pages, request_col, count_col, data_col).select(request_col),
-                         request_col, "left_anti")
+        t = _with_request_totals(pages, request_col, count_col, data_col)
+        src = t.where(F.col("_announced").isNull() | (F.col("_announced") == F.col("_received")))
     return src.select(request_col, "page", F.explode(data_col).alias("record")).select(
         request_col, "page", "record.*")

@@ -59,5 +59,6 @@ def as_timestamp(value) -> Column:
 
 def sentinel_date(ts: ColumnOrName, floor: str = "1900-01-01") -> Column:
     """FN-14: a timestamp before ``floor`` is a sentinel and becomes NULL; otherwise its date."""
-    ts = _col(ts)
-    return F.when(ts < F.lit(floor).cast("timestamp"), F.lit(None).cast("date")).otherwise(F.to_date(ts))
+    # ts < floor 00:00  <=>  date(ts) < floor, for zoned and zone-less timestamps alike
+    day = F.to_date(_col(ts))
+    return F.when(day < F.lit(floor).cast("date"), F.lit(None).cast("date")).otherwise(day)

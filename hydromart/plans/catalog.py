@@ -360,8 +360,9 @@ def _orders_halves(spark, sf_dir):
         return df.select("o_orderkey", "o_custkey", status.alias("o_orderstatus"), "o_totalprice",
                          F.to_date("o_orderdate").alias("o_orderdate")).withColumn(
             "row_hash", F.md5(F.concat_ws("|", "o_orderstatus", F.col("o_totalprice").cast("string"))))
-    tgt = shaped(o.where(F.col("o_orderdate") < F.lit("1997-01-01").cast("timestamp")), F.col("o_orderstatus"))
-    src = shaped(o.where(F.col("o_orderdate") >= F.lit("1996-01-01").cast("timestamp")), F.lit("F"))
+    day = F.to_date("o_orderdate")  # date bounds: independent of the session time zone
+    tgt = shaped(o.where(day < F.lit("1997-01-01").cast("date")), F.col("o_orderstatus"))
+    src = shaped(o.where(day >= F.lit("1996-01-01").cast("date")), F.lit("F"))
     return tgt, src
 
 

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hydromart.functions.codes import clean
@@ -155,19 +155,37 @@ def plan_load(raw: DataFrame, batch: DataFrame, keys: Sequence[str], order: Sequ
     return {"conflicts": conflicts, "to_append": changed_rows(deduped, current, keys)}
 
 
-def version_changes(raw: DataFrame, keys: Sequence[str], order: Sequence[str],
-                    content: str) -> DataFrame:
+def version_changes(raw: DataFrame, keys: Sequence[str], order: Sequence[str], content: str,
+                    chunks: int | None = None) -> DataFrame:
     """Rows whose content differs from the previous version of the same key (A->B->A counts 3).
 
-    History replay of VER-06: ``lag`` over the key's versions in load order; the window
-    partition is one business key (entity x day), i.e. its own version list.
+    History replay of VER-06 (``lag`` over a key's versions in load order, NULL-safe compare),
+    computed so that no key has to fit in one task:
+
+    1. range-partition by (key, load order): a key with very many versions spans several
+       partitions (chunks); ``lag`` runs inside each (key, chunk);
+    2. a boundary table with one row per (key, chunk) -- its last content -- gives each chunk's
+       first row the last content of the preceding chunk of the same key.
+
+    ``order`` columns sort ascending with NULLs first (the oldest load first).
     """
-    from pyspark.sql import Window
-    w = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_first() for c in order])
-    return (raw.withColumn("_prev", F.lag(content).over(w))
-            .withColumn("_first", F.row_number().over(w) == 1)
-            .where(F.col("_first") | ~F.col(content).eqNullSafe(F.col("_prev")))
-            .drop("_prev", "_first"))
+    spark = raw.sparkSession
+    n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ords = [F.col(c).asc_nulls_first() for c in order]
+    chunked = raw.repartitionByRange(n, *[F.col(k) for k in keys], *ords).withColumn("_chunk", F.spark_partition_id())
+    w = Window.partitionBy(*keys, "_chunk").orderBy(*ords)
+    local = chunked.withColumns({"_prev": F.lag(content).over(w), "_first": F.row_number().over(w) == 1})
+    rank = F.struct(*[F.col(c) for c in order])
+    ends = local.groupBy(*keys, "_chunk").agg(F.max_by(F.col(content), rank).alias("_last"))
+    wc = Window.partitionBy(*keys).orderBy("_chunk")  # at most one row per chunk of a key
+    bounds = ends.select(*keys, "_chunk", F.lag("_last").over(wc).alias("_prev_chunk_last"),
+                         F.lag(F.lit(True)).over(wc).alias("_has_prev_chunk"))
+    heads = local.where("_first").join(bounds, [*keys, "_chunk"], "left")
+    head_keep = ~F.coalesce(F.col("_has_prev_chunk"), F.lit(False)) | \
+        ~F.col(content).eqNullSafe(F.col("_prev_chunk_last"))
+    body = local.where(~F.col("_first") & ~F.col(content).eqNullSafe(F.col("_prev")))
+    cols = raw.columns
+    return body.select(*cols).unionByName(heads.where(head_keep).select(*cols))
 
 
 # ----------------------------------------------------------------------------- VER-08..13

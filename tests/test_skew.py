@@ -59,3 +59,28 @@ def test_dense_cluster_is_settled_without_pair_checks(spark):
     b = co.select(F.col("latitude").alias("b_lat"), F.col("longitude").alias("b_lon")).withColumn("b_id", F.lit(None))
     settled = {x.a_id for x in geo._share_fine_cell(a, "a_", b, "b_", chord).collect()}
     assert {s for s, *_ in dense_s} <= settled
+
+
+def _brute_changes(rows):
+    out, last = set(), {}
+    for k, t, i, v in sorted(rows, key=lambda r: (r[0], r[1], r[2])):
+        if k not in last or last[k] != v:
+            out.add(i)
+        last[k] = v
+    return out
+
+
+def test_version_changes_of_a_hot_key_spans_chunks(spark):
+    rnd = random.Random(5)
+    t0 = dt.datetime(2026, 1, 1)
+    rows = [("hot", t0 + dt.timedelta(seconds=i), i, float(rnd.choice([1, 1, 2, None]) or 0) if i % 7 else None)
+            for i in range(4000)]
+    rows += [(f"k{j}", t0 + dt.timedelta(seconds=j % 3), 10000 + j, float(j % 2)) for j in range(2000)]
+    df = spark.createDataFrame(rows, "k string, ts timestamp, id int, v double")
+    got = V.version_changes(df, ["k"], ["ts", "id"], "v", chunks=8)
+    chunks = V.version_changes(df, ["k"], ["ts", "id"], "v", chunks=8)
+    assert {r.id for r in got.collect()} == _brute_changes(rows)
+    # the hot key really is split: its rows occupy several range partitions
+    spread = (df.repartitionByRange(8, "k", "ts", "id").where("k = 'hot'")
+              .select(F.spark_partition_id().alias("p")).distinct().count())
+    assert spread > 1 and chunks.count() == len(_brute_changes(rows))

@@ -33,11 +33,12 @@ def append(df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str
     w.save(path)
 
 
-def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), allow_empty: bool = False) -> None:
+def replace(df: DataFrame, path: str, partition_by: Sequence[str] = (), allow_empty: bool = False,
+            sort_by: Sequence[str] = ()) -> None:
     """SNK-02: full replace; refuses an empty input unless ``allow_empty``."""
     if not allow_empty and df.isEmpty():
         raise EmptyInputError(f"refusing to replace {path} with an empty result")
-    write_table(df, path, partition_by, dynamic=False)
+    write_table(df, path, partition_by, dynamic=False, sort_by=sort_by)
 
 
 def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = (), dynamic: bool = True,

@@ -61,20 +61,25 @@ def build_marts(spark: SparkSession, p: Paths, cutover: str = staging.WEATHER_CU
 
     out = {}
     fct_hydro = thresholds.hydro_thresholds_mart(obs)
+    # SNK-06 layout: month partitions, rows ordered by station inside each file.
     tables.replace(fct_hydro.withColumn("mois_partition", F.trunc("date_obs_elab", "MM")),
-                   p.mart("fct_hydro"), ["mois_partition"])
+                   p.mart("fct_hydro"), ["mois_partition"], sort_by=["code_station", "date_obs_elab"])
     out["fct_hydro"] = p.mart("fct_hydro")
 
     wpath = p.mart("fct_weather")
+    weather = weather.withColumn("mois_partition", F.trunc("date", "MM"))
     if tables.table_exists(spark, wpath):
+        # incremental: only the months holding reprocessed rows are rewritten (dynamic overwrite)
         current = spark.read.parquet(wpath)
-        tables.write_table(tables.incremental_merge(weather.select(*current.columns), current), wpath)
+        rows = tables.incremental_rows(weather.select(*current.columns), current, "date", "row_hash")
+        merged = tables.upsert(current, rows, ["row_hash"], scope=["mois_partition"])
+        tables.write_table(merged, wpath, ["mois_partition"], dynamic=True, sort_by=["code_insee", "date"])
     else:
-        tables.write_table(weather, wpath)
+        tables.write_table(weather, wpath, ["mois_partition"], dynamic=True, sort_by=["code_insee", "date"])
     out["fct_weather"] = wpath
 
     fct_h = spark.read.parquet(out["fct_hydro"]).drop("mois_partition")
-    fct_w = spark.read.parquet(wpath)
+    fct_w = spark.read.parquet(wpath).drop("mois_partition")
     gate({"fct_weather grain": quality.grain(fct_w, ["code_insee", "date"]),
           "fct_hydro thresholds uniform": quality.thresholds_uniform(fct_h)})
 

@@ -124,3 +124,22 @@ def scoring_preconditions(features: DataFrame, keys: Sequence[str] = ("date", "c
     out = last.select(F.inline(problems))
     return out.where(((F.col("problem") == "no rows") & (F.col("n") == 0))
                      | ((F.col("problem") == "duplicated keys") & (F.col("n") > 0)))
+
+
+def feature_freshness(features: DataFrame, river_dates: DataFrame, weather_dates: DataFrame,
+                      today=None, date: str = "date") -> DataFrame:
+    """VER-10 / DQ-12: one row comparing the feature mart with the ingested sources.
+
+    ``last_features`` is the latest feature date, ``last_ingested`` the earlier of the two
+    sources' latest dates; ``lagging`` flags features behind ingestion (days without usable
+    river or weather data) and ``age_days`` is the data age at ``today``. All values are scalar
+    subqueries over the three inputs.
+    """
+    from hydromart.functions.temporal import as_date
+    last_f = features.agg(F.max(date)).scalar()
+    last_r = river_dates.agg(F.max(river_dates.columns[0])).scalar()
+    last_w = weather_dates.agg(F.max(weather_dates.columns[0])).scalar()
+    one = features.sparkSession.range(1)
+    return one.select(last_f.alias("last_features"), F.least(last_r, last_w).alias("last_ingested"),
+                      (last_f < F.least(last_r, last_w)).alias("lagging"),
+                      F.datediff(as_date(today), last_f).alias("age_days"))

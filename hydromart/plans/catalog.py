@@ -1121,3 +1121,18 @@ WHERE pluie_j IS NULL OR pluie_3j IS NULL OR humidite_sol IS NULL GROUP BY date"
 def q_partial_days(spark, sf_dir):
     m = marts.weather_days(testbed.daily_weather(spark, sf_dir))
     return quality.partial_last_day(m, "date", "code_insee", ["pluie_j", "pluie_3j", "humidite_sol"])
+
+
+@register("feature_freshness", with_ctes(*FEATURE_CHAIN) + """
+SELECT (SELECT max(date) FROM features) AS last_features,
+       least((SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem), (SELECT max(CAST(o_orderdate AS DATE)) FROM orders))
+         AS last_ingested,
+       (SELECT max(date) FROM features) <
+       least((SELECT max(CAST(l_shipdate AS DATE)) FROM lineitem), (SELECT max(CAST(o_orderdate AS DATE)) FROM orders))
+         AS lagging,
+       CAST(date_diff('day', (SELECT max(date) FROM features), DATE '2001-11-12') AS INTEGER) AS age_days""")
+def q_feature_freshness(spark, sf_dir):
+    # river ingestion = ship dates, weather ingestion = order dates; "today" is a parameter
+    river = testbed.table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("d"))
+    weather = testbed.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("d"))
+    return quality.feature_freshness(build_ml_features(spark, sf_dir), river, weather, today="2001-11-12")

@@ -82,3 +82,12 @@ def test_incremental_merge_never_deletes(spark):
     src = spark.createDataFrame([("h1", D(2026, 1, 1), 5.0)], "row_hash string, date date, v double")
     got = {r.row_hash: r.v for r in tables.incremental_merge(src, mart, "date").collect()}
     assert got == {"h1": 5.0, "gone": 1.0}
+
+
+def test_csv_append_writes_a_header_per_file(spark, tmp_path):
+    path = str(tmp_path / "csv")
+    df = spark.createDataFrame([("a", 1)], "k string, n int")
+    tables.append_csv_with_header(df.coalesce(1), path, sep=";")
+    tables.append_csv_with_header(df.coalesce(1), path, sep=";")
+    back = spark.read.option("header", True).option("sep", ";").schema("k string, n int").csv(path)
+    assert sorted(tuple(r) for r in back.collect()) == [("a", 1), ("a", 1)]

@@ -31,13 +31,34 @@ DEFAULTS = {
 }
 
 
+# Sizing for a large cluster (hundreds of executors, tens of TB per job). Shuffles start with
+# many partitions and AQE coalesces them to ~256 MB, so no reducer has to hold more than it can
+# sort or spill; scans split files into 256 MB tasks; a partition more than 5x the median and
+# above 1 GB is split by the skew-join rule; the runtime broadcast limit stays bounded.
+CLUSTER = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+    "spark.sql.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+}
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
-                  app_name: str = "hydromart", extra: dict | None = None) -> SparkSession:
-    """Return the active session, creating a local one when none exists."""
+                  app_name: str = "hydromart", extra: dict | None = None,
+                  profile: str = "local") -> SparkSession:
+    """Return the active session, creating a local one when none exists.
+
+    ``profile="cluster"`` adds the ``CLUSTER`` sizing; on an existing session, settings the
+    cluster already defines are kept (only the correctness settings in ``REQUIRED`` are forced).
+    """
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
-    conf = {**DEFAULTS, **REQUIRED, **(extra or {})}
+    conf = {**DEFAULTS, **(CLUSTER if profile == "cluster" else {}), **REQUIRED, **(extra or {})}
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     for key, value in conf.items():
@@ -45,6 +66,10 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     spark = builder.getOrCreate()
     for key, value in REQUIRED.items():
         spark.conf.set(key, value)
+    if profile == "cluster":
+        for key, value in CLUSTER.items():
+            if spark.conf.get(key, None) in (None, ""):
+                spark.conf.set(key, value)
     return spark
 
 

@@ -76,3 +76,26 @@ def spot_check(df: DataFrame, name_col: str, names: Sequence[str], coord_cols: S
     wanted = [n.lower() for n in names]
     return (df.where(F.lower(F.coalesce(F.col(name_col), F.lit(""))).isin(wanted))
             .select(name_col, *coord_cols).distinct())
+
+
+def describe(df: DataFrame, columns: Sequence[str], accuracy: int = 10000) -> DataFrame:
+    """AG-07 / AG-09 ``describe``: count, mean, sample std, min, quartiles, max per column.
+
+    One aggregate over all columns (quartiles from the mergeable ``percentile_approx`` sketch,
+    exact below ~``accuracy`` rows), then one output row per column.
+    """
+    cols = list(columns)
+    aggs = []
+    for c in cols:
+        x = F.col(c).cast("double")
+        aggs += [F.count(x).alias(f"{c}|count"), F.avg(x).alias(f"{c}|mean"), F.stddev_samp(x).alias(f"{c}|std"),
+                 F.min(x).alias(f"{c}|min"),
+                 F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy).alias(f"{c}|q"),
+                 F.max(x).alias(f"{c}|max")]
+    one = df.agg(*aggs)
+    rows = F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}|count`").alias("count"),
+                              F.col(f"`{c}|mean`").alias("mean"), F.col(f"`{c}|std`").alias("std"),
+                              F.col(f"`{c}|min`").alias("min"), F.col(f"`{c}|q`")[0].alias("p25"),
+                              F.col(f"`{c}|q`")[1].alias("p50"), F.col(f"`{c}|q`")[2].alias("p75"),
+                              F.col(f"`{c}|max`").alias("max")) for c in cols])
+    return one.select(F.inline(rows))

@@ -1133,3 +1133,19 @@ def q_feature_freshness(spark, sf_dir):
     river = testbed.table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("d"))
     weather = testbed.table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("d"))
     return quality.feature_freshness(build_ml_features(spark, sf_dir), river, weather, today="2001-11-12")
+
+
+@register("describe_coverage", with_ctes(SQL_OBS) + """
+, per AS (SELECT code_station, CAST(count(DISTINCT date_obs_elab) AS DOUBLE) AS n_dates,
+                 CAST(max(resultat_obs_elab) AS DOUBLE) AS top_value FROM obs GROUP BY code_station)
+""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column, count({c}) AS count, round(avg({c}), 6) AS mean, round(stddev_samp({c}), 6) AS std, "
+    f"min({c}) AS min, quantile_disc({c}, 0.25) AS p25, quantile_disc({c}, 0.5) AS p50, "
+    f"quantile_disc({c}, 0.75) AS p75, max({c}) AS max FROM per" for c in ("n_dates", "top_value")))
+def q_describe_coverage(spark, sf_dir):
+    # distinct observed days per station (the EDA coverage table) and each station's top value
+    per = testbed.river_observations(spark, sf_dir).groupBy("code_station").agg(
+        F.count_distinct("date_obs_elab").cast("double").alias("n_dates"),
+        F.max("resultat_obs_elab").alias("top_value"))
+    d = profile.describe(per, ["n_dates", "top_value"])
+    return d.withColumn("mean", F.round("mean", 6)).withColumn("std", F.round("std", 6))

@@ -110,3 +110,15 @@ def test_daily_pipeline_end_to_end(spark, tmp_path):
     n2 = pipeline.score(spark, p, mpath, None, "2026-10-05T07:00:00")
     preds = spark.read.parquet(p.mart("predictions"))
     assert n1 == n2 == preds.count() == f.where(F.col("date") == f.agg(F.max("date")).first()[0]).count()
+
+
+def test_console_entry_builds_marts(spark, tmp_path):
+    from hydromart.__main__ import main
+    base = str(tmp_path)
+    _write_raw(spark, base)
+    out = main(["--raw-obs", f"{base}/raw_obs", "--raw-stations", f"{base}/raw_stations",
+                "--raw-weather", f"{base}/raw_weather", "--weather-history", f"{base}/history",
+                "--communes-csv", f"{base}/communes", "--out", f"{base}/marts", "--cutover", "2000-01-01",
+                "--profile", "local"])
+    assert set(out["marts"]) == {"fct_hydro", "fct_weather", "ml_features"}
+    assert spark.read.parquet(out["marts"]["ml_features"]).count() > 0

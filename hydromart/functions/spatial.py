@@ -33,14 +33,15 @@ def chord_for_arc(radius_m: float) -> float:
     return 2.0 * math.sin(min(math.pi, radius_m / EARTH_RADIUS_M) / 2.0)
 
 
-def grid_cell(lat: ColumnOrName, lon: ColumnOrName, side: float) -> Column:
+def grid_cell(lat: ColumnOrName, lon: ColumnOrName, side: float | Column) -> Column:
     """Integer cube (ix, iy, iz) holding the point's unit vector, for cubes of ``side``.
 
     Two points within chord ``side`` of each other lie in the same or adjacent cubes, which
     makes a radius search an equi-join on cell ids (no polar or antimeridian special cases).
+    ``side`` may be a column (one cube size per row).
     """
     x, y, z = unit_xyz(lat, lon)
-    s = F.lit(side)
+    s = side if isinstance(side, Column) else F.lit(side)
     return F.struct(F.floor(x / s).alias("ix"), F.floor(y / s).alias("iy"), F.floor(z / s).alias("iz"))
 
 

@@ -92,36 +92,45 @@ def nearest_station(communes: DataFrame, stations: DataFrame, radius_m: float =
                     start_level: int = 0) -> DataFrame:
     """JN-10: nearest station for each commune; ties broken by station code.
 
-    ``start_level=1`` skips the first level for communes known to have no station within r
-    (the output of ``communes_without_station``): level 0 could never settle them.
-
-    Level k uses cubes of side ``chord(r) * 2**k``; a commune is settled at the first level
-    whose best candidate is within that side. Each level is one equi-join; the unresolved
-    communes are checkpointed between levels (lineage stays short, executor loss is survivable).
+    Cubes at level k have side ``chord(r) * 2**k``; stations carry one cube id per level. A
+    commune searches the 27 cubes around it at its current level and is settled when its best
+    candidate lies within the level's side (nothing closer can be outside). A commune that saw a
+    candidate at chord d but is not settled jumps straight to the first level whose side covers
+    d, where it is certain to settle; one without any candidate moves up one level. Each round
+    is one equi-join and one aggregate over communes at mixed levels, checkpointed once: the
+    settled rows and the next round's input are both read back from it (short lineage,
+    executor loss survivable, nothing recomputed at the end). ``start_level=1`` suits the
+    output of ``communes_without_station``, for which level 0 can never settle anything.
     """
-    co = _points(communes, commune_id, commune_lat, commune_lon, "b_")
-    st = _points(stations, station_id, station_lat, station_lon, "a_")
     spark = communes.sparkSession
-    side = chord_for_arc(radius_m) * (2.0 ** start_level)
+    c0 = chord_for_arc(radius_m)
+    top = max(start_level, math.ceil(math.log2(2.0 / c0)))  # side >= 2 spans the whole sphere
+    side = F.lit(c0) * F.pow(F.lit(2.0), F.col("lvl"))
+    st = (_points(stations, station_id, station_lat, station_lon, "a_")
+          .withColumn("lvl", F.explode(F.sequence(F.lit(start_level), F.lit(top))))
+          .withColumn("_cell", grid_cell("a_lat", "a_lon", side)))
+    pending = _points(communes, commune_id, commune_lat, commune_lon, "b_").withColumn("lvl", F.lit(start_level))
     settled = []
-    pending = co
     while True:
-        final = side >= 2.0  # one cube neighbourhood spans the whole sphere
-        pairs = _pairs_within(st, pending, side, None)
-        best = pairs.groupBy("b_id", "b_lat", "b_lon").agg(
-            F.min_by(F.struct("a_id", "distance_m"), F.struct("distance_m", "a_id")).alias("best"))
-        # chord of the best distance vs the cube side: inside => nothing closer outside.
+        around = pending.select("*", F.explode(neighbour_cells(grid_cell("b_lat", "b_lon", side))).alias("_cell"))
+        # left join: a commune without any station in its 27 cubes keeps a row with NULL distance
+        pairs = around.join(st, ["lvl", "_cell"], "left").withColumn(
+            "distance_m", haversine_m("a_lat", "a_lon", "b_lat", "b_lon"))
+        order = F.when(F.col("distance_m").isNotNull(), F.struct("distance_m", "a_id"))
+        best = pairs.groupBy("b_id", "b_lat", "b_lon", "lvl").agg(
+            F.min_by(F.struct("a_id", "distance_m"), order).alias("best"))
         chord_best = 2.0 * F.sin(F.col("best.distance_m") / F.lit(2.0 * 6371008.8))
-        ok = best.where(F.lit(final) | (chord_best <= F.lit(side)))
-        settled.append(ok.select(F.col("b_id").alias(commune_id), F.col("best.a_id").alias(station_id),
-                                 F.col("best.distance_m").alias("distance_m")))
-        if final:
-            break
+        done = F.col("best").isNotNull() & ((chord_best <= side) | (F.col("lvl") >= top))
+        jump = F.ceil(F.log2(chord_best / F.lit(c0)))  # first level whose side covers the candidate
+        nxt = F.least(F.lit(top), F.greatest(F.col("lvl") + 1, F.coalesce(jump, F.col("lvl") + 1))).cast("int")
         checkpoint_dir(spark)
-        pending = pending.join(ok.select("b_id"), "b_id", "left_anti").checkpoint(eager=True)
+        rnd = best.select("*", done.alias("_done"), nxt.alias("_next")).checkpoint(eager=True)
+        settled.append(rnd.where("_done").select(F.col("b_id").alias(commune_id), F.col("best.a_id").alias(station_id),
+                                                 F.col("best.distance_m").alias("distance_m")))
+        pending = rnd.where(~F.col("_done") & (F.col("lvl") < top)).select(
+            "b_id", "b_lat", "b_lon", F.col("_next").alias("lvl"))
         if pending.isEmpty():
             break
-        side *= 2.0
     out = settled[0]
     for s in settled[1:]:
         out = out.unionByName(s)

@@ -80,3 +80,14 @@ def test_count_check(spark):
     assert geo.station_count_check(st, 1, 10, 5).first().status == "ok"
     assert geo.station_count_check(st, 1, 10, 6).first().status == "warning"
     assert geo.station_count_check(st, 6, 10).first().status == "error"
+
+
+def test_far_commune_jumps_levels_and_stays_exact(spark):
+    rnd = random.Random(3)
+    stations = [(f"s{i}", 45 + rnd.uniform(0, 1), 2 + rnd.uniform(0, 1)) for i in range(200)] + \
+               [("far", -40.0, 100.0), ("mid", 10.0, 20.0)]
+    communes = [("desert", 0.0, 0.0), ("pole", -89.0, 0.0), ("city", 45.5, 2.5)]
+    co, st = spark.createDataFrame(communes, CO), spark.createDataFrame(stations, ST)
+    _, nearest = brute(communes, stations, 0.0)  # radius 0: every commune uses the fallback
+    got = {x.code_insee: x.code_station for x in geo.nearest_station(co, st, 15000.0).collect()}
+    assert got == nearest

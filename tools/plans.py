@@ -44,7 +44,9 @@ def main(argv):
     lines = ["# Physical plans of the registered queries", "",
              f"AQE final plans after running each query once on `{sf_dir}` (`tools/plans.py`).",
              "Shuffles count hash/range/single-partition exchanges; spreads are the round-robin",
-             "exchanges that fan out single-row-group scans (absent on split inputs).", "",
+             "exchanges that fan out single-row-group scans (absent on split inputs).",
+             "Iterative operators (the nearest-station rounds, ML fits) run their rounds as separate",
+             "jobs over checkpoints; the final plan shown here only reads those checkpoints.", "",
              "| Query | Shuffles | Spreads | Broadcast joins | Sort-merge joins | Reused | Windows | Cartesian |",
              "| --- | --- | --- | --- | --- | --- | --- | --- |"]
     scans = []

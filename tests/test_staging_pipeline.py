@@ -4,7 +4,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
-from hydromart.operators import ml, tables
+from hydromart.operators import ml
 from hydromart.plans import pipeline, staging
 from hydromart.sources import schemas
 

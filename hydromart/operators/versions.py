@@ -324,3 +324,9 @@ def ledger_upsert(ledger: DataFrame, finished: DataFrame, finished_at=None) -> D
     stamped = finished.select("grandeur_hydro_elab", "mois", F.col("nb_lignes").cast("long"),
                               as_timestamp(finished_at).alias("termine_le"))
     return upsert(ledger.select(*stamped.columns), stamped, ["grandeur_hydro_elab", "mois"])
+
+
+def resume_groups(plan: DataFrame, entity: str) -> DataFrame:
+    """VER-09: entities sharing a start date can be fetched together; one row per window with
+    the number of entities (a count, not a list: a window may hold every entity)."""
+    return plan.groupBy("start_date", "end_date").agg(F.count(entity).alias("n_entities"))

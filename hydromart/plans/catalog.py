@@ -1149,3 +1149,10 @@ def q_describe_coverage(spark, sf_dir):
         F.max("resultat_obs_elab").alias("top_value"))
     d = profile.describe(per, ["n_dates", "top_value"])
     return d.withColumn("mean", F.round("mean", 6)).withColumn("std", F.round("std", 6))
+
+
+@register("resume_groups", with_ctes(SQL_RESUME) + """
+SELECT start_date, end_date, count(c_custkey) AS n_entities FROM plan
+WHERE start_date <= end_date GROUP BY start_date, end_date""")
+def q_resume_groups(spark, sf_dir):
+    return vers.resume_groups(_resume(spark, sf_dir), "c_custkey")

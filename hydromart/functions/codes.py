@@ -76,9 +76,12 @@ def strip_marks(c: ColumnOrName) -> Column:
 def place_key(c: ColumnOrName) -> Column:
     """FN-07: accent-free, lower-case name without apostrophes, spaces or hyphens.
 
-    ``Saint-Chély-d'Apcher`` -> ``saintchelydapcher``.
+    ``Saint-Chély-d'Apcher`` -> ``saintchelydapcher``. Precomposed letters are folded first;
+    lower-casing then cannot create a combining mark, so the remaining marks and the
+    separators are removed in one regex pass.
     """
-    return F.regexp_replace(F.lower(strip_marks(c)), r"[' \-]", "")
+    src, dst = _fold_table()
+    return F.regexp_replace(F.lower(F.translate(_col(c), src, dst)), r"[\p{M}' \-]", "")
 
 
 def identity_hash(*parts: ColumnOrName, null_as_empty: bool = False) -> Column:

@@ -84,3 +84,24 @@ def test_version_changes_of_a_hot_key_spans_chunks(spark):
     spread = (df.repartitionByRange(8, "k", "ts", "id").where("k = 'hot'")
               .select(F.spark_partition_id().alias("p")).distinct().count())
     assert spread > 1 and chunks.count() == len(_brute_changes(rows))
+
+
+def test_hot_partition_is_written_by_several_tasks(spark, tmp_path):
+    import os
+    from hydromart.operators import tables
+    rows = [("2026-10", f"S{i % 50}", float(i)) for i in range(6000)] + [("2026-09", "S1", 1.0)]
+    df = spark.createDataFrame(rows, "mois string, code_station string, v double")
+    path = str(tmp_path / "t")
+    sizes = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "16k",  # data >> a partition,
+             "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k"}  # as at scale
+    before = {k: spark.conf.get(k) for k in sizes}
+    for k, v in sizes.items():
+        spark.conf.set(k, v)
+    try:
+        tables.write_table(df, path, ["mois"], sort_by=["code_station"])
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    files = [f for f in os.listdir(os.path.join(path, "mois=2026-10")) if f.endswith(".parquet")]
+    assert len(files) > 1
+    assert spark.read.parquet(path).count() == 6001

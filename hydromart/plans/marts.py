@@ -69,8 +69,9 @@ def stations_with_commune(stations: DataFrame, communes: DataFrame) -> DataFrame
 def weather_days(weather: DataFrame, commune: str = "code_insee", date: str = "date",
                  rain: str = "pluie_totale", moisture: str = "humidite_sol_7_28cm", days: int = 3) -> DataFrame:
     """AG-02 + WN-02: one row per commune-day and the calendar-strict 3-day rain."""
-    # One hash partitioning by commune serves the day collapse and the 3-day window alike.
-    daily = collapse_days(weather.repartition(F.col(commune)), [commune, date], [rain, moisture])
+    # The collapse aggregates map-side first (duplicates of a commune-day never meet in one
+    # task before being combined); the window then runs on at most one row per commune-day.
+    daily = collapse_days(weather, [commune, date], [rain, moisture])
     rolled = strict_rolling_sum(daily, commune, date, rain, days, out="pluie_3j")
     return rolled.select(F.col(commune).alias("code_insee"), F.col(date).alias("date"),
                          F.col(rain).alias("pluie_j"), "pluie_3j",

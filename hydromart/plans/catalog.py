@@ -1156,3 +1156,24 @@ SELECT start_date, end_date, count(c_custkey) AS n_entities FROM plan
 WHERE start_date <= end_date GROUP BY start_date, end_date""")
 def q_resume_groups(spark, sf_dir):
     return vers.resume_groups(_resume(spark, sf_dir), "c_custkey")
+
+
+@register("thresholds_past_only", with_ctes(SQL_OBS) + f"""
+SELECT code_station, CAST(month(date_obs_elab) AS INTEGER) AS mois,
+       quantile_disc(resultat_obs_elab, 0.90) AS p90, quantile_disc(resultat_obs_elab, 0.95) AS p95,
+       quantile_disc(resultat_obs_elab, 0.99) AS p99, count(*) AS n_reference,
+       count(DISTINCT year(date_obs_elab)) AS n_annees_reference
+FROM obs
+WHERE code_qualification = '20' AND code_statut IN ('12', '16') AND resultat_obs_elab IS NOT NULL
+  AND date_obs_elab < DATE '{ML_CUTOFF}'
+GROUP BY code_station, month(date_obs_elab)""")
+def q_thresholds_past_only(spark, sf_dir):
+    # ML-15: thresholds from the training period only, so test labels do not leak into them
+    return th.monthly_thresholds(testbed.river_observations(spark, sf_dir), before=ML_CUTOFF)
+
+
+@register("reliability")
+def q_reliability(spark, sf_dir):
+    # ML-15: calibration of the logistic model on the test period (rows-only: fitted model)
+    _, parts, model = _fitted(spark, sf_dir)
+    return ml.reliability_bins(ml.predict(model, parts["test"]))

@@ -10,7 +10,7 @@ from hydromart.plans.testbed import TABLES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver test data not present")
-SKIP = {"fit_logistic", "fit_forest", "score_latest", "coefficients"}  # covered by test_quality_ml
+SKIP = {"fit_logistic", "fit_forest", "score_latest", "coefficients", "reliability"}  # covered by test_quality_ml
 
 
 def norm(v):

@@ -109,3 +109,34 @@ def score(spark: SparkSession, p: Paths, model_path: str, expected_sha256: str |
         return int(counts.inserted + counts.updated)
     tables.write_table(scored, ppath)
     return spark.read.parquet(ppath).count()
+
+
+# Landed river API pages: {request_id, page, count, data[]} with the records as delivered.
+RIVER_PAGE_SCHEMA = (
+    "request_id string, page int, count int, data array<struct<"
+    "code_site: string, code_station: string, date_obs_elab: string, resultat_obs_elab: double, "
+    "date_prod: string, code_statut: string, libelle_statut: string, code_methode: string, "
+    "libelle_methode: string, code_qualification: string, libelle_qualification: string, "
+    "longitude: double, latitude: double, grandeur_hydro_elab: string>>")
+
+
+def ingest_river_pages(spark: SparkSession, landing_path: str, raw_path: str, batch_id: str,
+                       inserted_at=None, partition_by=("mois",)) -> dict:
+    """Entry point A steps 2-3 on landed files: pages -> records -> versioned raw table.
+
+    Refuses the load when a request's pages do not add up to its announced count (SRC-05),
+    keeps the expected columns (SRC-06), sets aside records without a station (SRC-07) and
+    appends the changed versions (VER-01..06). Returns the appended and rejected counts.
+    """
+    from hydromart.operators.versions import LoadRejected, load_versioned
+    from hydromart.sources import landing
+
+    pages = spark.read.schema(RIVER_PAGE_SCHEMA).json(landing_path)
+    if not landing.page_problems(pages).isEmpty():
+        raise LoadRejected(f"incomplete pages in {landing_path}")
+    records = readers.keep_columns(landing.explode_pages(pages, strict=False), schemas.RIVER_OBS_COLUMNS)
+    records = records.withColumn("date_prod", F.col("date_prod").try_cast("timestamp"))
+    parts = readers.split_missing(records, "code_station")
+    appended = load_versioned(spark, raw_path, parts["kept"], "river", batch_id, inserted_at,
+                              content=schemas.RIVER_OBS_COLUMNS, partition_by=partition_by)
+    return {"appended": appended, "rejected": parts["rejected"].count()}

@@ -122,3 +122,30 @@ def test_console_entry_builds_marts(spark, tmp_path):
                 "--profile", "local"])
     assert set(out["marts"]) == {"fct_hydro", "fct_weather", "ml_features"}
     assert spark.read.parquet(out["marts"]["ml_features"]).count() > 0
+
+
+def test_ingest_landed_pages(spark, tmp_path):
+    import json
+    import pytest
+    from hydromart.operators.versions import LoadRejected
+
+    def rec(st, d, v):
+        return {"code_site": "X", "code_station": st, "date_obs_elab": d, "resultat_obs_elab": v,
+                "date_prod": "2026-10-02T12:00:00Z", "code_statut": "16", "code_qualification": "20",
+                "grandeur_hydro_elab": "HIXnJ", "extra_field": "dropped"}
+    land = tmp_path / "landing"
+    land.mkdir()
+    pages = [{"request_id": "r1", "page": 1, "count": 3, "data": [rec("S1", "2026-10-01", 1.0), rec("S2", "2026-10-01", 2.0)]},
+             {"request_id": "r1", "page": 2, "data": [rec(None, "2026-10-01", 3.0)]}]
+    (land / "p.json").write_text("\n".join(json.dumps(p) for p in pages))
+    raw = str(tmp_path / "raw")
+    t0 = dt.datetime(2026, 10, 5)
+    assert pipeline.ingest_river_pages(spark, str(land), raw, "b1", t0) == {"appended": 2, "rejected": 1}
+    assert pipeline.ingest_river_pages(spark, str(land), raw, "b2", t0 + dt.timedelta(hours=1)) == \
+        {"appended": 0, "rejected": 1}
+    assert set(spark.read.parquet(raw).columns) >= set(schemas.RIVER_OBS_COLUMNS) | {"row_hash", "mois"}
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "p.json").write_text(json.dumps({"request_id": "r2", "page": 1, "count": 5, "data": [rec("S1", "2026-10-02", 1.0)]}))
+    with pytest.raises(LoadRejected):
+        pipeline.ingest_river_pages(spark, str(bad), raw, "b3")

@@ -1,6 +1,7 @@
 """Daily run: ``python -m hydromart --raw-obs ... --out ... [--model ... --model-sha256 ...]``.
 
-Builds the staging views and marts with their quality gates, then (when a model is given)
+Optionally loads landed river pages into the raw table first (``--landed-river-pages``), builds
+the staging views and marts with their quality gates, then (when a model is given)
 scores the latest feature date and upserts the predictions. The session comes from
 ``spark-submit``/the cluster; only unset settings are filled in.
 """
@@ -26,10 +27,17 @@ def main(argv: list[str] | None = None) -> dict:
     ap.add_argument("--model", help="saved PipelineModel to score with")
     ap.add_argument("--model-sha256", help="expected fingerprint of the saved model")
     ap.add_argument("--profile", default="cluster", choices=["local", "cluster"])
+    ap.add_argument("--landed-river-pages", help="landed API pages to load into --raw-obs first")
+    ap.add_argument("--batch-id", help="batch id of that load (default: UTC timestamp)")
     a = ap.parse_args(argv)
     spark = build_session(profile=a.profile)
     paths = pipeline.Paths(a.raw_obs, a.raw_stations, a.raw_weather, a.weather_history, a.communes_csv, a.out)
-    result = {"marts": pipeline.build_marts(spark, paths, cutover=a.cutover)}
+    result = {}
+    if a.landed_river_pages:
+        import datetime as dt
+        batch = a.batch_id or dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%SZ")
+        result["ingest"] = pipeline.ingest_river_pages(spark, a.landed_river_pages, a.raw_obs, batch)
+    result["marts"] = pipeline.build_marts(spark, paths, cutover=a.cutover)
     if a.model:
         result["predictions_written"] = pipeline.score(spark, paths, a.model, a.model_sha256)
     print(json.dumps(result))

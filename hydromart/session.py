@@ -82,10 +82,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
+    current = spark.sparkContext.getCheckpointDir()
+    if current:  # already chosen earlier in this application
+        return current
     local = tempfile.mkdtemp(prefix="hydromart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", local)
     spark.sparkContext.setCheckpointDir(local)
-    return local
+    try:
+        spark.conf.set("spark.checkpoint.dir", local)
+    except Exception:  # some deployments refuse runtime changes of core settings
+        pass
+    return spark.sparkContext.getCheckpointDir() or local
 
 
 def spread(df, min_partitions: int | None = None):

@@ -9,10 +9,11 @@ Points are mapped to unit vectors and bucketed in cubes. For a search radius r (
   by the exact haversine test.
 
 Only points not settled by the fine-cube test are paired, and only with neighbours. AQE's skew
-join splits a hot cube across tasks. The nearest-station fallback searches level by level with
-cubes doubling in size and stops each commune at the first level whose best candidate lies
-within that level's cube side (nothing closer can be outside the 27 neighbours); only unresolved
-communes go on, so the work follows the answer instead of all pairs.
+join splits a hot cube across tasks. The nearest-station fallback uses cubes doubling in size
+per level and settles a commune at a level whose best candidate lies within the cube side
+(nothing closer can be outside the 27 neighbours); a commune that saw a farther candidate jumps
+to the level covering it, and only unresolved communes go on, so the work follows the answer
+instead of all pairs.
 """
 
 from __future__ import annotations

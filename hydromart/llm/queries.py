@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from hydromart.llm.bpe import op4_bpe_roundtrip
+from hydromart.llm.quality import op9_quality
+from hydromart.llm.secrets import op8_secret_scan
 from hydromart.llm.simhash import op10_simhash_dedup
 
-QUERIES = {f.__name__: f for f in (op10_simhash_dedup,)}
+QUERIES = {f.__name__: f for f in (op4_bpe_roundtrip, op8_secret_scan, op9_quality, op10_simhash_dedup)}
 
 ORACLES: dict[str, str] = {}

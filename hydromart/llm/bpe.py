@@ -26,6 +26,8 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hydromart.llm.common import ship
+
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END = "</w>"
 TABLE_ENTRIES = 150_000  # kept words and fragments per worker and generation
@@ -199,6 +201,7 @@ def _model(raw: bytes) -> Bpe:
 
 def _tokenizer_bytes(spark: SparkSession, path: str):
     """The tokenizer file (under 2 MB), read once on the driver and sent to the workers."""
+    ship(spark)
     with open(path, "rb") as file:
         return spark.sparkContext.broadcast(file.read())
 

@@ -6,8 +6,11 @@ never costs more than the tasks it held.
 
 from __future__ import annotations
 
+import io
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -21,10 +24,36 @@ WORD_BYTES[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 MASK64 = (1 << 64) - 1
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers of every executor, once per application.
+
+    The package goes as a zip into the shared checkpoint folder, and Spark hands it to the workers.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    held = io.BytesIO()
+    with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as out:
+        for file in sorted(package.rglob("*.py")):
+            out.write(file, f"{package.name}/{file.relative_to(package)}")
+    path = f"{checkpoint_dir(spark).rstrip('/')}/llm/{package.name}-{uuid.uuid4().hex}.zip"
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    stream = target.getFileSystem(context._jsc.hadoopConfiguration()).create(target)
+    stream.write(bytearray(held.getvalue()))
+    stream.close()
+    context.addPyFile(path)
+    _SHIPPED.add(context.applicationId)
+
+
 class Scratch:
     """A folder of written intermediates under the shared checkpoint folder."""
 
     def __init__(self, spark: SparkSession, name: str):
+        ship(spark)
         self.spark = spark
         self.root = f"{checkpoint_dir(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex}"
 

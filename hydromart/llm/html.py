@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hydromart.llm.common import ship
+
 SIGMA = 1.0
 SHARE = 0.25  # of the standard deviation of the smoothed ratios
 
@@ -147,6 +149,7 @@ def extract(html: str, sigma: float = SIGMA, share: float = SHARE) -> str:
 
 def extract_pages(pages: DataFrame) -> DataFrame:
     """(page_id, url, text) for every page."""
+    ship(pages.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             text = pa.array([extract(h.as_py() or "") for h in batch.column(2)], pa.string())

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydromart.llm.common import BASE_A, range_hash, text_chunks, word_spans
+from hydromart.llm.common import BASE_A, range_hash, ship, text_chunks, word_spans
 
 BUCKETS = 1 << 18
 DIM = 8
@@ -100,6 +100,7 @@ def _row_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def train_rows(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """Sparse features of at most ``sample_rows`` labelled, not held-out rows, chosen by a hash of the id."""
+    ship(docs.sparkSession)
     known = (labels.select("doc_id", F.col("quality").cast("int").alias("label"))
              .where(F.col("label").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
              .groupBy("doc_id").agg(F.max("label").alias("label")))
@@ -143,6 +144,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, epoc
 
 def score(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
     """(key, score) for every row."""
+    ship(docs.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_chunks(batches):
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(model.scores(data, offsets))], names=["key", "score"])
@@ -154,6 +156,7 @@ def score(docs: DataFrame, model: Model, key: str = "doc_id") -> DataFrame:
 
 def keep_good(docs: DataFrame, model: Model, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs``, all columns, whose score reaches the threshold."""
+    ship(docs.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_chunks(batches):
             yield rows.filter(pa.array(model.scores(data, offsets) >= threshold))

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydromart.llm.common import Scratch, partitions, text_chunks, word_spans
+from hydromart.llm.common import Scratch, partitions, ship, text_chunks, word_spans
 from hydromart.llm.components import components, fold_links
 
 SHINGLE_WORDS = 4
@@ -69,6 +69,7 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGL
 
 def fingerprint(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
     """(doc_id, fp): the fingerprint of every row as a signed long."""
+    ship(docs.sparkSession)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_chunks(batches):
             fp = fingerprints_of(data, offsets, shingle).view(np.int64)
@@ -125,6 +126,7 @@ def tile_links(a: np.ndarray, b: np.ndarray | None, radius: int, block: int = 10
 def link_fingerprints(distinct: DataFrame, radius: int = MAX_BITS, tile_rows: int = TILE_ROWS) -> DataFrame:
     """Forest edges (a, b) between distinct fingerprints ``fp`` at most ``radius`` bits apart."""
     spark = distinct.sparkSession
+    ship(spark)
     distinct = distinct.select("fp", F.bit_count("fp").cast("int").alias("p"))
     counts = {r.p: r.n for r in distinct.groupBy("p").agg(F.count("*").alias("n")).collect()}  # at most 65 rows
     tiles = {p: -(-n // tile_rows) for p, n in counts.items()}

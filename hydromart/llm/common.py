@@ -125,6 +125,16 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def join_words(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[bytes, np.ndarray]:
+    """The words one after another with one space behind each, and the place of each word."""
+    size = ends - starts
+    at = np.cumsum(size + 1) - (size + 1)
+    out = np.full(int(size.sum()) + len(size), 32, np.uint8)
+    step = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+    out[np.repeat(at, size) + step] = data[np.repeat(starts, size) + step]
+    return out.tobytes(), at
+
+
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
 

@@ -11,9 +11,10 @@ from hydromart.llm.pii import op6_pii
 from hydromart.llm.quality import op9_quality
 from hydromart.llm.secrets import op8_secret_scan
 from hydromart.llm.simhash import op10_simhash_dedup
+from hydromart.llm.substrings import op2_substring_dedup
 
 QUERIES = {f.__name__: f for f in (
-    op1_line_dedup, op3_embedding_dedup, op4_bpe_roundtrip, op5_html_extract, op6_pii,
+    op1_line_dedup, op2_substring_dedup, op3_embedding_dedup, op4_bpe_roundtrip, op5_html_extract, op6_pii,
     op7_decontaminate, op8_secret_scan, op9_quality, op10_simhash_dedup)}
 
 ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op3_embedding_dedup": OP3_SQL}

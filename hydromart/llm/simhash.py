@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hydromart.llm.common import Scratch, partitions, ship, text_chunks, word_spans
+from hydromart.llm.common import Scratch, join_words, partitions, ship, text_chunks, word_spans
 from hydromart.llm.components import components, fold_links
 
 SHINGLE_WORDS = 4
@@ -42,12 +42,7 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGL
     if not len(starts):
         return out
     size = ends - starts
-    joined_at = np.cumsum(size + 1) - (size + 1)  # place of each word in the space-joined text
-    joined = np.full(int(size.sum() + len(size)), 32, np.uint8)
-    inside = np.repeat(joined_at - starts, size) + np.repeat(starts, size)
-    source = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
-    joined[inside + source] = lower[np.repeat(starts, size) + source]
-    raw = joined.tobytes()
+    raw, joined_at = join_words(lower, starts, ends)
     words = np.diff(word_at)
     n_shingles = np.where(words > 0, np.maximum(words - shingle + 1, 1), 0)
     doc = np.repeat(np.arange(n_docs), n_shingles)
@@ -68,15 +63,17 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGL
 
 
 def fingerprint(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every row as a signed long."""
+    """(doc_id, th, fp): the text hash and the fingerprint (a signed long) of every row."""
     ship(docs.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, data, offsets in text_chunks(batches):
             fp = fingerprints_of(data, offsets, shingle).view(np.int64)
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(fp)], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(fp)], names=["doc_id", "th", "fp"])
 
     key = docs.schema["doc_id"].dataType.simpleString()
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {key}, fp bigint")
+    return (docs.select("doc_id", F.xxhash64("text").alias("th"), "text")
+            .mapInArrow(run, f"doc_id {key}, th bigint, fp bigint"))
 
 
 def _bits(x: np.ndarray) -> np.ndarray:
@@ -156,7 +153,7 @@ def link_fingerprints(distinct: DataFrame, radius: int = MAX_BITS, tile_rows: in
 
 
 def simhash_groups(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
-    """One row per document: doc_id, fp, component_id (smallest doc_id reachable through links)."""
+    """One row per document: doc_id, th, fp, root (of the component), component_id (smallest doc_id reachable)."""
     spark: SparkSession = docs.sparkSession
     scratch = Scratch(spark, "simhash")
     prints = scratch.write(fingerprint(docs, shingle), "prints")
@@ -166,9 +163,22 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int =
     rooted = (classes.join(roots, classes.fp == roots.node, "left")
               .select("fp", "low_id", F.coalesce("component", "fp").alias("root")))
     lowest = rooted.groupBy("root").agg(F.min("low_id").alias("component_id"))
-    classes_out = scratch.write(rooted.join(lowest, "root").select(F.col("fp").alias("class_fp"), "component_id"), "grouped")
-    return (prints.join(classes_out, prints.fp == classes_out.class_fp)
-            .select("doc_id", "fp", "component_id"))
+    grouped = scratch.write(rooted.join(lowest, "root").select(F.col("fp").alias("class_fp"), "root", "component_id"), "grouped")
+    return (prints.join(grouped, prints.fp == grouped.class_fp)
+            .select("doc_id", "th", "fp", "root", "component_id"))
+
+
+def keep_one_of_each(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int = MAX_BITS) -> DataFrame:
+    """One row of ``docs``, all columns, of each component: that of the smallest id, then text hash."""
+    groups = simhash_groups(docs, shingle, radius)
+    first = (groups.where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+             .groupBy("root").agg(F.min(F.struct("doc_id", "th")).alias("pick"))
+             .select(F.col("pick.doc_id").alias("_doc"), F.col("pick.th").alias("_pick")).distinct())
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                         F.col("doc_id").alias("_id"), F.xxhash64("text").alias("_th"))
+    kept = (packed.join(first, F.col("_id").eqNullSafe(F.col("_doc")) & (F.col("_th") == F.col("_pick")), "left_semi")
+            .groupBy("_id", "_th").agg(F.first("row").alias("row")))
+    return kept.select(*[F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def op10_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

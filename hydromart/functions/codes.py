@@ -32,8 +32,18 @@ def department_code(c: ColumnOrName) -> Column:
 
 
 def safe_cast(c: ColumnOrName, type_name: str) -> Column:
-    """FN-04: NULL instead of an error when the value does not parse."""
-    return _col(c).try_cast(type_name)
+    """FN-04: NULL instead of an error when the value does not parse.
+
+    Fractions round half away from zero on the way to an integer type, and a date needs all its
+    parts, like in the warehouse.
+    """
+    x = _col(c)
+    if type_name in ("bigint", "long", "int", "integer", "smallint", "tinyint"):
+        return F.round(x.try_cast("decimal(38,9)")).try_cast(type_name)
+    if type_name == "date":
+        whole = F.trim(x.cast("string")).rlike(r"^[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}([ T].*)?$")
+        return F.when(whole, x.try_cast("date"))
+    return x.try_cast(type_name)
 
 
 def int_text(c: ColumnOrName, width: int | None = None) -> Column:

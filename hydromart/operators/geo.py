@@ -135,7 +135,9 @@ def nearest_station(communes: DataFrame, stations: DataFrame, radius_m: float =
     out = settled[0]
     for s in settled[1:]:
         out = out.unionByName(s)
-    return out
+    # a code with several coordinates keeps the nearest of its stations
+    nearest = F.min_by(F.struct(station_id, "distance_m"), F.struct("distance_m", station_id)).alias("n")
+    return out.groupBy(commune_id).agg(nearest).select(commune_id, f"n.{station_id}", "n.distance_m")
 
 
 def relevant_stations(communes: DataFrame, stations: DataFrame, radius_m: float = RADIUS_M,

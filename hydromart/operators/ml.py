@@ -224,13 +224,17 @@ def upsert_predictions(history: DataFrame, scored: DataFrame) -> DataFrame:
 
 
 def model_fingerprint(spark, path: str) -> str:
-    """ML-14: SHA-256 over a saved pipeline's metadata files (small JSON, read by Spark)."""
-    meta = (spark.read.text(f"{path.rstrip('/')}/{{metadata,stages/*/metadata}}/part-*", wholetext=True)
-            .withColumn("file", F.input_file_name()))
-    texts = [r.value for r in meta.orderBy("file").select("value").collect()]  # a few KB of metadata
+    """ML-14: SHA-256 over every file of a saved pipeline, metadata and fitted data, with its place.
+
+    Spark hashes the files; the driver sees one digest per file.
+    """
+    root = path.rstrip("/")
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
+             .where(~F.col("path").rlike(r"/[._][^/]*$"))
+             .select(F.regexp_extract("path", r"((?:metadata|stages)/.*)$", 1).alias("file"), F.sha2("content", 256).alias("digest")))
     h = hashlib.sha256()
-    for t in texts:
-        h.update(t.encode("utf-8"))
+    for r in files.orderBy("file").collect():
+        h.update(f"{r.file} {r.digest}\n".encode())
     return h.hexdigest()
 
 

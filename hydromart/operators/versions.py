@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from hydromart.functions.codes import clean
 from hydromart.functions.temporal import as_date, as_timestamp
+from hydromart.session import checkpoint_dir
 
 TECH_COLUMNS = ("row_hash", "inserted_at", "batch_id")
 
@@ -49,6 +50,12 @@ def enrich_batch(batch: DataFrame, batch_id: str, inserted_at=None,
 
 
 # ----------------------------------------------------------------------------- VER-03
+def iso_date(date: str) -> Column:
+    """The date in the first 10 characters; a partial date (``2026-10``, ``2026``) is no date."""
+    text = F.substring(clean(date), 1, 10)
+    return F.when(text.rlike(r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"), text.try_cast("date"))
+
+
 def normalise_keys(df: DataFrame, entity: str, date: str, others: Sequence[str] = (),
                    entity_width: int | None = 5, prefix: str | None = None) -> dict[str, DataFrame]:
     """VER-03: trimmed keys, ISO date from the first 10 characters, entity left-padded.
@@ -58,7 +65,7 @@ def normalise_keys(df: DataFrame, entity: str, date: str, others: Sequence[str]
     With ``prefix`` the normalised keys are added as ``prefix + name`` and the stored values
     are left as received (the content hash covers them as received).
     """
-    e, d = clean(entity), F.substring(clean(date), 1, 10).try_cast("date")
+    e, d = clean(entity), iso_date(date)
     reasons = [F.when(F.col(c).isNull() | (clean(c) == ""), F.lit(f"missing {c}"))
                for c in (entity, date, *others)]
     reasons.append(F.when(clean(date) != "", F.when(d.isNull(), F.lit(f"invalid {date}"))))
@@ -78,7 +85,7 @@ def key_expressions(entity: str, date: str, others: Sequence[str] = (), entity_w
                     prefix: str = "_k_") -> dict[str, Column]:
     """The same normalisation as ``normalise_keys``, for reading keys back from a raw table."""
     out = {f"{prefix}{entity}": F.lpad(clean(entity), entity_width, "0") if entity_width else clean(entity),
-           f"{prefix}{date}": F.substring(clean(date), 1, 10).try_cast("date")}
+           f"{prefix}{date}": iso_date(date)}
     out.update({f"{prefix}{c}": clean(c) for c in others})
     return out
 
@@ -163,7 +170,8 @@ def version_changes(raw: DataFrame, keys: Sequence[str], order: Sequence[str], c
     computed so that no key has to fit in one task:
 
     1. range-partition by (key, load order): a key with very many versions spans several
-       partitions (chunks); ``lag`` runs inside each (key, chunk);
+       partitions (chunks); ``lag`` runs inside each (key, chunk). The chunks come from sampled
+       bounds, so they are written once (reliable checkpoint) before anything branches off;
     2. a boundary table with one row per (key, chunk) -- its last content -- gives each chunk's
        first row the last content of the preceding chunk of the same key.
 
@@ -173,6 +181,8 @@ def version_changes(raw: DataFrame, keys: Sequence[str], order: Sequence[str], c
     n = chunks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ords = [F.col(c).asc_nulls_first() for c in order]
     chunked = raw.repartitionByRange(n, *[F.col(k) for k in keys], *ords).withColumn("_chunk", F.spark_partition_id())
+    checkpoint_dir(spark)
+    chunked = chunked.checkpoint(eager=True)
     w = Window.partitionBy(*keys, "_chunk").orderBy(*ords)
     local = chunked.withColumns({"_prev": F.lag(content).over(w), "_first": F.row_number().over(w) == 1})
     rank = F.struct(*[F.col(c) for c in order])
@@ -270,7 +280,6 @@ def load_versioned(spark, path: str, batch: DataFrame, source: str, batch_id: st
     ``LoadRejected`` before any write. Returns the number of rows appended.
     """
     from hydromart.operators.tables import append, table_exists
-    from hydromart.session import checkpoint_dir
 
     if source not in SOURCES:
         raise LoadRejected(f"unsupported raw source: {source}")
@@ -278,7 +287,8 @@ def load_versioned(spark, path: str, batch: DataFrame, source: str, batch_id: st
         return 0
     cfg = SOURCES[source]
     ent, dat, oth, width = cfg["entity"], cfg["date"], cfg["others"], cfg["width"]
-    enriched = enrich_batch(batch, batch_id, inserted_at, content)
+    checkpoint_dir(spark)
+    enriched = enrich_batch(batch, batch_id, inserted_at, content).checkpoint(eager=True)  # parsed once per load
     norm = normalise_keys(enriched, ent, dat, oth, width, prefix="_k_")
     if not norm["rejected"].isEmpty():
         raise LoadRejected("invalid business keys in batch " + batch_id)

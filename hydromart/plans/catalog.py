@@ -47,72 +47,85 @@ obs AS (
   FROM li GROUP BY code_station, date_obs_elab
 )"""
 
-SQL_SEUILS = """
-seuils AS (
-  SELECT code_station, CAST(month(date_obs_elab) AS INTEGER) AS mois,
-         quantile_disc(resultat_obs_elab, 0.90) AS p90,
-         quantile_disc(resultat_obs_elab, 0.95) AS p95,
-         quantile_disc(resultat_obs_elab, 0.99) AS p99,
-         count(*) AS n_reference,
-         count(DISTINCT year(date_obs_elab)) AS n_annees_reference
+# Thresholds by rank: the limit of a quantile is the smallest accepted reading whose rank in its
+# station and month reaches that share of the readings.
+SQL_LIMITS = """
+accepted AS (
+  SELECT code_station, date_obs_elab, resultat_obs_elab AS reading,
+         CAST(extract(month FROM date_obs_elab) AS INTEGER) AS mois
   FROM obs
-  WHERE code_qualification = '20' AND code_statut IN ('12', '16') AND resultat_obs_elab IS NOT NULL
-  GROUP BY code_station, month(date_obs_elab)
+  WHERE resultat_obs_elab IS NOT NULL AND code_qualification = '20' AND (code_statut = '12' OR code_statut = '16')
+),
+standing AS (
+  SELECT *, row_number() OVER (PARTITION BY code_station, mois ORDER BY reading) AS place,
+         count(*) OVER (PARTITION BY code_station, mois) AS of_all
+  FROM accepted
+),
+limits AS (
+  SELECT code_station, mois,
+         min(reading) FILTER (WHERE place >= 0.90 * of_all) AS p90,
+         min(reading) FILTER (WHERE place >= 0.95 * of_all) AS p95,
+         min(reading) FILTER (WHERE place >= 0.99 * of_all) AS p99,
+         max(of_all) AS n_reference,
+         count(DISTINCT extract(year FROM date_obs_elab)) AS n_annees_reference
+  FROM standing GROUP BY code_station, mois
 )"""
 
-SQL_FCT = """
-fct AS (
-  SELECT o.code_station, o.date_obs_elab, o.resultat_obs_elab, o.code_qualification, o.code_statut,
-         o.grandeur_hydro_elab, s.p90, s.p95, s.p99, s.n_reference, s.n_annees_reference,
-         CASE WHEN o.code_qualification = '20' AND o.code_statut IN ('12', '16')
-                   AND o.resultat_obs_elab IS NOT NULL AND coalesce(s.n_annees_reference, 0) >= 5
-              THEN CASE WHEN s.p99 > s.p95 AND o.resultat_obs_elab >= s.p99 THEN 'Exceptionnel'
-                        WHEN s.p95 > s.p90 AND o.resultat_obs_elab >= s.p95 THEN 'Élevé'
-                        ELSE 'Normal' END
-         END AS niveau_hydrologique
-  FROM obs o LEFT JOIN seuils s ON o.code_station = s.code_station AND month(o.date_obs_elab) = s.mois
+# Classes as candidate labels: every judged day is Normal, reaching a limit that lies above the
+# next lower one offers a higher label, and the highest offer wins.
+SQL_GRADES = """
+judged AS (
+  SELECT a.code_station, a.date_obs_elab, a.reading, l.p90, l.p95, l.p99
+  FROM accepted a JOIN limits l USING (code_station, mois) WHERE l.n_annees_reference >= 5
+),
+offers AS (
+  SELECT code_station, date_obs_elab, 0 AS height, 'Normal' AS label FROM judged
+  UNION ALL SELECT code_station, date_obs_elab, 1, 'Élevé' FROM judged WHERE reading >= p95 AND NOT p95 <= p90
+  UNION ALL SELECT code_station, date_obs_elab, 2, 'Exceptionnel' FROM judged WHERE reading >= p99 AND NOT p99 <= p95
+),
+grades AS (
+  SELECT code_station, date_obs_elab, arg_max(label, height) AS label FROM offers GROUP BY ALL
+),
+graded AS (
+  SELECT obs.*, limits.* EXCLUDE (code_station, mois), grades.label AS niveau_hydrologique
+  FROM obs
+  LEFT JOIN limits ON limits.code_station = obs.code_station AND limits.mois = extract(month FROM obs.date_obs_elab)
+  LEFT JOIN grades ON grades.code_station = obs.code_station AND grades.date_obs_elab = obs.date_obs_elab
 )"""
 
-SQL_POS = """
-pos AS (
-  SELECT code_station, date_obs_elab AS date,
-         CASE WHEN p99 - p90 = 0 THEN NULL ELSE (resultat_obs_elab - p95) / (p99 - p90) END AS position_p95,
-         CAST(resultat_obs_elab >= p95 AS INTEGER) AS depasse_p95_j
-  FROM fct
-  WHERE resultat_obs_elab IS NOT NULL AND p95 IS NOT NULL AND niveau_hydrologique IS NOT NULL
-    AND p99 - p90 <> 0
+SQL_PLACES = """
+places AS (
+  SELECT j.code_station, j.date_obs_elab AS date, (j.reading - j.p95) / (j.p99 - j.p90) AS position_p95,
+         CASE WHEN j.reading < j.p95 THEN 0 ELSE 1 END AS depasse_p95_j
+  FROM judged j WHERE j.p90 < j.p99
 )"""
 
-SQL_HYDRO = """
-hydro AS (
-  SELECT code_station, date, position_p95, depasse_p95_j,
-         CASE WHEN date_diff('day', lag(date) OVER w, date) = 1
-              THEN position_p95 - lag(position_p95) OVER w END AS variation_position_1j,
-         CASE WHEN date_diff('day', date, lead(date) OVER w) = 1
-              THEN lead(depasse_p95_j) OVER w END AS target_j1
-  FROM pos
-  WINDOW w AS (PARTITION BY code_station ORDER BY date)
+# The days before and after are looked up by date, so a gap simply finds no row.
+SQL_NEIGHBOURS = """
+neighbours AS (
+  SELECT today.*, today.position_p95 - yesterday.position_p95 AS variation_position_1j,
+         tomorrow.depasse_p95_j AS target_j1
+  FROM places today
+  LEFT JOIN places yesterday ON yesterday.code_station = today.code_station AND yesterday.date + 1 = today.date
+  LEFT JOIN places tomorrow ON tomorrow.code_station = today.code_station AND tomorrow.date - 1 = today.date
 )"""
 
+# Three-day rain from the days that exist: each day is paired with itself and the two before it,
+# and the sum stands only when three days with rain figures were found.
 SQL_WEATHER = """
-weather AS (
+rain AS (
   SELECT lpad(code_station, 5, '0') AS code_insee, date_obs_elab AS date,
-         sum(l_quantity) AS pluie_totale, round(avg(l_discount), 6) AS humidite_sol_7_28cm
-  FROM li GROUP BY code_station, date_obs_elab
+         sum(l_quantity) AS pluie_j, round(avg(l_discount), 6) AS humidite_sol
+  FROM li GROUP BY ALL
 ),
-meteo_jours AS (
-  SELECT code_insee, date,
-         CASE WHEN count(*) = 1 THEN max(pluie_totale) END AS pluie_totale,
-         CASE WHEN count(*) = 1 THEN max(humidite_sol_7_28cm) END AS humidite_sol_7_28cm
-  FROM weather GROUP BY code_insee, date
+three_days AS (
+  SELECT d.code_insee, d.date, sum(r.pluie_j) AS pluie_3j
+  FROM rain d JOIN rain r ON r.code_insee = d.code_insee AND r.date IN (d.date, d.date - 1, d.date - 2)
+  WHERE r.pluie_j IS NOT NULL GROUP BY d.code_insee, d.date HAVING count(*) = 3
 ),
-meteo AS (
-  SELECT code_insee, date, pluie_totale AS pluie_j,
-         CASE WHEN count(*) OVER w = 3 AND count(pluie_totale) OVER w = 3
-              THEN sum(pluie_totale) OVER w END AS pluie_3j,
-         humidite_sol_7_28cm AS humidite_sol
-  FROM meteo_jours
-  WINDOW w AS (PARTITION BY code_insee ORDER BY date RANGE BETWEEN INTERVAL 2 DAY PRECEDING AND CURRENT ROW)
+skies AS (
+  SELECT rain.code_insee, rain.date, rain.pluie_j, three_days.pluie_3j, rain.humidite_sol
+  FROM rain LEFT JOIN three_days USING (code_insee, date)
 )"""
 
 SQL_STATIONS = """
@@ -122,28 +135,25 @@ stations AS (
   FROM nation
 )"""
 
-SQL_JOINT = """
-joint AS (
-  SELECT h.date, h.code_station, s.code_insee, s.code_departement, h.position_p95,
-         h.variation_position_1j, m.pluie_j, m.pluie_3j, m.humidite_sol,
-         CAST(month(h.date) AS INTEGER) AS mois, h.depasse_p95_j, h.target_j1
-  FROM hydro h
-  JOIN stations s ON h.code_station = s.code_station
-  JOIN meteo m ON s.code_insee = m.code_insee AND h.date = m.date
-  WHERE m.pluie_j IS NOT NULL AND m.pluie_3j IS NOT NULL AND m.humidite_sol IS NOT NULL
+SQL_FEATURES = """
+complete_days AS (
+  SELECT n.date, n.code_station, st.code_insee, st.code_departement, n.position_p95, n.variation_position_1j,
+         k.pluie_j, k.pluie_3j, k.humidite_sol, CAST(extract(month FROM n.date) AS INTEGER) AS mois,
+         n.depasse_p95_j, n.target_j1
+  FROM stations st, skies k, neighbours n
+  WHERE n.code_station = st.code_station AND k.code_insee = st.code_insee AND k.date = n.date
+    AND k.pluie_j + k.pluie_3j + k.humidite_sol IS NOT NULL
 ),
-features AS (
-  SELECT * FROM joint
-  WHERE code_station IN (SELECT code_station FROM joint GROUP BY code_station HAVING count(*) >= 100)
-)"""
+long_series AS (SELECT code_station FROM complete_days GROUP BY code_station HAVING count(*) > 99),
+features AS (SELECT complete_days.* FROM complete_days SEMI JOIN long_series USING (code_station))"""
 
 
 def with_ctes(*parts: str) -> str:
     return "WITH " + ",".join(p.strip("\n") for p in parts) + "\n"
 
 
-HYDRO_CHAIN = (SQL_OBS, SQL_SEUILS, SQL_FCT, SQL_POS, SQL_HYDRO)
-FEATURE_CHAIN = HYDRO_CHAIN + (SQL_WEATHER, SQL_STATIONS, SQL_JOINT)
+HYDRO_CHAIN = (SQL_OBS, SQL_LIMITS, SQL_GRADES, SQL_PLACES, SQL_NEIGHBOURS)
+FEATURE_CHAIN = HYDRO_CHAIN + (SQL_WEATHER, SQL_STATIONS, SQL_FEATURES)
 
 
 # --------------------------------------------------------------------------- M0: hydro + features
@@ -165,12 +175,12 @@ def build_ml_features(spark: SparkSession, sf_dir: str, grain: str = "nation") -
                              testbed.daily_weather(spark, sf_dir, grain))
 
 
-@register("thresholds", with_ctes(SQL_OBS, SQL_SEUILS) + "SELECT * FROM seuils")
+@register("thresholds", with_ctes(SQL_OBS, SQL_LIMITS) + "SELECT * FROM limits")
 def q_thresholds(spark, sf_dir):
     return th.monthly_thresholds(testbed.river_observations(spark, sf_dir))
 
 
-@register("level_class", with_ctes(SQL_OBS, SQL_SEUILS, SQL_FCT) + "SELECT * FROM fct")
+@register("level_class", with_ctes(SQL_OBS, SQL_LIMITS, SQL_GRADES) + "SELECT * FROM graded")
 def q_level_class(spark, sf_dir):
     return fct_hydro(spark, sf_dir).select(
         "code_station", "date_obs_elab", "resultat_obs_elab", "code_qualification", "code_statut",
@@ -178,13 +188,13 @@ def q_level_class(spark, sf_dir):
         "niveau_hydrologique")
 
 
-@register("position", with_ctes(*HYDRO_CHAIN[:4]) + "SELECT * FROM pos")
+@register("position", with_ctes(*HYDRO_CHAIN[:4]) + "SELECT * FROM places")
 def q_position(spark, sf_dir):
     return th.exceedance_position(fct_hydro(spark, sf_dir))
 
 
 @register("adjacent_diff", with_ctes(*HYDRO_CHAIN)
-          + "SELECT code_station, date, position_p95, variation_position_1j FROM hydro")
+          + "SELECT code_station, date, position_p95, variation_position_1j FROM neighbours")
 def q_adjacent_diff(spark, sf_dir):
     pos = th.exceedance_position(fct_hydro(spark, sf_dir))
     return series.adjacent_difference(pos, "code_station", "date", "position_p95",
@@ -192,7 +202,7 @@ def q_adjacent_diff(spark, sf_dir):
 
 
 @register("next_day_label", with_ctes(*HYDRO_CHAIN)
-          + "SELECT code_station, date, depasse_p95_j, target_j1 FROM hydro")
+          + "SELECT code_station, date, depasse_p95_j, target_j1 FROM neighbours")
 def q_next_day_label(spark, sf_dir):
     pos = th.exceedance_position(fct_hydro(spark, sf_dir))
     return series.next_day_value(pos, "code_station", "date", "depasse_p95_j",
@@ -210,7 +220,7 @@ def q_day_collapse(spark, sf_dir):
     return series.collapse_days(li, ["l_suppkey", "date"], ["l_quantity", "l_discount"])
 
 
-@register("rolling_strict", with_ctes(SQL_OBS, SQL_WEATHER) + "SELECT * FROM meteo")
+@register("rolling_strict", with_ctes(SQL_OBS, SQL_WEATHER) + "SELECT * FROM skies")
 def q_rolling_strict(spark, sf_dir):
     return marts.weather_days(testbed.daily_weather(spark, sf_dir))
 
@@ -718,10 +728,11 @@ def q_dq_unique(spark, sf_dir):
 
 @register("dq_relationships", """
 SELECT o_orderkey, o_custkey FROM orders
-WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey IS NOT NULL)""")
+WHERE o_custkey IS NOT NULL AND o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment <> 'BUILDING')""")
 def q_dq_relationships(spark, sf_dir):
+    # planted fault: the parent table lacks one market segment
     o = testbed.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    c = testbed.table(spark, sf_dir, "customer").select("c_custkey")
+    c = testbed.table(spark, sf_dir, "customer").where(F.col("c_mktsegment") != "BUILDING").select("c_custkey")
     return quality.relationships(o, c, "o_custkey", "c_custkey")
 
 
@@ -733,31 +744,34 @@ def q_dq_grain(spark, sf_dir):
     return quality.grain(li, ["l_orderkey", "l_linenumber"])
 
 
-@register("dq_thresholds_uniform", with_ctes(SQL_OBS, SQL_SEUILS, SQL_FCT) + """
-SELECT code_station, CAST(month(date_obs_elab) AS INTEGER) AS mois FROM fct
-GROUP BY code_station, month(date_obs_elab)
-HAVING count(DISTINCT p90) > 1 OR count(DISTINCT p95) > 1 OR count(DISTINCT p99) > 1
-    OR count(DISTINCT n_reference) > 1 OR count(DISTINCT n_annees_reference) > 1
-    OR count(p95) NOT IN (0, count(*))""")
+@register("dq_thresholds_uniform", with_ctes(SQL_OBS, SQL_LIMITS, SQL_GRADES) + """
+, spoilt AS (SELECT * REPLACE (CASE WHEN code_qualification = '10' THEN p95 + 1 ELSE p95 END AS p95) FROM graded)
+SELECT a.code_station, extract(month FROM a.date_obs_elab)::INTEGER AS mois
+FROM spoilt a GROUP BY ALL
+HAVING max(p95) > min(p95) OR max(p90) > min(p90) OR max(p99) > min(p99) OR max(n_reference) > min(n_reference)
+    OR max(n_annees_reference) > min(n_annees_reference) OR (count(p95) > 0 AND count(p95) < count(*))""")
 def q_dq_thresholds_uniform(spark, sf_dir):
-    return quality.thresholds_uniform(fct_hydro(spark, sf_dir))
+    # planted fault: the withheld rows carry another p95
+    p95 = F.when(F.col("code_qualification") == "10", F.col("p95") + 1).otherwise(F.col("p95"))
+    return quality.thresholds_uniform(fct_hydro(spark, sf_dir).withColumn("p95", p95))
 
 
 @register("dq_last_date_scorable", with_ctes(*FEATURE_CHAIN) + """
-SELECT d.date FROM (SELECT max(date) AS date FROM features) d
-LEFT JOIN features f ON f.date = d.date AND f.position_p95 IS NOT NULL AND f.variation_position_1j IS NOT NULL
-  AND f.pluie_j IS NOT NULL AND f.pluie_3j IS NOT NULL AND f.humidite_sol IS NOT NULL
-GROUP BY d.date HAVING count(f.code_station) = 0""")
+SELECT max(date) AS date FROM features""")
 def q_dq_last_date_scorable(spark, sf_dir):
-    return quality.last_date_scorable(build_ml_features(spark, sf_dir))
+    # planted fault: soil moisture has not arrived for the last day, so none of its rows can be scored
+    f = build_ml_features(spark, sf_dir)
+    late = F.when(F.col("date") < f.agg(F.max("date")).scalar(), F.col("humidite_sol"))
+    return quality.last_date_scorable(f.withColumn("humidite_sol", late))
 
 
 @register("dq_classifiable", with_ctes(*FEATURE_CHAIN) + """
-SELECT f.code_station, f.date FROM features f
-LEFT JOIN fct o ON f.code_station = o.code_station AND f.date = o.date_obs_elab AND o.grandeur_hydro_elab = 'HIXnJ'
-WHERE o.niveau_hydrologique IS NULL""")
+SELECT f.code_station, f.date FROM features f SEMI JOIN graded g
+ON g.code_station = f.code_station AND g.date_obs_elab = f.date AND g.niveau_hydrologique = 'Exceptionnel'""")
 def q_dq_classifiable(spark, sf_dir):
-    return quality.classifiable(build_ml_features(spark, sf_dir), fct_hydro(spark, sf_dir))
+    # planted fault: the mart has lost its exceptional days
+    mart = fct_hydro(spark, sf_dir).where(~F.col("niveau_hydrologique").eqNullSafe(F.lit("Exceptionnel")))
+    return quality.classifiable(build_ml_features(spark, sf_dir), mart)
 
 
 @register("dq_count_range", """
@@ -779,14 +793,12 @@ def q_dq_coverage(spark, sf_dir):
 
 
 @register("dq_scoring_preconditions", with_ctes(*FEATURE_CHAIN) + """
-SELECT 'no rows' AS problem, count(*) AS n FROM features WHERE date = (SELECT max(date) FROM features)
-HAVING count(*) = 0
-UNION ALL
-SELECT 'duplicated keys' AS problem, count(*) AS n FROM (
-  SELECT date, code_station FROM features WHERE date = (SELECT max(date) FROM features)
-  GROUP BY date, code_station HAVING count(*) > 1) HAVING count(*) > 0""")
+SELECT 'duplicated keys' AS problem, count(*) AS n FROM features
+WHERE date = (SELECT max(date) FROM features) AND depasse_p95_j = 0""")
 def q_dq_scoring_preconditions(spark, sf_dir):
-    return quality.scoring_preconditions(build_ml_features(spark, sf_dir))
+    # planted fault: the days below the threshold were delivered twice
+    f = build_ml_features(spark, sf_dir)
+    return quality.scoring_preconditions(f.unionByName(f.where(F.col("depasse_p95_j") == 0)))
 
 
 # --------------------------------------------------------------------------- profiles
@@ -1004,9 +1016,8 @@ def q_stream_latest_version(spark, sf_dir):
     ev_schema = testbed.table(spark, sf_dir, "events").schema
     stream = (spark.readStream.schema(ev_schema).option("maxFilesPerTrigger", 1)
               .parquet(f"{sf_dir.rstrip('/')}/events.parque[t]")  # glob: the stream source lists files
-              .select("user_id", F.to_date("ts").alias("date"), "event_type", "event_id", "ts", "value", "props",
-                      F.col("ts").cast("timestamp").alias("event_time")))  # UTC session: same instant
-    ingest.run_latest_to_table(spark, stream, EV_KEYS, EV_ORDER, "event_time", f"{base}/table", f"{base}/ckpt")
+              .select("user_id", F.to_date("ts").alias("date"), "event_type", "event_id", "ts", "value", "props"))
+    ingest.run_latest_to_table(spark, stream, EV_KEYS, EV_ORDER, f"{base}/table", f"{base}/ckpt")
     return spark.read.parquet(f"{base}/table").select(*EV_COLS)  # partition column dropped
 
 
@@ -1113,7 +1124,7 @@ def q_spot_check(spark, sf_dir):
 
 
 @register("partial_days", with_ctes(SQL_OBS, SQL_WEATHER) + """
-SELECT date, count(*) AS n_rows, count(DISTINCT code_insee) AS n_places FROM meteo
+SELECT date, count(*) AS n_rows, count(DISTINCT code_insee) AS n_places FROM skies
 WHERE pluie_j IS NULL OR pluie_3j IS NULL OR humidite_sol IS NULL GROUP BY date""")
 def q_partial_days(spark, sf_dir):
     m = marts.weather_days(testbed.daily_weather(spark, sf_dir))

@@ -13,21 +13,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hydromart.functions.codes import pad_code
-from hydromart.session import spread
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-# Fact tables whose scans feed per-row work; dimension tables stay as scanned.
-FACT_TABLES = {"lineitem", "orders", "events", "documents", "customer", "pages", "conversations"}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Whole table scan. Fact tables stored as one unsplittable row group are spread over the
-    session's cores (``session.spread``); filters and column pruning still reach the scan."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread(df) if name in FACT_TABLES else df
+    """Whole table scan; filters and column pruning reach the Parquet reader."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def _station_key(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:

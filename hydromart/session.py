@@ -6,9 +6,10 @@ that are unset, so a cluster's own configuration always wins.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 
+from pyspark import SparkConf
 from pyspark.sql import SparkSession
 
 # Settings the operators rely on for correct results (UTC dates, ANSI casts).
@@ -28,6 +29,7 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -50,33 +52,42 @@ CLUSTER = {
 def build_session(master: str | None = None, shuffle_partitions: int | None = None,
                   app_name: str = "hydromart", extra: dict | None = None,
                   profile: str = "local") -> SparkSession:
-    """Return the active session, creating a local one when none exists.
+    """Return the active session, creating one when none exists.
 
-    ``profile="cluster"`` adds the ``CLUSTER`` sizing; on an existing session, settings the
-    cluster already defines are kept (only the correctness settings in ``REQUIRED`` are forced).
+    On an existing session only settings that nobody has set are filled in (``REQUIRED``, the
+    correctness settings, are forced); ``profile="cluster"`` adds the ``CLUSTER`` sizing.
+    ``shuffle_partitions`` and ``extra`` are the caller's own choice and always apply.
     """
-    builder = SparkSession.builder.appName(app_name)
-    if master:
-        builder = builder.master(master)
-    conf = {**DEFAULTS, **(CLUSTER if profile == "cluster" else {}), **REQUIRED, **(extra or {})}
+    defaults = {**DEFAULTS, **(CLUSTER if profile == "cluster" else {})}
+    chosen = dict(extra or {})
     if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    for key, value in conf.items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
-    for key, value in REQUIRED.items():
-        spark.conf.set(key, value)
-    if profile == "cluster":
-        for key, value in CLUSTER.items():
-            if spark.conf.get(key, None) in (None, ""):
-                spark.conf.set(key, value)
+        chosen["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    spark = SparkSession.getActiveSession()
+    if spark is None:
+        builder = SparkSession.builder.appName(app_name)
+        if master:
+            builder = builder.master(master)
+        for key, value in {**_unset_in_files(defaults), **REQUIRED, **chosen}.items():
+            builder = builder.config(key, value)
+        return builder.getOrCreate()
+    taken = spark.conf.getAll
+    for key, value in {**{k: v for k, v in defaults.items() if k not in taken}, **REQUIRED, **chosen}.items():
+        if spark.conf.isModifiable(key):
+            spark.conf.set(key, value)
     return spark
 
 
+def _unset_in_files(settings: dict[str, str]) -> dict[str, str]:
+    """Defaults that spark-submit or spark-defaults.conf have not set for this application."""
+    given = SparkConf()
+    return {k: v for k, v in settings.items() if not given.contains(k)}
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster (``spark.checkpoint.dir``).
 
-    Only when it is unset (local tests) do we pick a scratch folder of our own.
+    Where it is unset, a scratch folder of our own is made only if everything runs in one local
+    process (tests); on a cluster, executors could not share it, so that is an error.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -85,25 +96,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:  # already chosen earlier in this application
         return current
-    local = tempfile.mkdtemp(prefix="hydromart-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(local)
-    try:
-        spark.conf.set("spark.checkpoint.dir", local)
-    except Exception:  # some deployments refuse runtime changes of core settings
-        pass
-    return spark.sparkContext.getCheckpointDir() or local
-
-
-def spread(df, min_partitions: int | None = None):
-    """Round-robin repartition when a scan has fewer partitions than the session's parallelism.
-
-    Used before CPU-heavy per-row work (whole-text keys). On a cluster, large inputs already
-    arrive in many splits and this is a no-op; it only matters for inputs stored as a single
-    Parquet row group, which Spark cannot split.
-    """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view (e.g. a Spark Connect session): leave the scan as it is
-        return df
-    return df.repartition(target) if splits < target else df
+    if not re.match(r"local(\[|$)", spark.sparkContext.master):
+        raise RuntimeError("spark.checkpoint.dir is not set: it must name a folder that all executors share")
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="hydromart-ckpt-"))
+    return spark.sparkContext.getCheckpointDir()

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
@@ -31,55 +31,72 @@ def series_problems(docs: DataFrame, variables: Sequence[str], place_cols: Seque
             .select(*place_cols, F.explode("p").alias("problem")))
 
 
+def split_series(docs: DataFrame, variables: Sequence[str], series_col: str = "daily",
+                 time_field: str = "time") -> dict[str, DataFrame]:
+    """SRC-04: ``{"valid": consistent documents, "rejected": the others with their ``problems``}``."""
+    tagged = docs.withColumn("problems", _problems(variables, series_col, time_field))
+    return {"valid": tagged.where(F.size("problems") == 0).drop("problems"),
+            "rejected": tagged.where(F.size("problems") > 0)}
+
+
 def explode_series(docs: DataFrame, variables: Sequence[str], place_cols: Sequence[str],
                    series_col: str = "daily", time_field: str = "time",
                    required: str | None = "temperature_2m_mean", strict: bool = True) -> DataFrame:
     """SRC-04: one row per day from a document of parallel arrays, with the place columns.
 
-    ``strict`` keeps only documents without problems (a per-document filter, one pass); the
-    lenient variant turns a missing array into NULLs. Days whose ``required`` value is NULL
-    are dropped.
+    With ``strict`` a document with problems fails the job, naming them (``series_problems`` lists
+    all of them, ``split_series`` sets them aside first); nothing is dropped silently. The lenient
+    variant turns a missing array into NULLs and cuts or fills arrays to the length of ``time``.
+    Days whose ``required`` value is NULL are dropped.
     """
     s = F.col(series_col)
-    src = docs.where(F.size(_problems(variables, series_col, time_field)) == 0) if strict else docs
-    n = F.size(s[time_field])
-    arrays = [s[time_field].alias(time_field)]
+    n = F.coalesce(F.size(s[time_field]), F.lit(0))
+    times = s[time_field]
+    if strict:
+        problems = _problems(variables, series_col, time_field)
+        times = F.when(F.size(problems) == 0, times).otherwise(F.raise_error(F.concat(
+            F.lit("inconsistent document "), F.to_json(F.struct(*place_cols)), F.lit(": "), F.array_join(problems, ", "))))
+    arrays = [times.alias(time_field)]
     for v in variables:
         arr = s[v]
         if not strict:
-            arr = F.coalesce(arr, F.array_repeat(F.lit(None).cast("double"), n))
+            arr = F.slice(F.coalesce(arr, F.array_repeat(F.lit(None).cast("double"), n)), 1, n)
         arrays.append(arr.alias(v))
-    rows = src.select(*place_cols, F.inline(F.arrays_zip(*arrays)))
+    rows = docs.select(*place_cols, F.inline(F.arrays_zip(*arrays)))
     if required:
         rows = rows.where(F.col(required).isNotNull())
     return rows
 
 
-def _with_request_totals(pages: DataFrame, request_col: str, count_col: str, data_col: str) -> DataFrame:
-    """Announced count (first page's) and received records per request, as window columns.
-    A window partition holds one request's pages."""
-    w = Window.partitionBy(request_col)
-    return pages.withColumns({
-        "_announced": F.min_by(F.col(count_col), F.col("page")).over(w),
-        "_received": F.sum(F.coalesce(F.size(data_col), F.lit(0))).over(w)})
+def _request_totals(pages: DataFrame, request_col: str, count_col: str, data_col: str) -> DataFrame:
+    """Announced count (first page's) and received records: two numbers per request."""
+    return pages.groupBy(request_col).agg(
+        F.min_by(F.col(count_col), F.col("page")).alias("announced"),
+        F.sum(F.coalesce(F.size(data_col), F.lit(0))).alias("received"))
 
 
 def page_problems(pages: DataFrame, request_col: str = "request_id", count_col: str = "count",
                   data_col: str = "data") -> DataFrame:
     """DQ-10 for SRC-05: requests whose pages hold a different number of records than the
     first page's announced ``count`` (when a count is announced)."""
-    per_req = pages.groupBy(request_col).agg(
-        F.min_by(F.col(count_col), F.col("page")).alias("announced"),
-        F.sum(F.coalesce(F.size(data_col), F.lit(0))).alias("received"))
+    per_req = _request_totals(pages, request_col, count_col, data_col)
     return per_req.where(F.col("announced").isNotNull() & (F.col("announced") != F.col("received")))
 
 
 def explode_pages(pages: DataFrame, request_col: str = "request_id", data_col: str = "data",
                   strict: bool = True, count_col: str = "count") -> DataFrame:
-    """SRC-05: one row per record of every page envelope ``{count, data[]}``."""
+    """SRC-05: one row per record of every page envelope ``{count, data[]}``.
+
+    With ``strict`` a request that received another number of records than it announced fails the
+    job (``page_problems`` lists all of them); the payloads are not shuffled for the check unless
+    AQE finds the two numbers per request too large to broadcast.
+    """
     src = pages
     if strict:
-        t = _with_request_totals(pages, request_col, count_col, data_col)
-        src = t.where(F.col("_announced").isNull() | (F.col("_announced") == F.col("_received")))
+        bad = page_problems(pages, request_col, count_col, data_col).withColumnRenamed(request_col, "_bad_request")
+        told = F.raise_error(F.concat_ws(" ", F.lit("incomplete request"), F.col("_bad_request").cast("string"),
+                                         F.col("received").cast("string"), F.lit("of"), F.col("announced").cast("string")))
+        src = (pages.join(bad, F.col(request_col) == F.col("_bad_request"), "left")
+               .withColumn(data_col, F.when(F.col("_bad_request").isNull(), F.col(data_col)).otherwise(told)))
     return src.select(request_col, "page", F.explode(data_col).alias("record")).select(
         request_col, "page", "record.*")

@@ -3,8 +3,8 @@
 * ``versioned_ingest`` (STR-01): landed files -> ``foreachBatch`` running the versioned load.
   Each micro-batch is a load whose ``batch_id`` is the epoch id; because only changed content
   is appended, a micro-batch replayed after a failure appends nothing the second time.
-* ``latest_version_stream`` (STR-02): latest version per key as a streaming aggregation; the
-  event-time watermark (35 days, the revision window) bounds the state kept per key.
+* ``run_latest_to_table`` (STR-02): latest version per key, reduced inside each micro-batch and
+  merged into the stored table by the version order. Nothing is kept in state between batches.
 """
 
 from __future__ import annotations
@@ -17,21 +17,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
-from hydromart.operators.versions import REVISION_DAYS, load_versioned
+from hydromart.operators.versions import latest_versions, load_versioned
 from hydromart.session import checkpoint_dir
 
 
 def versioned_ingest(spark: SparkSession, landing: str, schema: StructType, raw_path: str, source: str,
                      checkpoint: str | None = None, fmt: str = "json",
-                     available_now: bool = True, files_per_load: int = 1) -> StreamingQuery:
+                     available_now: bool = True, files_per_load: int | None = None) -> StreamingQuery:
     """STR-01: stream landed files into the versioned raw table at ``raw_path``.
 
-    Each micro-batch takes ``files_per_load`` landed files and is one load: a file holding two
-    contents for one key is refused like any batch. Exactly-once comes from the checkpoint; a
+    Each micro-batch is one load: two contents for one key in it are refused like in any batch.
+    ``files_per_load`` limits the files of a load (unlimited by default). Exactly-once comes from the checkpoint; a
     micro-batch re-run after a failure appends nothing because its content is already current.
     """
-    stream = (spark.readStream.schema(schema).format(fmt)
-              .option("maxFilesPerTrigger", files_per_load).load(landing))
+    reader = spark.readStream.schema(schema).format(fmt)
+    if files_per_load:
+        reader = reader.option("maxFilesPerTrigger", files_per_load)
+    stream = reader.load(landing)
 
     def per_batch(df: DataFrame, epoch_id: int) -> None:
         load_versioned(df.sparkSession, raw_path, df, source, f"stream-{epoch_id}",
@@ -43,40 +45,30 @@ def versioned_ingest(spark: SparkSession, landing: str, schema: StructType, raw_
     return w.start()
 
 
-def latest_version_stream(stream: DataFrame, keys: Sequence[str], order: Sequence[str], event_time: str,
-                          watermark: str = f"{REVISION_DAYS} days") -> DataFrame:
-    """STR-02: current row per key over a stream (``update`` output mode).
-
-    ``max_by`` over a struct of the ordering columns (descending, NULLs last); the watermark on
-    ``event_time`` lets Spark drop the state of keys older than the revision window.
-    """
-    others = [c for c in stream.columns if c not in keys]
-    row = F.struct(*[F.col(c) for c in others])
-    rank = F.struct(*[F.col(c) for c in order])
-    agg = (stream.withWatermark(event_time, watermark)
-           .groupBy(*[F.col(k) for k in keys]).agg(F.max_by(row, rank).alias("_row")))
-    return agg.select(*keys, *[F.col("_row")[c].alias(c) for c in others])
-
-
 def run_latest_to_table(spark: SparkSession, stream: DataFrame, keys: Sequence[str], order: Sequence[str],
-                        event_time: str, out_path: str, checkpoint: str, date: str = "date") -> None:
-    """Drive STR-02 to completion (available-now) and keep the current rows in a Parquet table
-    partitioned by month of ``date``.
+                        out_path: str, checkpoint: str, date: str = "date") -> StreamingQuery:
+    """STR-02: keep the current row of every key in a Parquet table partitioned by month of ``date``.
 
-    Each micro-batch's updated keys are merged into the months they touch only (scoped upsert +
-    dynamic partition overwrite), so a micro-batch never rewrites the whole table.
+    Runs to completion over what is available. Each micro-batch is reduced to one row per key, then
+    compared with the stored rows of the months it touches: of the old and the new row the later in
+    version order stays, so a late older version never replaces a newer one, a replayed batch
+    changes nothing, and no state grows with the keys. ``date`` must be one of ``keys``.
     """
-    from hydromart.operators.tables import table_exists, upsert, write_table
+    from hydromart.operators.tables import table_exists, write_table
+
+    if date not in keys:
+        raise ValueError(f"{date} must be one of the keys: a key may not move between months")
 
     def merge(df: DataFrame, epoch_id: int) -> None:
         s = df.sparkSession
-        batch = df.withColumn("mois", F.date_format(date, "yyyy-MM"))
+        batch = latest_versions(df, keys, order).withColumn("mois", F.date_format(date, "yyyy-MM"))
         if table_exists(s, out_path):
-            merged = upsert(s.read.parquet(out_path), batch, list(keys), scope=["mois"])
-            write_table(merged, out_path, ["mois"], dynamic=True)
-        else:
-            write_table(batch, out_path, ["mois"], dynamic=True)
+            months = batch.select(F.col("mois").alias("_mois")).distinct()
+            stored = s.read.parquet(out_path).join(months, F.col("mois").eqNullSafe(F.col("_mois")), "left_semi")
+            batch = latest_versions(stored.select(*batch.columns).unionByName(batch), keys, order)
+        write_table(batch, out_path, ["mois"], dynamic=True)
 
-    q = (latest_version_stream(stream, keys, order, event_time).writeStream.outputMode("update")
-         .foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q = (stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+         .trigger(availableNow=True).start())
     q.awaitTermination()
+    return q

@@ -1,5 +1,7 @@
 """Landed payloads: parallel-array series and page envelopes."""
 
+import pytest
+
 from hydromart.sources import landing, readers
 
 DOC = "place string, daily struct<time: array<string>, temperature_2m_mean: array<double>, rain_sum: array<double>>"
@@ -13,7 +15,12 @@ def test_series_explode_and_checks(spark):
         ("empty", ([], [], [])),
     ], DOC)
     vars_ = ["temperature_2m_mean", "rain_sum"]
-    rows = landing.explode_series(docs, vars_, ["place"]).collect()
+    parts = landing.split_series(docs, vars_)
+    assert {r.place: list(r.problems) for r in parts["rejected"].collect()} == {
+        "short": ["length rain_sum"], "missing": ["missing rain_sum"], "empty": ["empty time"]}
+    with pytest.raises(Exception, match="inconsistent document"):
+        landing.explode_series(docs, vars_, ["place"]).collect()
+    rows = landing.explode_series(parts["valid"], vars_, ["place"]).collect()
     assert [(r.place, r.time, r.rain_sum) for r in rows] == [("ok", "2026-10-01", 1.0), ("ok", "2026-10-03", 3.0)]
     problems = {(r.place, r.problem) for r in landing.series_problems(docs, vars_, ["place"]).collect()}
     assert problems == {("short", "length rain_sum"), ("missing", "missing rain_sum"), ("empty", "empty time")}
@@ -28,8 +35,18 @@ def test_pages_explode_and_count_check(spark):
         ("r2", 1, 5, [("S4", 4.0)]), ("r3", 1, None, [("S5", 5.0)]),
     ], schema)
     assert {r.request_id for r in landing.page_problems(pages).collect()} == {"r2"}
-    got = sorted(r.code_station for r in landing.explode_pages(pages).collect())
+    with pytest.raises(Exception, match="incomplete request r2 1 of 5"):
+        landing.explode_pages(pages).collect()
+    whole = pages.where("request_id <> 'r2'")
+    got = sorted(r.code_station for r in landing.explode_pages(whole).collect())
     assert got == ["S1", "S2", "S3", "S5"]
+    assert landing.explode_pages(pages, strict=False).count() == 5
+
+
+def test_lenient_arrays_follow_time(spark):
+    docs = spark.createDataFrame([("long", (["2026-10-01"], [10.0, 11.0], [1.0, 2.0, 3.0])), ("none", (None, [1.0], [2.0]))], DOC)
+    rows = landing.explode_series(docs, ["temperature_2m_mean", "rain_sum"], ["place"], required=None, strict=False).collect()
+    assert [tuple(r) for r in rows] == [("long", "2026-10-01", 10.0, 1.0)]
 
 
 def test_keep_columns_and_split_missing(spark):

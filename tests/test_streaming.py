@@ -49,6 +49,22 @@ def test_latest_version_stream_matches_batch(spark, tmp_path):
     spark.createDataFrame(rows, "k string, date date, ts timestamp, v double").write.parquet(str(src))
     stream = spark.readStream.schema("k string, date date, ts timestamp, v double").parquet(str(src))
     out = str(tmp_path / "out")
-    ingest.run_latest_to_table(spark, stream, ["k", "date"], ["ts"], "ts", out, str(tmp_path / "ck"))
+    ingest.run_latest_to_table(spark, stream, ["k", "date"], ["ts"], out, str(tmp_path / "ck"))
     got = {r.k: r.v for r in spark.read.parquet(out).collect()}
     assert got == {"k1": 2.0, "k2": 9.0}
+
+
+def test_late_older_version_does_not_win_and_no_state_is_kept(spark, tmp_path):
+    src, out, ck = tmp_path / "src", str(tmp_path / "out"), str(tmp_path / "ck")
+    schema = "k string, date date, ts timestamp, v double"
+    day = lambda n: dt.date(2026, 1, 1) + dt.timedelta(days=n)
+
+    def run(rows):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(str(src))
+        return ingest.run_latest_to_table(spark, spark.readStream.schema(schema).parquet(str(src)), ["k", "date"], ["ts"], out, ck)
+
+    run([("a", day(0), dt.datetime(2026, 1, 2, 12), 2.0)])
+    query = run([("a", day(0), dt.datetime(2026, 1, 2, 6), 1.0)] + [("b", day(n), dt.datetime(2026, 6, 1), float(n)) for n in range(90)])
+    got = {(r.k, r.date): r.v for r in spark.read.parquet(out).collect()}
+    assert got[("a", day(0))] == 2.0 and len(got) == 91
+    assert not query.lastProgress or not query.lastProgress["stateOperators"]

@@ -317,31 +317,46 @@ def q_append_changed(spark, sf_dir):
 
 
 @register("rejected_keys", """
-SELECT event_id, CAST(value AS VARCHAR) AS code_insee, 'code_insee too long' AS reason
-FROM events WHERE length(trim(CAST(value AS VARCHAR))) > 5""")
+WITH incoming AS (
+  SELECT event_id, CASE WHEN value < 1 THEN ' ' ELSE CAST(value AS VARCHAR) END AS code_insee,
+         CASE WHEN event_type = 'view' THEN strftime(ts, '%Y-%m') WHEN event_type = 'error' AND value > 50 THEN NULL
+              ELSE CAST(ts AS VARCHAR) END AS date,
+         CASE WHEN event_type = 'signup' AND value > 50 THEN NULL ELSE event_type END AS event_type
+  FROM events
+)
+SELECT event_id, code_insee,
+       CASE WHEN trim(code_insee) = '' THEN 'missing code_insee' WHEN date IS NULL THEN 'missing date'
+            WHEN event_type IS NULL THEN 'missing event_type' WHEN length(date) < 10 THEN 'invalid date'
+            ELSE 'code_insee too long' END AS reason
+FROM incoming
+WHERE trim(code_insee) = '' OR date IS NULL OR event_type IS NULL OR length(date) < 10 OR length(trim(code_insee)) > 5""")
 def q_rejected_keys(spark, sf_dir):
-    # The incoming code is the text of ``value`` (4 to 6 characters), so the length rule
-    # fires on real rows; dates come from the timestamp text, the measure from event_type.
-    ev = testbed.table(spark, sf_dir, "events").select(
-        "event_id", F.col("value").cast("string").alias("code_insee"),
-        F.col("ts").cast("string").alias("date"), "event_type")
-    out = vers.normalise_keys(ev, "code_insee", "date", ["event_type"])
+    # The incoming code is the text of ``value`` (4 to 6 characters), so the length rule fires on
+    # real rows; blank codes, missing and partial dates and missing measures are planted.
+    ev = testbed.table(spark, sf_dir, "events")
+    late = F.col("value") > 50
+    incoming = ev.select(
+        "event_id", F.when(F.col("value") < 1, " ").otherwise(F.col("value").cast("string")).alias("code_insee"),
+        F.when(F.col("event_type") == "view", F.date_format("ts", "yyyy-MM"))
+        .when((F.col("event_type") == "error") & late, F.lit(None)).otherwise(F.col("ts").cast("string")).alias("date"),
+        F.when((F.col("event_type") == "signup") & late, F.lit(None)).otherwise(F.col("event_type")).alias("event_type"))
+    out = vers.normalise_keys(incoming, "code_insee", "date", ["event_type"])
     return out["rejected"].select("event_id", "code_insee", "reason")
 
 
 @register("version_chain_aba", """
 WITH v AS (
-  SELECT user_id, CAST(ts AS DATE) AS date, event_type, event_id, round(value, -1) AS content,
+  SELECT user_id, CAST(ts AS DATE) AS date, event_type, event_id, props, round(value, -1) AS content,
          lag(round(value, -1)) OVER w AS prev, row_number() OVER w AS rn
   FROM events
   WINDOW w AS (PARTITION BY user_id, CAST(ts AS DATE), event_type ORDER BY ts, event_id)
 )
-SELECT user_id, date, event_type, event_id, content FROM v
+SELECT user_id, date, event_type, event_id, content, props FROM v
 WHERE rn = 1 OR content IS DISTINCT FROM prev""")
 def q_version_chain_aba(spark, sf_dir):
     raw = events_raw(spark, sf_dir).withColumn("content", F.round("value", -1))
     return (vers.version_changes(raw, EV_KEYS, EV_ORDER, "content")
-            .select("user_id", "date", "event_type", "event_id", "content"))
+            .select("user_id", "date", "event_type", "event_id", "content", "props"))
 
 
 @register("rollback_batch", with_ctes(SQL_EV) + """
@@ -973,8 +988,8 @@ def _series_docs(spark, sf_dir):
 @register("explode_series", with_ctes(SQL_OBS, SQL_WEATHER) + """
 SELECT o.code_station, CAST(date_trunc('month', o.date_obs_elab) AS DATE) AS mois,
        CAST(o.date_obs_elab AS VARCHAR) AS time, o.resultat_obs_elab AS temperature_2m_mean,
-       w.pluie_totale AS rain_sum
-FROM obs o LEFT JOIN weather w ON lpad(o.code_station, 5, '0') = w.code_insee AND o.date_obs_elab = w.date
+       w.pluie_j AS rain_sum
+FROM obs o LEFT JOIN rain w ON lpad(o.code_station, 5, '0') = w.code_insee AND o.date_obs_elab = w.date
 WHERE o.code_qualification = '20'""")
 def q_explode_series(spark, sf_dir):
     return landing.explode_series(_series_docs(spark, sf_dir), ["temperature_2m_mean", "rain_sum"],
@@ -1064,23 +1079,23 @@ WITH done AS (
 fresh AS (
   SELECT o_orderpriority AS grandeur_hydro_elab, CAST(date_trunc('month', o_orderdate) AS DATE) AS mois,
          count(*) AS nb_lignes, TIMESTAMP '2001-08-10 06:00:00' AS termine_le
-  FROM orders WHERE o_orderstatus = 'P' GROUP BY 1, 2
+  FROM orders WHERE o_orderstatus <> 'F' GROUP BY 1, 2
 )
 SELECT * FROM done d WHERE NOT EXISTS (SELECT 1 FROM fresh f WHERE f.grandeur_hydro_elab = d.grandeur_hydro_elab
                                        AND f.mois = d.mois)
 UNION ALL SELECT * FROM fresh""")
 def q_ledger_upsert(spark, sf_dir):
     # Ledger of finished (measure, month) chunks: months with fully shipped orders are recorded;
-    # a later run records the months holding partially shipped ones.
+    # a later run records the months holding open or partially shipped ones.
     o = testbed.table(spark, sf_dir, "orders")
 
     def months(status):
-        return (o.where(F.col("o_orderstatus") == status)
+        return (o.where(status)
                 .groupBy(F.col("o_orderpriority").alias("grandeur_hydro_elab"),
                          F.trunc("o_orderdate", "MM").alias("mois"))
                 .agg(F.count(F.lit(1)).alias("nb_lignes")))
-    ledger = months("F").withColumn("termine_le", ft.as_timestamp("2001-08-01T00:00:00").cast("timestamp_ntz"))
-    new = vers.ledger_upsert(ledger, months("P"), "2001-08-10T06:00:00")
+    ledger = months(F.col("o_orderstatus") == "F").withColumn("termine_le", ft.as_timestamp("2001-08-01T00:00:00").cast("timestamp_ntz"))
+    new = vers.ledger_upsert(ledger, months(F.col("o_orderstatus") != "F"), "2001-08-10T06:00:00")
     return new.withColumn("termine_le", F.col("termine_le").cast("timestamp_ntz"))
 
 
@@ -1188,3 +1203,80 @@ def q_reliability(spark, sf_dir):
     # ML-15: calibration of the logistic model on the test period (rows-only: fitted model)
     _, parts, model = _fitted(spark, sf_dir)
     return ml.reliability_bins(ml.predict(model, parts["test"]))
+
+
+# --------------------------------------------------------------------------- planted faults, fitted parts
+@register("level_class_join", ORACLES["level_class"])
+def q_level_class_join(spark, sf_dir):
+    """JN-03 through the aggregate and the join, equal to the in-place class."""
+    obs = testbed.river_observations(spark, sf_dir)
+    return th.classify_observations(obs, th.monthly_thresholds(obs)).select(*q_level_class(spark, sf_dir).columns)
+
+
+@register("series_rejects", with_ctes(SQL_OBS) + """
+SELECT code_station, CAST(date_trunc('month', date_obs_elab) AS DATE) AS mois,
+       CASE WHEN month(date_obs_elab) = 6 THEN 'length rain_sum' ELSE 'missing rain_sum' END AS problem
+FROM obs WHERE month(date_obs_elab) IN (1, 6) GROUP BY ALL""")
+def q_series_rejects(spark, sf_dir):
+    # planted faults: June documents have a rain value too many, January ones no rain at all
+    daily = F.col("daily")
+    rain = (F.when(F.month("mois") == 6, F.concat(daily["rain_sum"], F.array(F.lit(0.0).cast("double"))))
+            .when(F.month("mois") != 1, daily["rain_sum"]))
+    docs = _series_docs(spark, sf_dir).withColumn("daily", daily.withField("rain_sum", rain))
+    rejected = landing.split_series(docs, ["temperature_2m_mean", "rain_sum"])["rejected"]
+    return rejected.select("code_station", "mois", F.explode("problems").alias("problem"))
+
+
+@register("page_rejects", with_ctes(SQL_OBS) + """
+SELECT code_station || '/' || strftime(date_obs_elab, '%Y-%m') AS request_id,
+       CAST(count(*) + 1 AS INTEGER) AS announced, count(*) AS received
+FROM obs WHERE month(date_obs_elab) = 2 GROUP BY ALL""")
+def q_page_rejects(spark, sf_dir):
+    # planted fault: February requests announce one record more than arrives
+    more = F.when(F.col("request_id").endswith("-02"), F.col("count") + 1).otherwise(F.col("count"))
+    return landing.page_problems(_page_envelopes(spark, sf_dir).withColumn("count", more))
+
+
+@register("incremental_merge", with_ctes(SQL_OBS) + """
+SELECT md5(concat(code_station, '|', CASE WHEN code_qualification = '20' THEN CAST(date_obs_elab AS VARCHAR) ELSE '' END)) AS row_hash,
+       code_station, date_obs_elab AS date, resultat_obs_elab, code_qualification
+FROM obs""")
+def q_incremental_merge(spark, sf_dir):
+    # withheld rows lose their date, so that many share one identity; nothing may be lost or multiplied
+    src, _ = _inc_frames(spark, sf_dir)
+    known = F.when(F.col("code_qualification") == "20", F.col("date").cast("string"))
+    src = src.withColumn("row_hash", fc.identity_hash("code_station", known, null_as_empty=True))
+    mart = src.where((F.col("date") < F.lit("2001-01-01").cast("date")) & (F.col("code_qualification") == "20"))
+    return tables.incremental_merge(src, mart, "date", "row_hash", 35)
+
+
+@register("upsert_null_keys", with_ctes(SQL_ORD) + """
+, t AS (SELECT * REPLACE (CASE WHEN o_totalprice >= 20000 THEN o_orderkey END AS o_orderkey) FROM tgt),
+s AS (SELECT * REPLACE (CASE WHEN o_totalprice >= 20000 THEN o_orderkey END AS o_orderkey) FROM src)
+SELECT t.*, 'keep' AS _action FROM t LEFT JOIN s USING (o_orderkey) WHERE s.row_hash IS NULL OR s.row_hash = t.row_hash
+UNION ALL SELECT s.*, 'insert' FROM s LEFT JOIN t USING (o_orderkey) WHERE t.row_hash IS NULL
+UNION ALL SELECT s.*, 'update' FROM s JOIN t USING (o_orderkey) WHERE t.row_hash <> s.row_hash""")
+def q_upsert_null_keys(spark, sf_dir):
+    # planted fault: cheap orders have lost their key
+    tgt, src = [df.withColumn("o_orderkey", F.when(F.col("o_totalprice") >= 20000, F.col("o_orderkey")))
+                for df in _orders_halves(spark, sf_dir)]
+    return tables.upsert_changed_only(tgt, src, ["o_orderkey"])
+
+
+@register("class_weights", with_ctes(*FEATURE_CHAIN) + f"""
+, train AS (SELECT target_j1 FROM features WHERE target_j1 IS NOT NULL AND date < DATE '{ML_CUTOFF}')
+SELECT target_j1, count(*) AS n, round((SELECT count(*) FROM train) / ((SELECT count(DISTINCT target_j1) FROM train) * count(*)), 6) AS weight
+FROM train GROUP BY target_j1""")
+def q_class_weights(spark, sf_dir):
+    train = ml.chronological_split(build_ml_features(spark, sf_dir), ML_CUTOFF)["train"]
+    return (ml.balanced_weights(train).groupBy("target_j1")
+            .agg(F.count(F.lit(1)).alias("n"), F.round(F.max("weight"), 6).alias("weight")))
+
+
+@register("train_medians", with_ctes(*FEATURE_CHAIN) + "SELECT " + ", ".join(
+    f"quantile_disc({c}, 0.5)::DOUBLE AS {c}" for c in FEATS)
+    + f" FROM features WHERE target_j1 IS NOT NULL AND date < DATE '{ML_CUTOFF}'")
+def q_train_medians(spark, sf_dir):
+    # the imputation values that the fitted pipelines learn
+    train = ml.chronological_split(features_table(spark, sf_dir), ML_CUTOFF)["train"]
+    return ml.logistic_pipeline().getStages()[0].fit(train).surrogateDF.select(*FEATS)

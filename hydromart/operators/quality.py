@@ -110,14 +110,13 @@ def partial_last_day(df: DataFrame, date: str, entity: str, measures: Sequence[s
 def scoring_preconditions(features: DataFrame, keys: Sequence[str] = ("date", "code_station")) -> DataFrame:
     """DQ-12: problems that block scoring the last date: no rows, or duplicated keys on it.
 
-    One row per problem (``problem``, ``n``); empty means the latest date can be scored.
-    One pass: rows per key, then per date (rows, duplicated keys), then the latest date's
-    figures via ``max_by``.
+    One row per problem (``problem``, ``n``); empty means the latest date can be scored. Only the
+    latest date is looked at: it is a scalar subquery that prunes the scan.
     """
-    date, *rest = keys
-    per_key = features.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    per_date = per_key.groupBy(date).agg(F.sum("_n").alias("_rows"), F.count_if(F.col("_n") > 1).alias("_dups"))
-    last = per_date.agg(F.max_by("_rows", date).alias("_rows"), F.max_by("_dups", date).alias("_dups"))
+    date = keys[0]
+    latest = features.where(F.col(date) == features.agg(F.max(date)).scalar())
+    per_key = latest.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    last = per_key.agg(F.sum("_n").alias("_rows"), F.count_if(F.col("_n") > 1).alias("_dups"))
     problems = F.array(
         F.struct(F.lit("no rows").alias("problem"), F.coalesce(F.col("_rows"), F.lit(0)).cast("long").alias("n")),
         F.struct(F.lit("duplicated keys").alias("problem"), F.coalesce(F.col("_dups"), F.lit(0)).cast("long").alias("n")))

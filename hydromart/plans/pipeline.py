@@ -1,24 +1,26 @@
-"""Entry point A on files: raw tables -> staging -> marts -> quality gates -> scores.
+"""Entry point A on files: landed files -> raw tables -> staging -> marts -> quality gates -> scores.
 
-Every step is a lazy DataFrame; actions happen only at sink writes and at the quality gates
-(``isEmpty`` on violation frames). Marts are persisted by writing them, as the reference
-materialises them; ``fct_hydro`` is rebuilt, ``fct_weather`` is incremental.
+Steps are lazy DataFrames; actions happen at sink writes and at the quality gates. Staged
+observations and marts are persisted by writing them, as the reference materialises them;
+``fct_hydro`` is rebuilt, ``fct_weather`` is incremental.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hydromart.operators import ml, quality, tables, thresholds
+from hydromart.operators.versions import LoadRejected, load_versioned
 from hydromart.plans import marts, staging
-from hydromart.sources import readers, schemas
+from hydromart.plans.gates import QualityGateFailed, gate
+from hydromart.sources import landing, readers, schemas
 
-
-class QualityGateFailed(RuntimeError):
-    """A data-quality check returned offending rows; the chain stops (like a failing test run)."""
+__all__ = ["Paths", "QualityGateFailed", "build_marts", "daily_loads", "ingest_river_pages", "ingest_weather",
+           "replace_stations", "score", "train"]
 
 
 @dataclass
@@ -29,42 +31,51 @@ class Paths:
     weather_history: str
     communes_csv: str
     out: str  # folder for marts and predictions
+    raw_risk_frequency: str | None = None
+    raw_risk_coverage: str | None = None
 
     def mart(self, name: str) -> str:
         return f"{self.out.rstrip('/')}/{name}"
 
 
-def gate(checks: dict[str, DataFrame]) -> None:
-    """Run each check; raise with the names of the failing ones."""
-    failed = [name for name, df in checks.items() if not df.isEmpty()]
-    if failed:
-        raise QualityGateFailed("failed checks: " + ", ".join(failed))
-
-
 def build_marts(spark: SparkSession, p: Paths, cutover: str = staging.WEATHER_CUTOVER,
                 built_at=None, min_rows: int = 100) -> dict[str, str]:
-    """Staging + marts + quality gates; returns the written mart paths."""
+    """Staging + dimensions + marts + quality gates; returns the written paths."""
+    out = {}
+
+    def store(name: str, df: DataFrame, partition_by: Sequence[str] = (), sort_by: Sequence[str] = (),
+              allow_empty: bool = False) -> DataFrame:
+        tables.replace(df, p.mart(name), partition_by, allow_empty=allow_empty, sort_by=sort_by)
+        out[name] = p.mart(name)
+        return spark.read.parquet(out[name])
+
     seed = readers.read_communes_csv(spark, p.communes_csv)
     obs = staging.stg_obs(readers.read_parquet(spark, p.raw_obs, schemas.RAW_OBS)).where(
         F.col("grandeur_hydro_elab") == staging.RIVER_MEASURE)
+    obs = store("stg_obs", obs)  # the top version per key is selected once for gates and mart
     stations = staging.stg_stations(readers.read_parquet(spark, p.raw_stations, schemas.RAW_STATIONS))
     weather = staging.stg_weather(readers.read_parquet(spark, p.weather_history, schemas.RAW_WEATHER_HISTORY),
                                   readers.read_parquet(spark, p.raw_weather, schemas.RAW_WEATHER),
                                   seed, cutover, built_at)
-    communes = marts.dim_commune(seed)
-    dim_station = marts.dim_station(stations, obs)
-
-    gate({"stg_obs unique row_hash": quality.unique(obs, "row_hash"),
-          "stg_obs not null code_station": quality.not_null(obs, "code_station"),
-          "dim_station -> stg_obs": quality.relationships(obs.select("code_station"), stations, "code_station"),
-          "seed grain": quality.grain(seed.select(F.col("code_INSEE")), ["code_INSEE"])})
+    gate({"stg_obs": obs, "stg_stations": stations}, seed_grain=quality.grain(seed.select("code_INSEE"), ["code_INSEE"]))
+
+    communes = store("dim_commune", marts.dim_commune(seed))
+    store("dim_departement", marts.dim_departement(seed))
+    dim_station = store("dim_station", marts.dim_station(stations, obs))
+    bounds = obs.agg(F.least(F.min("date_obs_elab"), F.lit("2000-01-01").cast("date")).alias("start"),
+                     F.max("date_obs_elab").alias("end"))
+    dim_date = store("dim_date", marts.dim_date_between(bounds))
+    risk = {}
+    if p.raw_risk_frequency:
+        raw = readers.read_parquet(spark, p.raw_risk_frequency, schemas.RAW_RISK_FREQUENCY)
+        risk["stg_risk_frequency"] = store("stg_risk_frequency", staging.stg_risk_frequency(raw))
+    if p.raw_risk_coverage:
+        raw = readers.read_parquet(spark, p.raw_risk_coverage, schemas.RAW_RISK_COVERAGE)
+        risk["stg_risk_coverage"] = store("stg_risk_coverage", staging.stg_risk_coverage(raw))
 
-    out = {}
-    fct_hydro = thresholds.hydro_thresholds_mart(obs)
     # SNK-06 layout: month partitions, rows ordered by station inside each file.
-    tables.replace(fct_hydro.withColumn("mois_partition", F.trunc("date_obs_elab", "MM")),
-                   p.mart("fct_hydro"), ["mois_partition"], sort_by=["code_station", "date_obs_elab"])
-    out["fct_hydro"] = p.mart("fct_hydro")
+    hydro = thresholds.hydro_thresholds_mart(obs).withColumn("mois_partition", F.trunc("date_obs_elab", "MM"))
+    fct_h = store("fct_hydro", hydro, ["mois_partition"], ["code_station", "date_obs_elab"]).drop("mois_partition")
 
     wpath = p.mart("fct_weather")
     weather = weather.withColumn("mois_partition", F.trunc("date", "MM"))
@@ -72,43 +83,47 @@ def build_marts(spark: SparkSession, p: Paths, cutover: str = staging.WEATHER_CU
         # incremental: only the months holding reprocessed rows are rewritten (dynamic overwrite)
         current = spark.read.parquet(wpath)
         rows = tables.incremental_rows(weather.select(*current.columns), current, "date", "row_hash")
-        merged = tables.upsert(current, rows, ["row_hash"], scope=["mois_partition"])
-        tables.write_table(merged, wpath, ["mois_partition"], dynamic=True, sort_by=["code_insee", "date"])
-    else:
-        tables.write_table(weather, wpath, ["mois_partition"], dynamic=True, sort_by=["code_insee", "date"])
+        weather = tables.upsert(current, rows, ["row_hash"], scope=["mois_partition"])
+    tables.write_table(weather, wpath, ["mois_partition"], dynamic=True, sort_by=["code_insee", "date"])
     out["fct_weather"] = wpath
-
-    fct_h = spark.read.parquet(out["fct_hydro"]).drop("mois_partition")
     fct_w = spark.read.parquet(wpath).drop("mois_partition")
-    gate({"fct_weather grain": quality.grain(fct_w, ["code_insee", "date"]),
-          "fct_hydro thresholds uniform": quality.thresholds_uniform(fct_h)})
+    gate({"fct_weather": fct_w, "fct_hydro": fct_h, "dim_station": dim_station, "dim_date": dim_date,
+          "dim_commune": communes, **risk},
+         weather_grain=quality.grain(fct_w, ["code_insee", "date"]),
+         hydro_thresholds_uniform=quality.thresholds_uniform(fct_h))
 
     st = marts.stations_with_commune(dim_station, communes)
-    features = marts.ml_features(fct_h, st, fct_w, min_rows=min_rows)
-    tables.replace(features, p.mart("ml_features"), allow_empty=True)
-    out["ml_features"] = p.mart("ml_features")
-    f = spark.read.parquet(out["ml_features"])
-    gate({"ml_features grain": quality.grain(f, ["code_station", "date"]),
-          "ml_features classifiable": quality.classifiable(f, fct_h),
-          "ml_features last date scorable": quality.last_date_scorable(f)})
+    f = store("ml_features", marts.ml_features(fct_h, st, fct_w, min_rows=min_rows), allow_empty=True)
+    gate({}, features_grain=quality.grain(f, ["code_station", "date"]),
+         features_classifiable=quality.classifiable(f, fct_h),
+         features_last_date_scorable=quality.last_date_scorable(f))
     return out
 
 
+def train(spark: SparkSession, p: Paths, model_path: str, cutoff: str = ml.SPLIT_DATE, kind: str = "logistic") -> str:
+    """ML-02..05, 14: fit on the feature mart before ``cutoff``, save, return the fingerprint."""
+    model = ml.fit(ml.chronological_split(spark.read.parquet(p.mart("ml_features")), cutoff)["train"], kind)
+    model.write().overwrite().save(model_path)
+    return ml.model_fingerprint(spark, model_path)
+
+
 def score(spark: SparkSession, p: Paths, model_path: str, expected_sha256: str | None = None,
           predicted_at=None) -> int:
-    """ML-13: score the latest feature date and upsert into ``predictions``; returns rows written."""
+    """ML-13: score the latest feature date and merge it into ``predictions``; returns its rows.
+
+    Predictions are partitioned by date: only the scored date is read and rewritten.
+    """
     features = spark.read.parquet(p.mart("ml_features"))
-    gate({"scoring preconditions": quality.scoring_preconditions(features)})
+    gate({}, scoring_preconditions=quality.scoring_preconditions(features))
     model = ml.load_checked(model_path, expected_sha256)
     scored = ml.score_latest(model, features, predicted_at)
+    day = features.agg(F.max("date")).first()[0]
     ppath = p.mart("predictions")
     if tables.table_exists(spark, ppath):
-        hist = spark.read.parquet(ppath)
-        counts = tables.upsert_counts(hist, scored, ml.PREDICTION_KEYS).first()
-        tables.write_table(ml.upsert_predictions(hist, scored), ppath)
-        return int(counts.inserted + counts.updated)
-    tables.write_table(scored, ppath)
-    return spark.read.parquet(ppath).count()
+        same_day = spark.read.parquet(ppath).where(F.col("date") == F.lit(day))
+        scored = ml.upsert_predictions(same_day, scored)
+    tables.write_table(scored, ppath, ["date"], dynamic=True)
+    return spark.read.parquet(ppath).where(F.col("date") == F.lit(day)).count()
 
 
 # Landed river API pages: {request_id, page, count, data[]} with the records as delivered.
@@ -128,9 +143,6 @@ def ingest_river_pages(spark: SparkSession, landing_path: str, raw_path: str, ba
     keeps the expected columns (SRC-06), sets aside records without a station (SRC-07) and
     appends the changed versions (VER-01..06). Returns the appended and rejected counts.
     """
-    from hydromart.operators.versions import LoadRejected, load_versioned
-    from hydromart.sources import landing
-
     pages = spark.read.schema(RIVER_PAGE_SCHEMA).json(landing_path)
     if not landing.page_problems(pages).isEmpty():
         raise LoadRejected(f"incomplete pages in {landing_path}")
@@ -140,3 +152,59 @@ def ingest_river_pages(spark: SparkSession, landing_path: str, raw_path: str, ba
     appended = load_versioned(spark, raw_path, parts["kept"], "river", batch_id, inserted_at,
                               content=schemas.RIVER_OBS_COLUMNS, partition_by=partition_by)
     return {"appended": appended, "rejected": parts["rejected"].count()}
+
+
+# Landed weather documents: one per place, parallel daily arrays as delivered.
+WEATHER_DOC_SCHEMA = (
+    "code_INSEE string, Latitude double, Longitude double, daily struct<time: array<string>, "
+    + ", ".join(f"{v}: array<double>" for v in schemas.WEATHER_VARIABLES) + ">")
+
+
+def ingest_weather(spark: SparkSession, landing_path: str, requested: DataFrame, raw_path: str, batch_id: str,
+                   inserted_at=None, partition_by: Sequence[str] = ("mois",)) -> dict:
+    """Landed weather documents -> daily rows -> versioned raw table (SRC-04, VER-01..06).
+
+    Refuses the load when a document is inconsistent, or when the places answered are not exactly
+    the ``requested`` ones (column ``code_INSEE``), each once. Returns the appended count.
+    """
+    docs = spark.read.schema(WEATHER_DOC_SCHEMA).json(landing_path)
+    problems = landing.series_problems(docs, schemas.WEATHER_VARIABLES, ["code_INSEE"])
+    if not problems.isEmpty():
+        raise LoadRejected(f"inconsistent weather documents in {landing_path}")
+    asked = requested.select("code_INSEE").distinct().withColumn("_asked", F.lit(True))
+    answers = docs.groupBy("code_INSEE").agg(F.count(F.lit(1)).alias("_n"))
+    odd = asked.join(answers, "code_INSEE", "full").where(F.col("_asked").isNull() | F.coalesce(F.col("_n") != 1, F.lit(True)))
+    if not odd.isEmpty():
+        raise LoadRejected(f"not one answer per requested place in {landing_path}")
+    rows = landing.explode_series(docs, schemas.WEATHER_VARIABLES, ["code_INSEE", "Latitude", "Longitude"])
+    content = ["Latitude", "Longitude", "code_INSEE", "date", *schemas.WEATHER_VARIABLES]
+    rows = rows.withColumn("date", F.col("time")).withColumn("weather_code", F.col("weather_code").cast("long"))
+    return {"appended": load_versioned(spark, raw_path, rows.select(*content), "weather", batch_id, inserted_at,
+                                       content=content, partition_by=partition_by)}
+
+
+def replace_stations(spark: SparkSession, snapshot: DataFrame, path: str, low: int = 2700, high: int = 3300) -> int:
+    """SNK-02 + DQ-08: replace the station snapshot, refused when its count is implausible."""
+    n = quality.count_range(snapshot, "code_station", low, high).first()
+    if not n.in_range:
+        raise LoadRejected(f"{n.n} stations, expected {low} to {high}")
+    tables.replace(snapshot, path)
+    return n.n
+
+
+def daily_loads(spark: SparkSession, p: Paths, batch_id: str, river_pages: str | None = None,
+                weather_docs: str | None = None, requested: DataFrame | None = None, inserted_at=None) -> dict:
+    """Both raw loads as one: when one of them fails, what this batch added is removed again."""
+    loaded: dict[str, dict] = {}
+    try:
+        if river_pages:
+            loaded[p.raw_obs] = ingest_river_pages(spark, river_pages, p.raw_obs, batch_id, inserted_at)
+        if weather_docs:
+            loaded[p.raw_weather] = ingest_weather(spark, weather_docs, requested, p.raw_weather, batch_id, inserted_at)
+    except Exception:
+        for path, result in loaded.items():
+            if result["appended"]:
+                parts = ["mois"] if "mois" in spark.read.parquet(path).columns else []
+                tables.rollback_table(spark, path, batch_id, parts)
+        raise
+    return loaded

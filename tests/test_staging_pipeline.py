@@ -120,7 +120,8 @@ def test_console_entry_builds_marts(spark, tmp_path):
                 "--raw-weather", f"{base}/raw_weather", "--weather-history", f"{base}/history",
                 "--communes-csv", f"{base}/communes", "--out", f"{base}/marts", "--cutover", "2000-01-01",
                 "--profile", "local"])
-    assert set(out["marts"]) == {"fct_hydro", "fct_weather", "ml_features"}
+    assert set(out["marts"]) == {"stg_obs", "dim_commune", "dim_departement", "dim_station", "dim_date", "fct_hydro",
+                                 "fct_weather", "ml_features"}
     assert spark.read.parquet(out["marts"]["ml_features"]).count() > 0
 
 
@@ -149,3 +150,76 @@ def test_ingest_landed_pages(spark, tmp_path):
     (bad / "p.json").write_text(json.dumps({"request_id": "r2", "page": 1, "count": 5, "data": [rec("S1", "2026-10-02", 1.0)]}))
     with pytest.raises(LoadRejected):
         pipeline.ingest_river_pages(spark, str(bad), raw, "b3")
+
+
+def _weather_doc(code, days, rain):
+    return {"code_INSEE": code, "Latitude": 47.0, "Longitude": 0.7,
+            "daily": {"time": days, **{v: [float(rain)] * len(days) for v in schemas.WEATHER_VARIABLES}}}
+
+
+def test_landed_files_to_predictions_and_rollback(spark, tmp_path):
+    import json
+    import pytest
+    from hydromart.operators.versions import LoadRejected
+    base = str(tmp_path)
+    days = [(D(2020, 1, 1) + dt.timedelta(days=i)).isoformat() for i in range(6 * 365)]
+    river, weather = tmp_path / "river", tmp_path / "weather"
+    for folder in (river, weather):
+        folder.mkdir()
+    data = [{"code_site": "X", "code_station": "S1", "date_obs_elab": d, "resultat_obs_elab": float((i * 37) % 101),
+             "date_prod": "2026-10-02T12:00:00Z", "code_statut": "16", "code_qualification": "20", "grandeur_hydro_elab": "HIXnJ"}
+            for i, d in enumerate(days)]
+    (river / "p.json").write_text(json.dumps({"request_id": "r", "page": 1, "count": len(data), "data": data}))
+    (weather / "w.json").write_text("\n".join(json.dumps(_weather_doc(c, days, 1)) for c in ("37261", "48140")))
+    _write_raw(spark, f"{base}/seeded")
+    requested = spark.createDataFrame([("37261",), ("48140",)], "code_INSEE string")
+    risk = spark.createDataFrame([("Code_INSEE", "c", "f"), ("37261", " Tours ", "1"), (None, None, None)], schemas.RAW_RISK_FREQUENCY)
+    risk.write.parquet(f"{base}/risk")
+    p = pipeline.Paths(f"{base}/raw_obs", f"{base}/seeded/raw_stations", f"{base}/raw_weather", f"{base}/seeded/history",
+                       f"{base}/seeded/communes", f"{base}/marts", raw_risk_frequency=f"{base}/risk")
+    t0 = dt.datetime(2026, 10, 5)
+    pipeline.daily_loads(spark, p, "b1", str(river), str(weather), requested, t0)
+    before = {path: spark.read.parquet(path).count() for path in (p.raw_obs, p.raw_weather)}
+    assert before == {p.raw_obs: len(days), p.raw_weather: 2 * len(days)}
+
+    out = pipeline.build_marts(spark, p, cutover="2000-01-01", built_at=t0.isoformat())
+    assert spark.read.parquet(out["stg_risk_frequency"]).count() == 1
+    assert spark.read.parquet(out["dim_date"]).count() > len(days)
+    sha = pipeline.train(spark, p, f"{base}/model", "2025-01-01")
+    assert pipeline.score(spark, p, f"{base}/model", sha, "2026-10-05T06:00:00") == 1
+
+    # the second day: new river values, but one place has no weather answer -> nothing of the batch stays
+    data[0]["resultat_obs_elab"] = 500.0
+    late, short = tmp_path / "river2", tmp_path / "weather2"
+    late.mkdir()
+    short.mkdir()
+    (late / "p.json").write_text(json.dumps({"request_id": "r", "page": 1, "count": 1, "data": data[:1]}))
+    (short / "w.json").write_text(json.dumps(_weather_doc("37261", days[:3], 2)))
+    with pytest.raises(LoadRejected, match="one answer per requested place"):
+        pipeline.daily_loads(spark, p, "b2", str(late), str(short), requested, t0 + dt.timedelta(days=1))
+    assert {path: spark.read.parquet(path).count() for path in before} == before
+    assert spark.read.parquet(p.raw_obs).where("batch_id = 'b2'").isEmpty()
+
+
+def test_gates_name_the_broken_rules(spark):
+    import pytest
+    from hydromart.plans import gates
+    stations = spark.createDataFrame([("S1", True), ("S1", None)], "code_station string, en_service boolean")
+    obs = spark.createDataFrame([("h", "S1", "2026-01-01", "X"), ("h", "S9", None, "X")],
+                                "row_hash string, code_station string, date_obs_elab string, grandeur_hydro_elab string")
+    got = {r.rule: r.n for r in gates.failures({"stg_obs": obs, "stg_stations": stations}).collect()}
+    assert got == {"stg_obs.date_obs_elab not null": 1, "stg_obs.row_hash unique": 1, "stg_obs.code_station in stg_stations": 1,
+                   "stg_stations.en_service not null": 1, "stg_stations.code_station unique": 1}
+    with pytest.raises(gates.QualityGateFailed, match="row_hash unique"):
+        gates.gate({"stg_obs": obs})
+
+
+def test_implausible_station_snapshot_is_refused(spark, tmp_path):
+    import pytest
+    from hydromart.operators.versions import LoadRejected
+    path = str(tmp_path / "stations")
+    snapshot = spark.range(30).selectExpr("CAST(id AS STRING) AS code_station")
+    assert pipeline.replace_stations(spark, snapshot, path, 20, 40) == 30
+    with pytest.raises(LoadRejected):
+        pipeline.replace_stations(spark, snapshot.limit(3), path, 20, 40)
+    assert spark.read.parquet(path).count() == 30

@@ -118,14 +118,6 @@ def append_csv_with_header(df: DataFrame, path: str, sep: str = ",") -> None:
     df.write.mode("append").option("header", True).option("sep", sep).csv(path)
 
 
-def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
-    """Read a table written by these sinks; a declared schema avoids inference (SRC-03)."""
-    r = spark.read.option("mergeSchema", "true")
-    if schema is not None:
-        r = r.schema(schema)
-    return r.parquet(path)
-
-
 def table_exists(spark: SparkSession, path: str) -> bool:
     """False when nothing is stored at ``path`` yet; an unreadable table is an error, not "no table"."""
     recover_table(spark, path.rstrip("/"))

@@ -171,8 +171,9 @@ def features_table(spark: SparkSession, sf_dir: str, grain: str = "nation") -> D
 def build_ml_features(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
     stations = marts.stations_with_commune(testbed.station_directory(spark, sf_dir, grain),
                                            testbed.communes(spark, sf_dir, grain))
-    return marts.ml_features(fct_hydro(spark, sf_dir, grain), stations,
-                             testbed.daily_weather(spark, sf_dir, grain))
+    days = testbed.stored_station_days(spark, sf_dir, grain)
+    hydro = th.hydro_thresholds_mart(testbed.river_observations(spark, sf_dir, grain, days))
+    return marts.ml_features(hydro, stations, testbed.daily_weather(spark, sf_dir, grain, days))
 
 
 @register("thresholds", with_ctes(SQL_OBS, SQL_LIMITS) + "SELECT * FROM limits")

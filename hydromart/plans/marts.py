@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,18 +34,6 @@ def dim_departement(seed: DataFrame) -> DataFrame:
                        clean("Region").alias("region")).distinct()
 
 
-def dim_date(spark, start="2000-01-01", end=None) -> DataFrame:
-    """MD-08: one row per day from ``start`` to ``end`` (default: today, UTC) with calendar parts.
-
-    The bounds are parameters, so the day count is known up front and ``range`` splits the
-    calendar across tasks like any scan.
-    """
-    lo = dt.date.fromisoformat(str(start)[:10])
-    hi = dt.date.fromisoformat(str(end)[:10]) if end else dt.datetime.now(dt.timezone.utc).date()
-    days = spark.range(0, (hi - lo).days + 1).select(F.date_add(F.lit(lo), F.col("id").cast("int")).alias("date"))
-    return days.select("date", *[c.alias(k) for k, c in calendar_parts("date").items()])
-
-
 def dim_station(stations: DataFrame, observations: DataFrame, station: str = "code_station") -> DataFrame:
     """MD-09: stations that have at least one observation; sentinel dates to NULL."""
     observed = observations.select(station).where(F.col(station).isNotNull())
@@ -108,14 +94,3 @@ def dim_date_between(bounds: DataFrame, start: str = "start", end: str = "end")
     """MD-08 with data-derived bounds: ``bounds`` is a one-row frame (e.g. min/max of a fact)."""
     days = bounds.select(F.explode(F.sequence(F.col(start), F.col(end))).alias("date"))
     return days.select("date", *[c.alias(k) for k, c in calendar_parts("date").items()])
-
-
-def place_join(left: DataFrame, seed: DataFrame, left_name, seed_name, left_dept, seed_dept,
-               seed_cols: dict) -> DataFrame:
-    """JN-01: left join on (accent-free place key, department); ``seed_cols`` maps output names
-    to seed columns. The seed should be unique on its keys (check with ``quality.dq_grain``)."""
-    from hydromart.functions.codes import place_key
-    l = left.withColumns({"_name_key": place_key(left_name), "_dept": left_dept})
-    s = seed.select(place_key(seed_name).alias("_name_key"), seed_dept.alias("_dept"),
-                    *[F.col(v).alias(k) for k, v in seed_cols.items()])
-    return l.join(s, ["_name_key", "_dept"], "left").drop("_name_key", "_dept")

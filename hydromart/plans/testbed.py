@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hydromart.functions.codes import pad_code
+from hydromart.session import checkpoint_dir
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
@@ -42,26 +43,32 @@ def shipments(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFr
 
 
 def station_days(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
-    """One aggregate per (station, day) holding every measure of both the river and the
-    weather frames, so a plan using both shares a single scan and shuffle (exchange reuse)."""
+    """One aggregate per (station, day) holding every measure of the river and the weather frames."""
     return shipments(spark, sf_dir, grain).groupBy("code_station", "date_obs_elab").agg(
         F.max("l_extendedprice").alias("resultat_obs_elab"),
         F.min("l_returnflag").alias("_min_flag"), F.min("l_linestatus").alias("_min_status"),
         F.sum("l_quantity").alias("pluie_totale"), F.avg("l_discount").alias("_avg_discount"))
 
 
-def river_observations(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
+def stored_station_days(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
+    """``station_days`` computed once, for plans that need both the river and the weather frames:
+    column pruning would make their aggregates differ, so each would scan the facts again."""
+    checkpoint_dir(spark)
+    return station_days(spark, sf_dir, grain).checkpoint(eager=True)
+
+
+def river_observations(spark: SparkSession, sf_dir: str, grain: str = "nation", days: DataFrame | None = None) -> DataFrame:
     """One observation per (station, day): the ``stg_obs`` shape (MD-01 output columns)."""
-    return station_days(spark, sf_dir, grain).select(
+    return (days if days is not None else station_days(spark, sf_dir, grain)).select(
         "code_station", "date_obs_elab", "resultat_obs_elab",
         F.when(F.col("_min_flag") == "R", F.lit("10")).otherwise(F.lit("20")).alias("code_qualification"),
         F.when(F.col("_min_status") == "F", F.lit("12")).otherwise(F.lit("16")).alias("code_statut"),
         F.lit("HIXnJ").alias("grandeur_hydro_elab"))
 
 
-def daily_weather(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
+def daily_weather(spark: SparkSession, sf_dir: str, grain: str = "nation", days: DataFrame | None = None) -> DataFrame:
     """One weather row per (commune, day): ``fct_weather`` columns used by the features."""
-    return station_days(spark, sf_dir, grain).select(
+    return (days if days is not None else station_days(spark, sf_dir, grain)).select(
         pad_code("code_station", 5).alias("code_insee"), F.col("date_obs_elab").alias("date"),
         "pluie_totale", F.round("_avg_discount", 6).alias("humidite_sol_7_28cm"))
 

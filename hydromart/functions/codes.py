@@ -57,23 +57,22 @@ def first_present(*cols: ColumnOrName) -> Column:
     return F.coalesce(*[_col(c) for c in cols])
 
 
-# Single-character accent folding is derived from Unicode itself: every code point of the
-# Latin, Greek and Cyrillic blocks whose canonical decomposition is one base letter plus
-# combining marks maps to that base letter. ``translate`` then runs inside codegen.
-_FOLD_RANGES = ((0x00C0, 0x024F), (0x0370, 0x04FF), (0x1E00, 0x1EFF))
+# Single-character accent folding is derived from Unicode itself: every character from U+00C0 on
+# whose canonical decomposition is one base character plus combining marks maps to that character
+# (letters like U+212B included). ``translate`` then runs inside codegen.
+_FOLD_FIRST, _FOLD_LAST = 0x00C0, 0x1FFFF
 
 
 @lru_cache(maxsize=1)
 def _fold_table() -> tuple[str, str]:
     src, dst = [], []
-    for lo, hi in _FOLD_RANGES:
-        for cp in range(lo, hi + 1):
-            ch = chr(cp)
-            base = "".join(x for x in unicodedata.normalize("NFD", ch)
-                           if not unicodedata.category(x).startswith("M"))
-            if base != ch and len(base) == 1:
-                src.append(ch)
-                dst.append(base)
+    for ch in map(chr, range(_FOLD_FIRST, _FOLD_LAST + 1)):
+        if not unicodedata.decomposition(ch) or unicodedata.decomposition(ch).startswith("<"):
+            continue
+        base = "".join(x for x in unicodedata.normalize("NFD", ch) if not unicodedata.category(x).startswith("M"))
+        if base != ch and len(base) == 1:
+            src.append(ch)
+            dst.append(base)
     return "".join(src), "".join(dst)
 
 

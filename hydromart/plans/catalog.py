@@ -6,6 +6,7 @@ operators; each oracle re-states the same semantics in plain SQL. Column names m
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from hydromart.functions import codes as fc, temporal as ft
 from hydromart.operators import geo, ml, profile, quality, series, tables, thresholds as th, versions as vers
 from hydromart.plans import marts, staging, testbed
+from hydromart.session import checkpoint_dir
 from hydromart.sources import landing
 from hydromart.streaming import ingest
 
@@ -163,7 +165,6 @@ def fct_hydro(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFr
 
 def features_table(spark: SparkSession, sf_dir: str, grain: str = "nation") -> DataFrame:
     """The feature mart materialised with a reliable checkpoint (``spark.checkpoint.dir``)."""
-    from hydromart.session import checkpoint_dir
     checkpoint_dir(spark)
     return build_ml_features(spark, sf_dir, grain).checkpoint(eager=True)
 
@@ -547,8 +548,9 @@ def q_fuzzy_place_join(spark, sf_dir):
     # matched to the canonical (smallest id) text with the same accent-free key. The key is
     # computed once per text and joined through its SHA-256 digest, so the shuffle moves
     # 64-character digests rather than whole texts.
+    checkpoint_dir(spark)
     docs = testbed.table(spark, sf_dir, "documents").select(
-        "doc_id", "lang", F.sha2(fc.place_key("text"), 256).alias("name_key"))
+        "doc_id", "lang", F.sha2(fc.place_key("text"), 256).alias("name_key")).checkpoint(eager=True)
     seed = docs.groupBy("name_key", "lang").agg(F.min("doc_id").alias("canonical_id"))
     return docs.join(seed, ["name_key", "lang"], "left").select("doc_id", "lang", "canonical_id")
 
@@ -1026,8 +1028,6 @@ def q_explode_pages(spark, sf_dir):
 @register("stream_latest_version", ORACLES["latest_version"])
 def q_stream_latest_version(spark, sf_dir):
     """STR-02 over ``events`` read as a file stream; the result table must equal the batch one."""
-    import uuid
-    from hydromart.session import checkpoint_dir
     base = f"{checkpoint_dir(spark).rstrip('/')}/stream-latest-{uuid.uuid4().hex}"
     ev_schema = testbed.table(spark, sf_dir, "events").schema
     stream = (spark.readStream.schema(ev_schema).option("maxFilesPerTrigger", 1)

@@ -153,3 +153,8 @@ def test_no_scratch_folder_on_a_cluster():
         conf, sparkContext = Conf(), Context()
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.checkpoint_dir(Session())
+
+
+def test_accents_outside_the_common_blocks(spark):
+    got = spark.sql("SELECT '\u212Bngstr\u00f6m \u1E9E \uFB01 \u30AC \u0344e\u0301' AS t").select(codes.strip_marks("t")).first()[0]
+    assert got == "Angstrom \u1E9E \uFB01 \u30AB e"

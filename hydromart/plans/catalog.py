@@ -811,8 +811,10 @@ def q_dq_coverage(spark, sf_dir):
 
 
 @register("dq_scoring_preconditions", with_ctes(*FEATURE_CHAIN) + """
+SELECT 'no rows' AS problem, count(*) AS n FROM features HAVING count(*) = 0
+UNION ALL
 SELECT 'duplicated keys' AS problem, count(*) AS n FROM features
-WHERE date = (SELECT max(date) FROM features) AND depasse_p95_j = 0""")
+WHERE date = (SELECT max(date) FROM features) AND depasse_p95_j = 0 HAVING count(*) > 0""")
 def q_dq_scoring_preconditions(spark, sf_dir):
     # planted fault: the days below the threshold were delivered twice
     f = build_ml_features(spark, sf_dir)
@@ -1278,6 +1280,8 @@ def q_class_weights(spark, sf_dir):
     f"quantile_disc({c}, 0.5)::DOUBLE AS {c}" for c in FEATS)
     + f" FROM features WHERE target_j1 IS NOT NULL AND date < DATE '{ML_CUTOFF}'")
 def q_train_medians(spark, sf_dir):
-    # the imputation values that the fitted pipelines learn
+    # the imputation values that the fitted pipelines learn; without training rows there are none
     train = ml.chronological_split(features_table(spark, sf_dir), ML_CUTOFF)["train"]
+    if train.isEmpty():
+        return spark.range(1).select(*[F.lit(None).cast("double").alias(c) for c in FEATS])
     return ml.logistic_pipeline().getStages()[0].fit(train).surrogateDF.select(*FEATS)

@@ -125,8 +125,8 @@ def disclosing_terms(docs: DataFrame, near: DataFrame, scratch: Scratch, support
     together = scratch.write(together, "together")
     entities = (near.select("entity", "doc_id", "th").distinct().groupBy("entity").agg(F.count("*").alias("n_e")))
     words = F.array_distinct(F.split(F.lower(_text()), r"[^\p{L}]+", -1))
-    everywhere = (docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-                  .join(together.select("term").distinct(), "term", "left_semi"))
+    # counted before the join: a semi-join would be pushed below the count and pass every single word
+    everywhere = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
     total = docs.agg(F.count("*").alias("n"))
     joined = together.join(everywhere, "term").join(entities, "entity").withColumn("n", total.scalar())
     information = F.log2(F.col("n") / F.col("n_e"))

@@ -1,7 +1,6 @@
 """Summarise the physical plan of every registered query after execution (AQE final plan).
 
-For each query: number of shuffles (Exchange hashpartitioning / rangepartitioning / single),
-round-robin spreads, broadcast joins, sort-merge joins, reused exchanges, windows, and for each
+For each query: number of shuffles (Exchange hashpartitioning / rangepartitioning / single), broadcast joins, sort-merge joins, reused exchanges, windows, and for each
 Parquet scan its pushed filters and read columns. Writes PLANS.md.
 
 Usage: python tools/plans.py [sf_dir]
@@ -26,7 +25,6 @@ def summarise(plan: str) -> dict:
     final = plan.split("== Initial Plan ==")[0]
     return {
         "shuffles": len(re.findall(r"Exchange (hashpartitioning|rangepartitioning|SinglePartition)", final)),
-        "spreads": len(re.findall(r"Exchange RoundRobinPartitioning", final)),
         "broadcast_joins": len(re.findall(r"BroadcastHashJoin|BroadcastNestedLoopJoin", final)),
         "sort_merge_joins": len(re.findall(r"SortMergeJoin", final)),
         "reused": len(re.findall(r"Reused(Exchange|Subquery)", final)),
@@ -36,30 +34,37 @@ def summarise(plan: str) -> dict:
     }
 
 
+def table(spark, queries, names, sf_dir):
+    rows, scans = [], []
+    for name in names:
+        s = summarise(final_plan(queries[name](spark, sf_dir)))
+        rows.append(f"| `{name}` | {s['shuffles']} | {s['broadcast_joins']} | {s['sort_merge_joins']} | {s['reused']} | "
+                    f"{s['windows']} | {s['cartesian']} |")
+        for cols, pushed in s["scans"]:
+            cols, pushed = re.sub(r"#\d+L?", "", cols), re.sub(r"#\d+L?", "", pushed)
+            scans.append(f"| `{name}` | {cols} | {pushed or '-'} |")
+    return rows, scans
+
+
 def main(argv):
     sf_dir = argv[1] if len(argv) > 1 else "/root/testdata/sf0.1"
-    import __spark_entry__ as E
+    from bench import HEADLINE
+    from hydromart.plans import catalog
     spark = build_session("local[8]", 16)
     spark.sparkContext.setLogLevel("OFF")
+    head = ["| Query | Shuffles | Broadcast joins | Sort-merge joins | Reused | Windows | Cartesian |",
+            "| --- | --- | --- | --- | --- | --- | --- |"]
+    rows, scans = table(spark, catalog.QUERIES, catalog.QUERIES, sf_dir)
     lines = ["# Physical plans of the registered queries", "",
              f"AQE final plans after running each query once on `{sf_dir}` (`tools/plans.py`).",
-             "Shuffles count hash/range/single-partition exchanges; spreads are the round-robin",
-             "exchanges that fan out single-row-group scans (absent on split inputs).",
-             "Iterative operators (the nearest-station rounds, ML fits) run their rounds as separate",
-             "jobs over checkpoints; the final plan shown here only reads those checkpoints.", "",
-             "| Query | Shuffles | Spreads | Broadcast joins | Sort-merge joins | Reused | Windows | Cartesian |",
-             "| --- | --- | --- | --- | --- | --- | --- | --- |"]
-    scans = []
-    for name, fn in E.queries().items():
-        if name.startswith("fit_") or name in ("score_latest", "coefficients", "stream_latest_version"):
-            continue
-        s = summarise(final_plan(fn(spark, sf_dir)))
-        lines.append(f"| `{name}` | {s['shuffles']} | {s['spreads']} | {s['broadcast_joins']} | "
-                     f"{s['sort_merge_joins']} | {s['reused']} | {s['windows']} | {s['cartesian']} |")
-        for cols, pushed in s["scans"]:
-            cols = re.sub(r"#\d+L?", "", cols)
-            pushed = re.sub(r"#\d+L?", "", pushed)
-            scans.append(f"| `{name}` | {cols} | {pushed or '-'} |")
+             "Shuffles count hash/range/single-partition exchanges. Steps that are written or checkpointed",
+             "(station days, the nearest-station rounds, ML fits, streams) run as jobs of their own; the plan",
+             "shown is the one that reads them. The training-data operators are described in README.md.", "",
+             *head, *rows, "", "## Headline queries with broadcasts off", "",
+             "What the plans become when no side is small enough to broadcast.", "", *head]
+    for key in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
+        spark.conf.set(key, "-1")
+    lines += table(spark, catalog.QUERIES, HEADLINE, sf_dir)[0]
     lines += ["", "## Parquet scans: columns read and filters pushed", "",
               "| Query | Columns read | Pushed filters |", "| --- | --- | --- |", *scans, ""]
     out = __file__.rsplit("/tools/", 1)[0] + "/PLANS.md"

@@ -5,8 +5,8 @@ Points are mapped to unit vectors and bucketed in cubes. For a search radius r (
 * **fine cubes** of side c/sqrt(3): two points in the same fine cube are always within r, so
   a station sharing a fine cube with any commune is near without computing a single distance;
 * **coarse cubes** of side c: any pair within r lies in the same or adjacent cubes, so the
-  remaining candidates are an equi-join on (cube id) against the 27 neighbour ids, followed
-  by the exact haversine test.
+  remaining candidates are a semi-join on (cube id) against the 27 neighbour ids with the exact
+  haversine test as its condition.
 
 Only points not settled by the fine-cube test are paired, and only with neighbours. AQE's skew
 join splits a hot cube across tasks. The nearest-station fallback uses cubes doubling in size
@@ -36,12 +36,13 @@ def _points(df: DataFrame, id_col: str, lat: str, lon: str, prefix: str) -> Data
                     F.col(lon).alias(f"{prefix}lon")))
 
 
-def _pairs_within(a: DataFrame, b: DataFrame, side: float, radius_m: float | None) -> DataFrame:
-    """Candidate pairs (a in the 27 cubes around b) with their great-circle distance."""
+def _hit_within(a: DataFrame, b: DataFrame, side: float, radius_m: float) -> DataFrame:
+    """Rows of ``a`` with a ``b`` point within the radius: a semi-join on the 27 cubes around ``b``
+    that stops at the first hit, so candidate pairs are tested but never written out."""
     ac = a.withColumn("_cell", grid_cell("a_lat", "a_lon", side))
-    bc = b.select("*", F.explode(neighbour_cells(grid_cell("b_lat", "b_lon", side))).alias("_cell"))
-    j = ac.join(bc, "_cell").withColumn("distance_m", haversine_m("a_lat", "a_lon", "b_lat", "b_lon"))
-    return j.where(F.col("distance_m") <= radius_m) if radius_m is not None else j
+    bc = b.select("b_lat", "b_lon", F.explode(neighbour_cells(grid_cell("b_lat", "b_lon", side))).alias("_b_cell"))
+    near = haversine_m("a_lat", "a_lon", "b_lat", "b_lon") <= radius_m
+    return ac.join(bc, (F.col("_cell") == F.col("_b_cell")) & near, "left_semi").drop("_cell")
 
 
 def _share_fine_cell(x: DataFrame, xp: str, y: DataFrame, yp: str, chord: float) -> DataFrame:
@@ -56,8 +57,7 @@ def covered(targets: DataFrame, sources: DataFrame, radius_m: float = RADIUS_M)
     chord = chord_for_arc(radius_m)
     by_cell = _share_fine_cell(targets, "a_", sources, "b_", chord)
     rest = targets.join(by_cell.select("a_id"), "a_id", "left_anti")
-    by_pair = _pairs_within(rest, sources, chord, radius_m).select("a_id", "a_lat", "a_lon").distinct()
-    return by_cell.unionByName(by_pair)
+    return by_cell.unionByName(_hit_within(rest, sources, chord, radius_m))
 
 
 def stations_near(communes: DataFrame, stations: DataFrame, radius_m: float = RADIUS_M,

@@ -30,7 +30,8 @@ from hydromart.llm.common import ship
 
 TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 END = "</w>"
-TABLE_ENTRIES = 150_000  # kept words and fragments per worker and generation
+TABLE_ENTRIES = 100_000  # kept chunks per worker and generation: about 50 MB in all
+KEPT_LENGTH = 48  # longer chunks and fragments are not kept
 _SPACE = regex.compile(r"\p{White_Space}+")
 
 
@@ -88,7 +89,7 @@ class Bpe:
             if last:
                 chars[-1] += END
             self.joined.update(zip(chars, chars[1:]))
-        self.fragments, self.words_seen, self.chunks = Recent(), Recent(), Recent()
+        self.fragments, self.chunks = Recent(), Recent()
 
     def merge(self, ids: list[int]) -> list[int]:
         """Ranked merges over one fragment, leftmost first among equals."""
@@ -143,28 +144,29 @@ class Bpe:
             ids = self.fragments.get(fragment)
             if ids is None:
                 ids = self.merge([self.ids[s] for s in fragment])
-                if len(fragment) <= 64:
+                if len(fragment) <= KEPT_LENGTH:
                     self.fragments.put(fragment, ids)
             out += ids
         return out
 
     def chunk(self, chunk: str) -> list[int]:
         """Ids of a stretch without white space (the word pattern never crosses it)."""
-        out: list[int] = []
         if chunk.isalpha():
-            words = (chunk,)
-        elif chunk[:-1].isalpha() and chunk[-1] in ".,;:!?":
-            words = (chunk[:-1], chunk[-1])
+            out = self.word(chunk)
         else:
-            words = self.words.findall(chunk)
-        for word in words:
-            ids = self.words_seen.get(word)
-            if ids is None:
-                ids = self.word(word)
-                if len(word) <= 64:
-                    self.words_seen.put(word, ids)
-            out += ids
-        if len(chunk) <= 64:
+            # a word alone is a chunk of its own, so one table serves both
+            if chunk[:-1].isalpha() and chunk[-1] in ".,;:!?":
+                words = (chunk[:-1], chunk[-1])
+            else:
+                words = self.words.findall(chunk)
+            if len(words) == 1:
+                out = self.word(words[0])
+            else:
+                out = []
+                for word in words:
+                    ids = self.chunks.get(word)
+                    out += self.chunk(word) if ids is None else ids
+        if len(chunk) <= KEPT_LENGTH:
             self.chunks.put(chunk, out)
         return out
 

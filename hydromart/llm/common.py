@@ -89,7 +89,7 @@ def partitions(spark: SparkSession) -> int:
 
 
 def text_chunks(batches: Iterator[pa.RecordBatch], column: str = "text",
-                max_bytes: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+                max_bytes: int = 1 << 19) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
     """Slices of whole rows with about ``max_bytes`` of text each: (slice, bytes, row offsets).
 
     Nulls count as empty. A longer text forms a slice of its own, so memory follows the longest
@@ -146,7 +146,7 @@ def _powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         up[0] = down[0] = 1
         up[1:], down[1:] = base, pow(base, -1, 1 << 64)
         got = (np.cumprod(up), np.cumprod(down))
-        if n <= 1 << 23:  # powers for one huge text are not kept
+        if n <= 1 << 20:  # powers for one huge text are not kept
             _POWERS[base] = got
     return got[0][:n], got[1][:n]
 

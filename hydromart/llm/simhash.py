@@ -30,7 +30,7 @@ SHINGLE_WORDS = 4
 MAX_BITS = 4
 SEED = 42
 TILE_ROWS = 32768
-_BLOCK = 200_000
+_BLOCK = 65_536  # shingles whose bits are held at once
 
 
 def fingerprints_of(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE_WORDS) -> np.ndarray:

@@ -202,7 +202,8 @@ def repeat_marks(docs: DataFrame, scratch: Scratch, window: int = WINDOW, hot: i
     warm = (warm.join(merged, ["one", "two"]).groupBy("bucket", "dig")
             .agg(F.sort_array(F.collect_set(F.struct("j", "lowest"))).alias("w"))
             .select("bucket", "dig", F.col("w.lowest").alias("owners")))
-    owners = cold.unionByName(warm).dropDuplicates(["bucket", "dig"])
+    # written, so that both sides of the next join are plain shuffles that AQE can split where hot
+    owners = scratch.write(cold.unionByName(warm).dropDuplicates(["bucket", "dig"]), "owners")
     bits = F.transform("owners", lambda o, j: F.when(o < F.col("doc_id"), F.call_function("shiftleft", F.lit(1).cast("long"), j))
                        .otherwise(F.lit(0).cast("long")))
     mixed = (several.join(owners, ["bucket", "dig"])

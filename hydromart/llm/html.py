@@ -4,9 +4,14 @@ The standard library's parser feeds each page as events. Block-level tags cut th
 a line's ratio is its text length over the tags it holds, and lines inside navigation, headers,
 footers, sidebars, notices, adverts, forms and comments count as empty. The ratios are smoothed by
 a Gaussian, and smoothed lines above a threshold (a share of their standard deviation) form the
-content clusters. The region selected by them is kept whole: every line of the enclosing article
-(or of the whole page, where no article is marked) that lies in no excluded part. Short
-paragraphs between long ones therefore stay.
+content clusters. A chosen line seeds its region (the innermost article, section, div, list or table
+around it) if its own ratio reaches the threshold too and it is not a short line of links.
+
+Where no article is marked, regions with a seed are kept whole, so short blocks beside long ones
+stay; a region without one is dropped if links hold most of its text, unless it stands between two
+seeds of the region around it. If nothing seeds, all lines stay. A marked article that lies in no
+excluded part is kept whole by its mark, whatever its ratios; outside the articles, the lines of a
+region from its first to its last seed of ``PROSE`` or more characters are kept as well.
 
 Defined results: null, empty or tag-free input gives its own text or none; unclosed and stray tags
 are tolerated (a void or unknown tag never swallows the rest); repeated rows get equal results;
@@ -28,6 +33,7 @@ from hydromart.llm.common import ship
 
 SIGMA = 1.0
 SHARE = 0.25  # of the standard deviation of the smoothed ratios
+PROSE = 80  # characters of a line that counts as prose by itself
 
 # HTML element roles.
 _BLOCK = frozenset("""address article aside blockquote body br button caption center dd details dialog dir div dl dt
@@ -37,6 +43,7 @@ _VOID = frozenset("area base br col embed hr img input link meta param source tr
 _RAW = frozenset("script style template noscript head title iframe object svg canvas audio video".split())
 _EXCLUDED = frozenset("nav header footer aside form menu dialog search button select textarea".split())
 _MAIN = frozenset(("article", "main"))
+_REGIONS = frozenset("article blockquote body center details div dl main ol section table td th ul".split())
 _ENDS_P = _BLOCK - {"br", "option", "caption", "legend", "summary"}
 _EXCLUDED_NAMES = re.compile(
     r"(?:^|[\s_-])(?:ads?|adverts?|advertisements?|banners?|sponsor(?:ed)?|promo(?:tion)?s?|cookies?(?:[\s_-]?\w+)?|consent|"
@@ -47,37 +54,40 @@ _WHITE = re.compile(r"\s+")
 
 
 class _Lines(HTMLParser):
-    """Turns parser events into lines: text outside excluded parts, tags seen, article number."""
+    """Turns parser events into lines: text outside excluded parts, tags seen, article, region, characters in links."""
 
     def __init__(self):
         super().__init__(convert_charrefs=True)
-        self.open: list[tuple[str, bool, int, bool]] = []  # tag, excluded, article, raw
-        self.lines: list[tuple[str, int, int]] = []
+        self.open: list[tuple[str, bool, int, bool, int, bool]] = []  # tag, excluded, article, raw, region, link
+        self.lines: list[tuple[str, int, int, int, int]] = []
         self.articles = 0
+        self.around = [0]  # the region around each region; 0 is the page
         self._parts: list[str] = []
-        self._tags = 0
-        self._state = (False, 0, False)  # excluded, article (0: none), raw
+        self._tags = self._linked = 0
+        self._state = (False, 0, False, 0, False)  # excluded, article (0: none), raw, region, link
 
     def _cut(self) -> None:
         text = _WHITE.sub(" ", "".join(self._parts)).strip()
         if text or self._tags:
-            self.lines.append((text, self._tags, self._state[1]))
-        self._parts, self._tags = [], 0
+            self.lines.append((text, self._tags, self._state[1], self._state[3], self._linked))
+        self._parts, self._tags, self._linked = [], 0, 0
 
     def _restore(self) -> None:
-        self._state = self.open[-1][1:] if self.open else (False, 0, False)
+        self._state = self.open[-1][1:] if self.open else (False, 0, False, 0, False)
 
     def handle_starttag(self, tag, attrs):
         if tag in _ENDS_P:
             self._close("p", within=_BLOCK - {"p"})
         if tag == "li":
             self._close("li", within=frozenset(("ul", "ol", "menu")))
+        if tag == "a":
+            self._close("a", within=_BLOCK)
         if tag in _BLOCK:
             self._cut()
         self._tags += 1
         if tag in _VOID:
             return
-        excluded, article, raw = self._state
+        excluded, article, raw, region, link = self._state
         named = dict(attrs)
         names = f"{named.get('class') or ''} {named.get('id') or ''}"
         hidden = "hidden" in named or (named.get("aria-hidden") or "") == "true"
@@ -88,7 +98,10 @@ class _Lines(HTMLParser):
         if tag in _MAIN and not out and not article:
             self.articles += 1
             article = self.articles
-        self.open.append((tag, out, article, raw or tag in _RAW))
+        if tag in _REGIONS:
+            self.around.append(region)
+            region = len(self.around) - 1
+        self.open.append((tag, out, article, raw or tag in _RAW, region, link or tag == "a"))
         self._restore()
 
     def handle_startendtag(self, tag, attrs):
@@ -117,6 +130,8 @@ class _Lines(HTMLParser):
     def handle_data(self, data):
         if not (self._state[0] or self._state[2]):
             self._parts.append(data)
+            if self._state[4]:
+                self._linked += len("".join(data.split()))
 
     def close(self):
         super().close()
@@ -137,14 +152,30 @@ def extract(html: str, sigma: float = SIGMA, share: float = SHARE) -> str:
     lines = parser.lines
     if not lines:
         return ""
-    ratio = np.array([len(text) / max(1, tags) for text, tags, _ in lines])
+    ratio = np.array([len(text) / max(1, tags) for text, tags, *_ in lines])
     smooth = _smooth(ratio, sigma)
-    chosen = smooth >= share * smooth.std()
-    articles = {article for (text, _, article), c in zip(lines, chosen) if c and text and article}
-    if not articles:  # a marked article whose lines are all short is still the article
-        articles = {article for text, _, article in lines if text and article}
-    kept = [text for text, _, article in lines if text and (article in articles if articles else chosen.any())]
-    return "\n".join(kept)
+    chosen = (smooth >= share * smooth.std()) & (ratio >= share * smooth.std())
+    marked = any(text and article for text, _, article, _, _ in lines)
+    ends: dict[int, tuple[int, int]] = {}  # first and last seed of each region
+    size: dict[int, int] = {}
+    links: dict[int, int] = {}
+    for i, (text, _, article, region, linked) in enumerate(lines):
+        own = len(text) - text.count(" ")
+        size[region], links[region] = size.get(region, 0) + own, links.get(region, 0) + linked
+        plain, prose = 2 * linked <= own, len(text) >= PROSE
+        if text and chosen[i] and ((plain and prose and not article) if marked else (plain or prose)):
+            ends[region] = (ends.get(region, (i,))[0], i)
+
+    def between(i: int, region: int) -> bool:
+        return region in ends and ends[region][0] <= i <= ends[region][1]
+
+    def kept(i: int, article: int, region: int) -> bool:
+        if marked:
+            return bool(article) or between(i, region)
+        return (not ends or region in ends or 2 * links[region] <= size[region]
+                or between(i, parser.around[region]))
+
+    return "\n".join(text for i, (text, _, article, region, _) in enumerate(lines) if text and kept(i, article, region))
 
 
 def extract_pages(pages: DataFrame) -> DataFrame:

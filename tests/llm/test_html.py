@@ -30,6 +30,27 @@ def test_short_paragraphs_between_long_ones_stay():
     assert M.extract(page) == "\n".join(b.strip() for b in blocks)
 
 
+PROSE = "A paragraph of plain prose that goes on for a good while and says what the page is about. " * 3
+MENU = "".join(f'<li><a href="/{w}">{w}</a></li>' for w in ("Home", "News", "Sport", "Travel", "Weather", "Help", "About"))
+
+
+def test_clusters_choose_where_nothing_is_marked():
+    page = f"<div><ul>{MENU}</ul></div><div><h2>Head</h2><p>{PROSE}</p><p>Short.</p><p>{PROSE}</p></div><div><p>Links</p>{MENU}</div>"
+    assert M.extract(page).split("\n") == ["Head", PROSE.strip(), "Short.", PROSE.strip()]
+    assert "Home" in M.extract(page, share=0.0)  # no threshold, so the last menu's heading is chosen as well
+    inside = f"<div><p>{PROSE}</p><ul>{MENU}</ul><p>{PROSE}</p></div>"
+    assert "Travel" in M.extract(inside)  # a list of links in the middle of the content
+    assert M.extract(f"<ul>{MENU}</ul>").split("\n")[0] == "Home"  # nothing else to choose
+    assert M.extract(f"<div><a href=/x><p>{PROSE}</p></a></div>") == PROSE.strip()
+
+
+def test_marked_articles_and_clusters_outside():
+    page = f"<p>By us</p><div><p>{PROSE}</p><p>Mid.</p><p>{PROSE}</p></div><article><p>{PROSE}</p></article><article><p>ab</p></article><div>x</div>"
+    assert M.extract(page).split("\n") == [PROSE.strip(), "Mid.", PROSE.strip(), PROSE.strip(), "ab"]
+    short = "<article>" + "<p>a</p>" * 9 + "</article>" + f"<article><p>{PROSE}</p></article>"
+    assert M.extract(short).split("\n") == ["a"] * 9 + [PROSE.strip()]
+
+
 def test_query(spark, tmp_path):
     rows = [(1, "u1", ARTICLE, 5), (1, "u1", ARTICLE, 5), (2, None, None, 6), (None, "u3", "", 7)]
     df = spark.createDataFrame(rows, "page_id long, url string, html string, text int")

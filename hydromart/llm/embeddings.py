@@ -9,8 +9,17 @@ vectors are compared exactly in double precision. A pair that shares several lea
 the first of them only, so counts add up without a table of pairs, and each leaf returns a
 spanning forest of its links.
 
-The result is exact for labels of up to ``LEAF`` distinct vectors; beyond that the recall of links
-is that of the forest (measured in the tests and the README), and no false link is ever reported.
+Median splits cut through a group of near vectors that is larger than a leaf, so such groups never
+meet the trees. Where the sample of a label is dense, centres are set; a vector that links with its
+nearest centre is core there and leaves the forest. A vector that links with a core one is at most
+two link angles from that core's centre, so each group also gets its visitors from that range, and
+all its pairs are compared exactly, in pairs of blocks of ``BLOCK`` vectors that are tasks of their own.
+Vectors within half the link angle of a centre all link with each other and are counted by their
+sum. A pair of two cores counts at the lower centre.
+
+The result is exact for labels of up to ``LEAF`` distinct vectors and for all pairs with a core
+vector; for the others the recall of links is that of the forest (measured in the tests and the
+README), and no false link is ever reported.
 
 Defined results: a row whose id, label or vector is null, or whose vector is empty, zero or holds
 null or non-finite components, links with nothing and is its own component; vectors of different
@@ -39,6 +48,9 @@ LEAF = 1024
 SAMPLE = 32768  # classes that the trees are fitted on, at most
 SAMPLE_LEAF = 32  # sampled classes in a leaf, at least
 SEED = 20240
+DENSE_SAMPLE = 8192  # classes of one label that centres are looked for in, at most
+DENSE_LEAST = 4  # sampled neighbours of a dense vector, at least
+BLOCK = 8192  # vectors of a dense group that are compared with one other block in one task
 
 
 def unit_rows(vectors: list) -> np.ndarray:
@@ -117,6 +129,80 @@ def leaf_links(x: np.ndarray, weight: np.ndarray, codes: np.ndarray, code: int,
     return links, label
 
 
+def dense_centres(x: np.ndarray, size: int, leaf: int = LEAF, cosine: float = COSINE) -> np.ndarray:
+    """Centres of the groups in a label of ``size`` vectors that may outgrow a leaf, from its sample ``x``."""
+    x = x[:DENSE_SAMPLE]
+    near = np.concatenate([(x[at:at + 512] @ x.T >= cosine).sum(axis=1) - 1 for at in range(0, len(x), 512)])
+    near = np.where(near >= max(DENSE_LEAST, leaf / 2 * len(x) / size), near, -1)
+    centres = []
+    while len(x) and near.max() >= 0:
+        best = int(near.argmax())
+        centre = x[best]
+        for _ in range(3):  # towards the middle of the group
+            inside = x @ centre >= cosine
+            if not inside.any():
+                break
+            mean = x[inside].mean(axis=0)
+            centre = mean / np.linalg.norm(mean)
+        covered = x @ centre >= cosine
+        if not covered[best]:
+            centre = x[best]
+            covered = x @ centre >= cosine
+            covered[best] = True
+        near[covered] = -1
+        centres.append(centre)
+    return np.array(centres).reshape(-1, x.shape[1])
+
+
+def homes(x: np.ndarray, centres: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray]:
+    """(cosines with all centres, the nearest centre that links or -1) per vector."""
+    at = x @ centres.T
+    best = at.argmax(axis=1)
+    return at, np.where(at[np.arange(len(x)), best] >= cosine, best, -1)
+
+
+def groups_of(x: np.ndarray, centres: np.ndarray, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(row, centre, core, inner): the dense groups of every vector, as core or as visitor."""
+    at, home = homes(x, centres, cosine)
+    reach = 2 * cosine * cosine - 1 if cosine > 0 else -1.0  # two link angles
+    number = np.arange(len(centres))
+    core = home[:, None] == number
+    visits = (at >= reach - 1e-6) & ((home[:, None] < 0) | (home[:, None] > number))
+    row, centre = np.nonzero(core | visits)
+    inner = core & (at >= np.sqrt((1 + cosine) / 2) + 1e-9)  # half the link angle
+    return row, centre, core[row, centre], inner[row, centre]
+
+
+def _fold_mask(label: np.ndarray, i: np.ndarray, j: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """Merge the links ``mask`` between rows i and j; one link for each row and column a round."""
+    while True:
+        open_ = mask & (label[i][:, None] != label[j][None, :])
+        rows, cols = np.flatnonzero(open_.any(axis=1)), np.flatnonzero(open_.any(axis=0))
+        if not len(rows):
+            return label
+        label = fold_links(label, np.concatenate([i[rows], i[open_[:, cols].argmax(axis=0)]]),
+                           np.concatenate([j[open_[rows].argmax(axis=1)], j[cols]]))
+
+
+def block_links(x: np.ndarray, weight: np.ndarray, core: np.ndarray, inner: np.ndarray, one: np.ndarray, other: np.ndarray,
+                cosine: float = COSINE, step: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """(links, root) per vector, from the pairs between rows ``one`` and ``other`` (the same rows, or none in common).
+
+    A pair needs a core vector; pairs of two inner ones are counted elsewhere.
+    """
+    links, label, same = np.zeros(len(x)), np.arange(len(x)), np.array_equal(one, other)
+    for at in range(0, len(one), step):
+        i, j = one[at:at + step], other[at:] if same else other
+        mask = x[i] @ x[j].T >= cosine
+        mask &= (core[i][:, None] | core[j][None, :]) & ~(inner[i][:, None] & inner[j][None, :])
+        if same:
+            mask &= np.arange(len(j))[None, :] > np.arange(len(i))[:, None]
+        links[i] += mask.astype(np.float64) @ weight[j]
+        links[j] += weight[i] @ mask.astype(np.float64)
+        label = _fold_mask(label, i, j, mask)
+    return links.astype(np.int64), label
+
+
 def _valid():
     good = F.forall("embedding", lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     return (F.col("vec_id").isNotNull() & F.col("label").isNotNull() & F.col("embedding").isNotNull()
@@ -124,7 +210,7 @@ def _valid():
 
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE, leaf: int = LEAF, trees: int = TREES,
-                 sample: int = SAMPLE) -> DataFrame:
+                 sample: int = SAMPLE, block: int = BLOCK) -> DataFrame:
     """One row per vector: vec_id, n_links, component_id."""
     spark = vectors.sparkSession
     scratch = Scratch(spark, "embeddings")
@@ -137,29 +223,45 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, leaf: int = LEAF, t
     sizes = scratch.write(classes.groupBy("label", "dim").agg(F.count("*").alias("size")), "sizes")
     deepest = int(np.log2(max(1, sample // SAMPLE_LEAF)))
     level = F.least(F.lit(deepest), F.greatest(F.lit(0), F.ceil(F.log2(F.col("size") / leaf)).cast("int")))
-    sizes = sizes.withColumn("levels", level)
+    sizes = sizes.withColumn("levels", level).withColumn("lab", F.xxhash64("label"))  # equal hashes only share centres
     depth = {r.dim: r.depth for r in sizes.groupBy("dim").agg(F.max("levels").alias("depth")).where("depth > 0")
              .orderBy("dim").limit(64).collect()}  # vector lengths that need trees
-    forests = {}
+    forests, centres = {}, {}
     for dim, d in depth.items():
-        chosen = (classes.where(F.col("dim") == dim).orderBy(F.xxhash64("low"), "low").limit(sample)
-                  .select("embedding").toLocalIterator())
-        forests[dim] = Forest(unit_rows([r.embedding for r in chosen]), d, trees)
-    sent = spark.sparkContext.broadcast(forests)  # at most 64 forests of sample / SAMPLE_LEAF nodes a tree
+        chosen = (classes.where(F.col("dim") == dim).join(sizes, ["label", "dim"]).orderBy(F.xxhash64("low"), "low").limit(sample)
+                  .select("lab", "size", "levels", "embedding"))
+        held = [(r.lab, r.size if r.levels else 0, np.array(r.embedding, np.float32)) for r in chosen.toLocalIterator()]
+        x, labs, size = unit_rows([h[2] for h in held]), np.array([h[0] for h in held]), np.array([h[1] for h in held])
+        rest = np.ones(len(x), bool)
+        for lab in np.unique(labs[size > 0]):
+            own = np.flatnonzero((labs == lab) & (size > 0))
+            if len(own) > DENSE_LEAST and len(found := dense_centres(x[own], int(size[own].max()), leaf, cosine)):
+                centres[int(lab), dim] = found
+                rest[own] = homes(x[own], found, cosine)[1] < 0
+        forests[dim] = Forest(x[rest] if rest.any() else x, d, trees)
+    # at most 64 forests of sample / SAMPLE_LEAF nodes a tree, with fewer centres than sampled vectors
+    sent = spark.sparkContext.broadcast((forests, centres))
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 2048):
                 part = batch.slice(at, 2048)
-                dims, levels = part.column(1).to_numpy(), part.column(5).to_numpy()
+                dims, levels, labs = (part.column(c).to_numpy() for c in (1, 5, 6))
                 for dim in np.unique(dims):
                     inside = np.flatnonzero(dims == dim)
                     own = part.take(pa.array(inside))
-                    forest = sent.value.get(int(dim))
+                    forest = sent.value[0].get(int(dim))
                     if forest is None:
                         row, code = np.arange(len(inside)), np.zeros(len(inside), np.int64)
                     else:
-                        row, code = forest.leaves(unit_rows(own.column(4).to_pylist()), levels[inside])
+                        x = unit_rows(own.column(4).to_pylist())
+                        rest = np.ones(len(x), bool)  # cores of dense groups leave the forest
+                        for lab in np.unique(labs[inside]):
+                            if (found := sent.value[1].get((int(lab), int(dim)))) is not None:
+                                at_lab = np.flatnonzero(labs[inside] == lab)
+                                rest[at_lab] = homes(x[at_lab], found, cosine)[1] < 0
+                        inside, own, x = inside[rest], own.filter(pa.array(rest)), x[rest]
+                        row, code = forest.leaves(x, levels[inside])
                     order = np.argsort(row, kind="stable")
                     row, code = row[order], code[order]
                     cuts = np.searchsorted(row, np.arange(len(inside) + 1))
@@ -172,7 +274,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, leaf: int = LEAF, t
 
     kinds = {f.name: f.dataType.simpleString() for f in classes.schema}
     routed = (classes.join(sizes, ["label", "dim"])
-              .select("label", "dim", "low", "n", "embedding", "levels")
+              .select("label", "dim", "low", "n", "embedding", "levels", "lab")
               .mapInArrow(route, f"label {kinds['label']}, dim int, low {kinds['low']}, n long, "
                                  f"embedding {kinds['embedding']}, code long, codes array<long>"))
 
@@ -189,6 +291,8 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, leaf: int = LEAF, t
 
     found = scratch.write(routed.repartition(4 * partitions(spark), "label", "dim", "code").groupBy("label", "dim", "code")
                           .applyInPandas(compare, f"a {kinds['low']}, b {kinds['low']}, links long"), "found")
+    if centres:
+        found = found.unionByName(_dense_links(classes, sizes, sent, scratch, cosine, block))
     counts = found.groupBy(F.col("a").alias("low")).agg(F.sum("links").alias("links"))
     roots = components(found.select("a", "b"), scratch).select(F.col("node").alias("low"), "component")
     settled = (classes.select("label", "dim", "d1", "d2", "low", "n").join(counts, "low", "left").join(roots, "low", "left")
@@ -201,6 +305,59 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, leaf: int = LEAF, t
                     F.coalesce("component_id", "vec_id").alias("component_id")))
 
 
+def _dense_links(classes: DataFrame, sizes: DataFrame, sent, scratch: Scratch, cosine: float, block: int) -> DataFrame:
+    """(a, b, links) of all pairs with a core vector of a dense group."""
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2048):
+                part = batch.slice(at, 2048)
+                dims, labs = part.column(1).to_numpy(), part.column(5).to_numpy()
+                for lab, dim in set(zip(labs.tolist(), dims.tolist())):
+                    centres = sent.value[1].get((lab, dim))
+                    if centres is None:
+                        continue
+                    own = part.take(pa.array(np.flatnonzero((labs == lab) & (dims == dim))))
+                    row, centre, core, inner = groups_of(unit_rows(own.column(4).to_pylist()), centres, cosine)
+                    for low in range(0, len(row), 4096):
+                        cut = slice(low, low + 4096)
+                        take = pa.array(row[cut])
+                        yield pa.RecordBatch.from_arrays(
+                            [*[own.column(c).take(take) for c in range(5)], pa.array(centre[cut]), pa.array(core[cut]), pa.array(inner[cut])],
+                            names=["label", "dim", "low", "n", "embedding", "centre", "core", "inside"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in classes.schema}
+    group = ["label", "dim", "centre"]
+    dense = (classes.join(sizes.where("levels > 0"), ["label", "dim"]).select("label", "dim", "low", "n", "embedding", "lab")
+             .mapInArrow(place, f"label {kinds['label']}, dim int, low {kinds['low']}, n long, embedding {kinds['embedding']}, "
+                                "centre long, core boolean, inside boolean"))
+    dense = scratch.write(dense, "dense")
+    inside = dense.where("inside")
+    sums = inside.groupBy(*group).agg(F.min("low").alias("lead"), F.sum("n").alias("sum"))
+    alike = (inside.select(*group, "low", "n").join(sums, group)
+             .select(F.col("low").alias("a"), F.col("lead").alias("b"), (F.col("sum") - F.col("n")).alias("links")))
+    blocks = dense.groupBy(*group).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
+    own = F.pmod(F.xxhash64("low", "embedding"), F.col("blocks")).cast("int")
+    dealt = (dense.join(blocks, group).withColumn("own", own)
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .select(*group, "low", "n", "embedding", "core", "inside", "own", F.least("own", "other").alias("p"),
+                     F.greatest("own", "other").alias("q")))
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        first = (pdf["own"] == pdf["p"]).to_numpy()
+        one = np.flatnonzero(first)
+        other = one if pdf["p"].iat[0] == pdf["q"].iat[0] else np.flatnonzero(~first)
+        low = pdf["low"].to_numpy()
+        links, root = block_links(unit_rows(pdf["embedding"].tolist()), pdf["n"].to_numpy(np.float64), pdf["core"].to_numpy(bool),
+                                  pdf["inside"].to_numpy(bool), one, other, cosine)
+        out = pd.DataFrame({"a": low, "b": low[root], "links": links})
+        return out[(out.a != out.b) | (out.links > 0)]
+
+    keys = [*group, "p", "q"]
+    pairs = (dealt.repartition(4 * partitions(classes.sparkSession), *keys).groupBy(*keys)
+             .applyInPandas(compare, f"a {kinds['low']}, b {kinds['low']}, links long"))
+    return scratch.write(pairs.unionByName(alike), "dense_links")
+
+
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     near = near_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
     return near.withColumn("kept", F.col("vec_id") == F.col("component_id"))

@@ -72,5 +72,33 @@ def test_dense_cluster_recall(spark):
     assert [g[2] for g in got] == [w[2] for w in want]
 
 
+def test_clusters_larger_than_a_leaf_are_exact(spark):
+    rng = np.random.default_rng(5)
+    dim = 64
+    unit = lambda n: (lambda x: x / np.linalg.norm(x, axis=1, keepdims=True))(rng.standard_normal((n, dim)))
+    spread = unit(3)
+    x = np.concatenate([np.repeat(spread[:1], 1200, 0) + 0.22 * unit(1200),  # pairs around the link angle
+                        np.repeat(spread[1:2], 500, 0) + 0.1 * unit(500),  # all link
+                        np.repeat(spread[:1] + 0.3 * unit(1), 400, 0) + 0.25 * unit(400),  # overlaps the first
+                        unit(300)]).astype(np.float32)
+    order = rng.permutation(len(x))
+    rows = [(int(i), x[o].tolist(), 7) for i, o in enumerate(order)] + [(9000 + i, x[order[i]].tolist(), 7) for i in range(20)]
+    y = np.array([r[1] for r in rows], np.float64)
+    y /= np.linalg.norm(y, axis=1, keepdims=True)
+    near = y @ y.T >= 0.93
+    np.fill_diagonal(near, False)
+    want = dict(zip([r[0] for r in rows], near.sum(axis=1).tolist()))
+    for kw in ({"leaf": 64}, {"leaf": 64, "block": 300}):  # block: many pairs of blocks
+        got = run(spark.createDataFrame(rows, SCHEMA), **kw)
+        assert {g[0]: g[1] for g in got} == want
+    label = np.arange(len(rows))
+    while True:
+        low = np.minimum(label, np.where(near, label[None, :], len(rows)).min(axis=1))
+        if (low == label).all():
+            break
+        label = low
+    assert {g[0]: g[2] for g in got} == {r[0]: rows[k][0] for r, k in zip(rows, label)}
+
+
 def test_empty_table(spark):
     assert run(spark.createDataFrame([], SCHEMA)) == []

@@ -4,17 +4,16 @@ Base spans are the matches of four patterns that pass their check. Offsets come
 the text between matches, summed per document and kind, so no Python sees a text.
 
 Terms that give an entity away are found from corpus co-occurrence. An entity is a matched value.
-A term is a run of letters within ``CONTEXT`` characters of a match. With document counts ``n_et``
-(entity with the term near it), ``n_e``, ``n_t`` (all documents with the term) and ``N``, the
-pointwise mutual information ``log2(n_et N / (n_e n_t))`` says how much of the entity's information
-content ``log2(N / n_e)`` the term discloses. Terms seen with the entity in ``SUPPORT`` documents
-or more that disclose ``DISCLOSURE`` of it or more become spans of kind ``term`` wherever they stand
-near that entity. At the production threshold of 1 every document with the term holds the entity,
-so a document without base spans never gets a term span.
-
-All counts are aggregated map-side first; an entity held by a third of all documents is spread by
-(entity, term, document) before it is counted. ``n_t`` counts rows, so rows repeated under one id
-can only make a term look more common.
+A term is a run of letters outside the base spans. With document counts ``n_et`` (entity and term in
+one document), ``n_e``, ``n_t`` and ``N``, the pointwise mutual information
+``log2(n_et N / (n_e n_t))`` says how much of the entity's information content ``log2(N / n_e)`` the
+term discloses. Terms seen with the entity in ``SUPPORT`` documents or more that disclose
+``DISCLOSURE`` of it or more become spans of kind ``term`` wherever they stand, also in documents
+without the entity, where they give it away.
+
+All counts are aggregated map-side first; entities of fewer than ``SUPPORT`` documents are left out
+before they meet the words, for no term can reach the support with them. All counts are of
+distinct (``doc_id``, text).
 
 Defined results: null text is empty; repeated rows of equal text get equal spans; a null ``doc_id``
 is a document of its own text; an empty table gives no rows; columns other than ``doc_id`` and
@@ -43,11 +42,9 @@ _NEEDED = {
 }
 _IP_PARTS = r"^(?:0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})(?:\.|$)){4}$"
 KINDS = ("email", "ip", "card", "phone", "term")
-CONTEXT = 64
 SUPPORT = 3
-DISCLOSURE = 1.0
+DISCLOSURE = 0.8
 MIN_TERM = 3
-WORD = r"\p{L}+"
 
 
 def _text() -> Column:
@@ -64,10 +61,7 @@ def _passes() -> Column:
 
 
 def base_spans(docs: DataFrame) -> DataFrame:
-    """(doc_id, th, kind, start, end, value, before, after): matches that pass, with their contexts.
-
-    ``th`` is the hash of the text; ``before`` and ``after`` hold up to ``CONTEXT + 1`` characters.
-    """
+    """(doc_id, th, kind, start, end, value): matches that pass; ``th`` is the hash of the text."""
     none = F.array().cast("array<string>")
     kinds = [F.struct(F.lit(k).alias("kind"),
                       F.when(_text().rlike(_NEEDED[k]), F.regexp_extract_all(_text(), F.lit(p), F.lit(0))).otherwise(none).alias("m"),
@@ -75,74 +69,88 @@ def base_spans(docs: DataFrame) -> DataFrame:
              for k, p in PATTERNS.items()]
     found = (docs.select("doc_id", F.xxhash64("text").alias("th"), F.explode(F.array(*kinds)).alias("k"))
              .where(F.size("k.m") > 0))
+    return _placed(found).where(_passes())
+
+
+def _placed(found: DataFrame) -> DataFrame:
+    """(doc_id, th, kind, start, end, value) from the matches ``k.m`` and the texts ``k.g`` between them."""
     # one row per match with the text before it; the last row holds the text after the last match
     parts = (found.select("doc_id", "th", "k.kind", F.posexplode(F.arrays_zip("k.g", "k.m")).alias("i", "z"))
-             .select("doc_id", "th", "kind", "i", F.col("z.m").alias("value"), F.length("z.g").alias("gap"),
-                     F.substring("z.g", -(CONTEXT + 1), CONTEXT + 1).alias("before"),
-                     F.substring("z.g", 1, CONTEXT + 1).alias("head")))
+             .select("doc_id", "th", "kind", "i", F.col("z.m").alias("value"), F.length("z.g").alias("gap")))
     # repeated rows are one; the same partitioning serves the window
     parts = (parts.repartition("doc_id", "th", "kind").groupBy("doc_id", "th", "kind", "i")
-             .agg(*[F.first(c).alias(c) for c in ("value", "gap", "before", "head")]))
+             .agg(*[F.first(c).alias(c) for c in ("value", "gap")]))
     order = W.partitionBy("doc_id", "th", "kind").orderBy("i")
     size = F.col("gap") + F.coalesce(F.length("value"), F.lit(0))
     placed = (parts.withColumn("end", F.sum(size).over(order.rowsBetween(W.unboundedPreceding, 0)).cast("int"))
-              .withColumn("after", F.lead("head").over(order))
-              .where(F.col("value").isNotNull() & _passes()))
-    return placed.select("doc_id", "th", "kind", (F.col("end") - F.length("value")).alias("start"), "end",
-                         "value", "before", "after")
-
-
-def _words(context: str, at: Column, cut_left: bool) -> Column:
-    """Letter runs of a short context with their offsets, without those that its edge may cut."""
-    text = F.col(context)
-    m = F.regexp_extract_all(text, F.lit(WORD), F.lit(0))
-    g = F.split(text, WORD, -1)
-    total = lambda array, n: F.aggregate(F.slice(array, 1, n), F.lit(0), lambda s, x: s + F.length(x))
-    words = F.transform(m, lambda w, j: F.struct(
-        F.lower(w).alias("term"), (total(g, j + 1) + total(m, j)).alias("from"), F.length(w).alias("size")))
-    edge = F.length(text) > CONTEXT
-    whole = F.filter(words, lambda w: (~edge | (w["from"] > 0 if cut_left else w["from"] + w["size"] < F.length(text)))
-                     & (w["size"] >= MIN_TERM))
-    return F.transform(whole, lambda w: F.struct(w["term"].alias("term"), (at + w["from"]).alias("start"),
-                                                 (at + w["from"] + w["size"]).alias("end")))
-
-
-def nearby_terms(spans: DataFrame) -> DataFrame:
-    """(doc_id, th, entity, term, start, end): the words near every base span."""
-    value = (F.when(F.col("kind") == "email", F.lower("value")).when(F.col("kind") == "ip", F.col("value"))
-             .otherwise(F.regexp_replace("value", "[^0-9]", "")))
-    both = F.concat(_words("before", F.col("start") - F.length("before"), True), _words("after", F.col("end"), False))
-    return (spans.select("doc_id", "th", F.concat_ws(":", "kind", value).alias("entity"), F.explode(both).alias("w"))
-            .select("doc_id", "th", "entity", "w.term", "w.start", "w.end").distinct())
+              .where(F.col("value").isNotNull()))
+    return placed.select("doc_id", "th", "kind", (F.col("end") - F.length("value")).alias("start"), "end", "value")
+
+
+def blanked(docs: DataFrame, spans: DataFrame) -> DataFrame:
+    """(doc_id, th, text, private): every distinct text with its base spans turned into spaces."""
+    span = F.struct("start", "end")
+    rows = docs.select("doc_id", F.xxhash64("text").alias("th"), _text().alias("text"), F.lit(None).cast("struct<start:int,end:int>").alias("span"))
+    rows = rows.unionByName(spans.select("doc_id", "th", F.lit(None).cast("string").alias("text"), span.alias("span")))
+    whole = rows.groupBy("doc_id", "th").agg(F.first("text", ignorenulls=True).alias("text"), F.collect_list("span").alias("spans"))
+    blank = F.aggregate("spans", F.col("text"), lambda t, s: F.overlay(
+        t, F.repeat(F.lit(" "), s["end"] - s["start"]), s["start"] + 1, s["end"] - s["start"]))
+    return whole.select("doc_id", "th", blank.alias("text"), (F.size("spans") > 0).alias("private"))
 
 
-def disclosing_terms(docs: DataFrame, near: DataFrame, scratch: Scratch, support: int = SUPPORT,
+def _terms() -> Column:
+    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}]+", -1))
+    return F.filter(words, lambda w: F.length(w) >= MIN_TERM)
+
+
+def _same() -> Column:
+    return F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.col("th") == F.col("_th"))
+
+
+def disclosing_terms(texts: DataFrame, spans: DataFrame, scratch: Scratch, support: int = SUPPORT,
                      disclosure: float = DISCLOSURE) -> DataFrame:
     """(entity, term, share): terms that disclose at least ``disclosure`` of the entity's information."""
-    seen = near.select("entity", "term", "doc_id", "th").distinct()
-    together = (seen.groupBy("entity", "term").agg(F.count("*").alias("n_et"))
-                .where(F.col("n_et") >= support))
+    value = (F.when(F.col("kind") == "email", F.lower("value")).when(F.col("kind") == "ip", F.col("value"))
+             .otherwise(F.regexp_replace("value", "[^0-9]", "")))
+    held = scratch.write(spans.select("doc_id", "th", F.concat_ws(":", "kind", value).alias("entity")).distinct(), "held")
+    entities = held.groupBy("entity").agg(F.count("*").alias("n_e")).where(F.col("n_e") >= support)
+    inside = (held.join(entities, "entity").groupBy(F.col("doc_id").alias("_doc"), F.col("th").alias("_th"))
+              .agg(F.collect_list(F.struct("entity", "n_e")).alias("entities")))
+    private = texts.where("private")
+    seen = (private.join(inside, _same()).select(_terms().alias("terms"), F.explode("entities").alias("e"))
+            .select("e.entity", "e.n_e", F.explode("terms").alias("term")))
+    together = seen.groupBy("entity", "n_e", "term").agg(F.count("*").alias("n_et")).where(F.col("n_et") >= support)
     together = scratch.write(together, "together")
-    entities = (near.select("entity", "doc_id", "th").distinct().groupBy("entity").agg(F.count("*").alias("n_e")))
-    words = F.array_distinct(F.split(F.lower(_text()), r"[^\p{L}]+", -1))
     # counted before the join: a semi-join would be pushed below the count and pass every single word
-    everywhere = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
-    total = docs.agg(F.count("*").alias("n"))
-    joined = together.join(everywhere, "term").join(entities, "entity").withColumn("n", total.scalar())
+    everywhere = texts.select(F.explode(_terms()).alias("term")).groupBy("term").agg(F.count("*").alias("n_t"))
+    total = texts.agg(F.count("*").alias("n"))
+    joined = together.join(everywhere, "term").withColumn("n", total.scalar())
     information = F.log2(F.col("n") / F.col("n_e"))
     mutual = F.log2(F.col("n_et") * F.col("n") / (F.col("n_e") * F.col("n_t")))
     return (joined.where(information > 0).select("entity", "term", (mutual / information).alias("share"))
             .where(F.col("share") >= disclosure - 1e-9))
 
 
+def term_spans(texts: DataFrame, telling: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, th, kind, start, end): the terms of ``telling`` wherever they stand outside base spans."""
+    chosen = scratch.write(telling.select("term").distinct(), "chosen")
+    hits = (texts.select("doc_id", "th", F.explode(_terms()).alias("term")).join(chosen, "term", "left_semi")
+            .groupBy(F.col("doc_id").alias("_doc"), F.col("th").alias("_th")).agg(F.sort_array(F.collect_list("term")).alias("terms")))
+    pattern = F.concat(F.lit(r"(?<!\p{L})(?iu:"), F.array_join("terms", "|"), F.lit(r")(?!\p{L})"))
+    own = texts.join(hits, _same()).select("doc_id", "th", "text", pattern.alias("pattern"))
+    found = own.select("doc_id", "th", F.struct(
+        F.lit("term").alias("kind"), F.regexp_extract_all("text", F.col("pattern"), F.lit(0)).alias("m"),
+        F.split("text", F.col("pattern"), F.lit(-1)).alias("g")).alias("k"))
+    return _placed(found).drop("value")
+
+
 def find_pii(docs: DataFrame, support: int = SUPPORT, disclosure: float = DISCLOSURE) -> DataFrame:
     """(doc_id, th, kind, start, end): base spans and term spans of every text."""
     scratch = Scratch(docs.sparkSession, "pii")
     spans = scratch.write(base_spans(docs), "spans")
-    near = scratch.write(nearby_terms(spans), "near")
-    telling = scratch.write(disclosing_terms(docs, near, scratch, support, disclosure), "telling")
-    terms = (near.join(telling, ["entity", "term"], "left_semi")
-             .select("doc_id", "th", F.lit("term").alias("kind"), "start", "end").distinct())
+    texts = scratch.write(blanked(docs, spans), "texts")
+    telling = scratch.write(disclosing_terms(texts, spans, scratch, support, disclosure), "telling")
+    terms = term_spans(texts, telling, scratch)
     return spans.select("doc_id", "th", "kind", "start", "end").unionByName(terms)
 
 

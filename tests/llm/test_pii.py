@@ -62,6 +62,22 @@ def test_disclosing_terms(docs):
     assert lower > sum(r.kind == "term" for r in found)
 
 
+def test_terms_are_marked_wherever_they_stand(docs):
+    far = "filler words go on here " * 8
+    pairs = [(i, f"Zorblax wrote from zq@corp.example today. {far} So said ZORBLAX again, doc {i}") for i in range(20)]
+    pairs += [(50, "the stray zorblax elsewhere")] + [(100 + i, f"today the {far} were plain corp {i}") for i in range(200)]
+    found = M.find_pii(docs(pairs)).where("kind = 'term'").collect()
+    text = dict(pairs)
+    marked = {}
+    for r in found:
+        marked.setdefault(r.doc_id, []).append((r.start, text[r.doc_id][r.start:r.end].lower()))
+    for i in [*range(20), 50]:  # one stray use lowers the share below 1, and the second use is far from the entity
+        where = [m.start() for m in re.finditer("zorblax", text[i].lower())]
+        assert sorted(a for a, w in marked[i] if w == "zorblax") == where
+    assert not any(i >= 100 for i in marked)  # clean documents
+    assert not any(w in ("today", "filler", "corp", "example") for spans in marked.values() for _, w in spans)
+
+
 def test_sanitise(clash):
     pairs = [(i, f"Zorblax at zq@corp.example, card 4111 1111 1111 1111! {i}") for i in range(3)] + [(7, None), (8, "clean")]
     df = clash(pairs, "spans", "row", "th", "_doc")

@@ -78,6 +78,13 @@ def test_terms_are_marked_wherever_they_stand(docs):
     assert not any(w in ("today", "filler", "corp", "example") for spans in marked.values() for _, w in spans)
 
 
+def test_repeated_rows_count_once(docs):
+    pairs = [(i, f"Zorblax at zq@corp.example {i}") for i in range(3)] + [(9, "old zorblax")] + [(10 + i, "plain text") for i in range(60)]
+    spans = lambda rows: sorted(tuple(r) for r in M.find_pii(docs(rows), disclosure=0.9).collect())
+    assert any(s[2] == "term" for s in spans(pairs))
+    assert spans(pairs + [(9, "old zorblax")] * 8) == spans(pairs)
+
+
 def test_sanitise(clash):
     pairs = [(i, f"Zorblax at zq@corp.example, card 4111 1111 1111 1111! {i}") for i in range(3)] + [(7, None), (8, "clean")]
     df = clash(pairs, "spans", "row", "th", "_doc")

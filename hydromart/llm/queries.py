@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from hydromart.llm.bpe import op4_bpe_roundtrip
+from hydromart.llm.collocations import OP13_SQL, op13_phrase_collocations
 from hydromart.llm.decontaminate import op7_decontaminate
 from hydromart.llm.embeddings import OP3_SQL, op3_embedding_dedup
 from hydromart.llm.html import op5_html_extract
@@ -15,6 +16,7 @@ from hydromart.llm.substrings import op2_substring_dedup
 
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_substring_dedup, op3_embedding_dedup, op4_bpe_roundtrip, op5_html_extract, op6_pii,
-    op7_decontaminate, op8_secret_scan, op9_quality, op10_simhash_dedup)}
+    op7_decontaminate, op8_secret_scan, op9_quality, op10_simhash_dedup, op13_phrase_collocations)}
 
-ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op3_embedding_dedup": OP3_SQL}
+ORACLES: dict[str, str] = {"op1_line_dedup": OP1_SQL, "op3_embedding_dedup": OP3_SQL,
+                           "op13_phrase_collocations": OP13_SQL}

@@ -42,6 +42,7 @@ TOP = 2000
 SUBSUMED_PERCENT = 100
 SUBTREE_BUDGET = 1 << 19  # suffixes of a group: the memory of one subtree
 BUCKETS_PER_GROUP = 16
+GROUPS_PER_TASK = 8
 FILTER_BITS = 1 << 26  # the bitmap of words that reach the threshold: 8 MB at any size
 WINDOW_SUFFIXES = 1 << 20  # suffixes that a task adds up before it sends them
 
@@ -52,6 +53,11 @@ _BREAK[[ord(c) for c in ".,;:!?"] + [0x0A, 0x0B, 0x0C, 0x0D]] = True
 _STEP = np.uint64(0xD6E8FEB86659FD93)
 
 
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lang_hash: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of every word, each with its language."""
+    return (mix64(range_hash(data, starts, ends, BASE_A) ^ lang_hash), mix64(range_hash(data, starts, ends, BASE_B) + lang_hash))
+
+
 class Words:
     """The words of one chunk of texts: places, pieces and hashes that include the language."""
 
@@ -69,10 +75,7 @@ class Words:
         piece = np.cumsum(ends_piece)[starts] if len(starts) else starts
         self.raw, self.at = join_words(lower, starts, ends)
         self.size = ends - starts
-        salt = lang_hash[self.doc]
-        values = np.frombuffer(self.raw, np.uint8)
-        self.h1 = mix64(range_hash(values, self.at, self.at + self.size, BASE_A) ^ salt)
-        self.h2 = mix64(range_hash(values, self.at, self.at + self.size, BASE_B) + salt)
+        self.h1, self.h2 = word_hashes(np.frombuffer(self.raw, np.uint8), self.at, self.at + self.size, lang_hash[self.doc])
         self.follows = np.zeros(len(starts), bool)  # the next word belongs to the same piece
         if len(starts):
             self.follows[:-1] = (piece[1:] == piece[:-1]) & (self.doc[1:] == self.doc[:-1])
@@ -92,13 +95,13 @@ class Words:
             run &= shifted
         return length
 
-    def keys(self, depth: int, which: str = "h1") -> np.ndarray:
-        """Hash of the first ``depth`` words at every position (the last positions wrap round)."""
-        h = getattr(self, which)
-        key = h.copy()
-        for step in range(1, depth):
+    def keys(self, second: bool = False) -> Iterator[np.ndarray]:
+        """Hash of the first word, two words, ... at every position (the last positions wrap round)."""
+        h = self.h2 if second else self.h1
+        key = h
+        for step in range(1, MAX_WORDS + 1):
+            yield key
             key = mix64(key * _STEP + np.roll(h, -step))
-        return key
 
     def suffixes(self, rows: np.ndarray, length: np.ndarray) -> pa.Array:
         last = rows + length - 1
@@ -136,30 +139,32 @@ def equal_runs(h1: np.ndarray, h2: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Pool:
-    """Counted strings with their hashes and tags; equal ones are added up when it is compacted."""
+    """Counted strings with their hashes; equal ones are added up when it is compacted."""
 
     def __init__(self):
         self.texts: list[pa.Array] = []
         self.parts: list[tuple[np.ndarray, ...]] = []
         self.rows = 0
 
-    def add(self, texts: pa.Array, h1: np.ndarray, h2: np.ndarray, n: np.ndarray, *tags: np.ndarray) -> None:
+    def add(self, texts: pa.Array, *columns: np.ndarray) -> None:
         if len(texts):
             self.texts.append(texts)
-            self.parts.append((h1, h2, n, *tags))
+            self.parts.append(columns)
             self.rows += len(texts)
 
-    def compact(self) -> tuple[pa.Array, list[np.ndarray]]:
-        if not self.rows:
-            return pa.array([], pa.large_binary()), []
-        columns = [np.concatenate(c) for c in zip(*self.parts)]
-        order, heads = equal_runs(columns[0], columns[1])
+    def columns(self) -> list[np.ndarray]:
+        return [np.concatenate(c) for c in zip(*self.parts)]
+
+    def all(self) -> pa.Array:
+        return pa.concat_arrays(self.texts)
+
+    def compact(self) -> None:
+        """Add up equal strings of a pool whose columns are (h1, h2, n, any others)."""
+        h1, h2, n, *others = self.columns()
+        order, heads = equal_runs(h1, h2)
         first = order[heads]
-        total = np.add.reduceat(columns[2][order], heads)
-        kept = [columns[0][first], columns[1][first], total, *[c[first] for c in columns[3:]]]
-        texts = pa.concat_arrays(self.texts).take(pa.array(first))
-        self.texts, self.parts, self.rows = [texts], [tuple(kept)], len(first)
-        return texts, kept
+        self.parts = [(h1[first], h2[first], np.add.reduceat(n[order], heads), *[c[first] for c in others])]
+        self.texts, self.rows = [self.all().take(pa.array(first))], len(first)
 
 
 class Langs:
@@ -195,17 +200,18 @@ def _source(docs: DataFrame) -> DataFrame:
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
-    """(lang, word, h, n): occurrences of every word; ``h`` is the hash that the tasks know it by."""
+    """(lang, word, n): occurrences of every word."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         langs, pool = Langs(), Pool()
 
         def rows() -> pa.RecordBatch:
-            texts, (h1, _, n, code) = pool.compact()
+            pool.compact()
+            _, _, n, code = pool.columns()
             return pa.RecordBatch.from_arrays(
-                [pa.array(langs.names()[code], pa.string()), texts.cast(pa.binary()).cast(pa.string()),
-                 pa.array(h1.view(np.int64)), pa.array(n)], names=["lang", "word", "h", "n"])
+                [pa.array(langs.names()[code], pa.string()), pool.all().cast(pa.binary()).cast(pa.string()), pa.array(n)],
+                names=["lang", "word", "n"])
 
         for words, code in _chunks(batches, langs):
             order, heads = equal_runs(words.h1, words.h2)
@@ -222,8 +228,24 @@ def word_counts(docs: DataFrame) -> DataFrame:
         if pool.rows:
             yield rows()
 
-    counted = _source(docs).mapInArrow(run, "lang string, word string, h bigint, n bigint")
-    return counted.groupBy("lang", "word", "h").agg(F.sum("n").alias("n"))
+    counted = _source(docs).mapInArrow(run, "lang string, word string, n bigint")
+    return counted.groupBy("lang", "word").agg(F.sum("n").alias("n"))
+
+
+def with_hashes(words: DataFrame) -> DataFrame:
+    """``words`` with ``h``, the hash that the tasks know a word by."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        langs = Langs()
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            code = langs.codes(batch.column(0))
+            data, offsets = bytes_of(batch.column(1).cast(pa.large_binary()))
+            h1, _ = word_hashes(data, offsets[:-1], offsets[1:], langs.hashes()[code])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(h1.view(np.int64))], names=["lang", "word", "n", "h"])
+
+    return words.select("lang", "word", "n").mapInArrow(run, "lang string, word string, n bigint, h bigint")
 
 
 def frequent_bitmap(words: DataFrame) -> np.ndarray:
@@ -259,22 +281,20 @@ class Deal:
     def assign(self, words: Words, reach: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(group, bucket of the next depth) of every position; group -1 where that bucket decides.
 
-        A suffix too short for the prefix that decides goes with the other ends of its kind.
+        A suffix too short for a depth keeps what it has as its prefix there.
         """
         group = np.full(len(reach), -1, np.int64)
-        open_, bucket = reach >= 2, np.zeros(len(reach), np.int64)
-        for depth in range(1, len(self.group) + 2):
-            key = words.keys(depth)
-            bucket = (key % np.uint64(self.buckets)).astype(np.int64)
-            short = open_ & (reach < depth)
-            group[short] = (key[short] % np.uint64(len(self.depth_of))).astype(np.int64)
-            open_ &= ~short
+        open_, bucket, own = reach >= 2, np.zeros(len(reach), np.int64), words.h1
+        for depth, key in enumerate(words.keys(), 1):
+            own = np.where(reach >= depth, key, mix64(own + np.uint64(depth)))
+            bucket = (own % np.uint64(self.buckets)).astype(np.int64)
             if depth > len(self.group):
                 break
             got = self.group[depth - 1][bucket]
-            settled = open_ & (got >= 0)
-            group[settled] = got[settled]
+            group = np.where(open_, got, group)
             open_ &= got < 0
+            if not open_.any():
+                break
         return group, bucket
 
 
@@ -322,32 +342,35 @@ def packed_suffixes(docs: DataFrame, bitmap, deal) -> DataFrame:
         langs, pool = Langs(), Pool()
 
         def rows() -> pa.RecordBatch:
-            texts, (_, _, n, group, code) = pool.compact()
-            order = np.lexsort((code, group))
-            g, c = group[order], code[order]
-            heads = np.flatnonzero(np.r_[True, (g[1:] != g[:-1]) | (c[1:] != c[:-1])])
-            data, offsets = bytes_of(texts.take(pa.array(order)))
-            cuts = np.r_[heads, len(order)]
+            h1, h2, group, code, first_word, two_words = pool.columns()
+            # by group and language, then by words, so that neighbours share what they begin with and equals mostly meet
+            low, apart = np.uint64(0xFFFF), group * len(langs.number) + code
+            order = np.argsort((apart.astype(np.uint64) << np.uint64(40)) | ((first_word & low) << np.uint64(24))
+                               | ((two_words & np.uint64(0xFFF)) << np.uint64(12)) | (h1 & np.uint64(0xFFF)), kind="stable")
+            g, c, a, b = group[order], code[order], h1[order], h2[order]
+            other = np.r_[True, (g[1:] != g[:-1]) | (c[1:] != c[:-1])]
+            heads = np.flatnonzero(other | np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
+            n = np.diff(np.r_[heads, len(order)]).astype("<i4")
+            data, offsets = bytes_of(pool.all().take(pa.array(order[heads])))
+            starts = np.flatnonzero(other[heads])
+            cuts = np.r_[starts, len(heads)]
             return pa.RecordBatch.from_arrays(
-                [pa.array(g[heads]), pa.array(langs.names()[c[heads]], pa.string()),
-                 _cut(data, offsets[cuts]), _cut(np.diff(offsets).astype("<i4").view(np.uint8), 4 * cuts),
-                 _cut(n[order].astype("<i8").view(np.uint8), 8 * cuts)], names=["grp", "lang", "body", "sizes", "counts"])
+                [pa.array(g[heads[starts]]), pa.array(langs.names()[c[heads[starts]]], pa.string()),
+                 _packed(data, offsets[cuts]), _packed(np.diff(offsets).astype("<i4").view(np.uint8), 4 * cuts),
+                 _packed(n.view(np.uint8), 4 * cuts)], names=["grp", "lang", "body", "sizes", "counts"])
 
         for words, code in _chunks(batches, langs):
             reach = words.reach(bitmap.value)
-            group, _ = deal.value.assign(words, reach)
             at = np.flatnonzero(reach >= 2)
             if not len(at):
                 continue
-            h1, h2 = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64)
-            for length in range(2, MAX_WORDS + 1):
+            group, _ = deal.value.assign(words, reach)
+            h1, h2, two_words = np.zeros(len(at), np.uint64), np.zeros(len(at), np.uint64), None
+            for length, (one, two) in enumerate(zip(words.keys(), words.keys(second=True)), 1):
                 these = reach[at] == length
-                h1[these] = words.keys(length)[at[these]]
-                h2[these] = words.keys(length, "h2")[at[these]] + np.uint64(length)
-            order, heads = equal_runs(h1, h2)
-            first = order[heads]
-            pool.add(words.suffixes(at[first], reach[at[first]]), h1[first], h2[first],
-                     np.diff(np.r_[heads, len(order)]), group[at[first]], code[words.doc[at[first]]])
+                h1[these], h2[these] = one[at[these]], two[at[these]] + np.uint64(length)
+                two_words = one[at] if length == 2 else two_words
+            pool.add(words.suffixes(at, reach[at]), h1, h2, group[at], code[words.doc[at]], words.h1[at], two_words)
             if pool.rows >= WINDOW_SUFFIXES:
                 yield rows()
                 pool = Pool()
@@ -357,49 +380,69 @@ def packed_suffixes(docs: DataFrame, bitmap, deal) -> DataFrame:
     return _source(docs).mapInArrow(run, "grp bigint, lang string, body binary, sizes binary, counts binary")
 
 
-def _cut(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
-    return pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1,
-                                 [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]).cast(pa.binary())
+_CODEC = pa.Codec("zstd", 1)
+
+
+def _packed(data: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """The stretches of ``data`` between ``cuts``, each compressed, with its length in front."""
+    held = memoryview(np.ascontiguousarray(data))
+    return pa.array([int(b - a).to_bytes(8, "little") + _CODEC.compress(held[a:b], asbytes=True)
+                     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist())], pa.binary())
+
+
+def _unpacked(value: pa.Scalar) -> pa.Buffer:
+    held = value.as_buffer()
+    return _CODEC.decompress(held[8:], int.from_bytes(held[:8].to_pybytes(), "little"))
 
 
 def subtree(texts: pa.Array, n: np.ndarray, own_depth: int, min_count: int) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
     """(depth, prefixes, counts) of the nodes of two words and more that reach the threshold.
 
-    Nodes above ``own_depth`` are given whatever their count, because other groups hold more of them.
+    A node is its parent and one more word; the leaves under it become neighbours, and its count is
+    the sum of their totals. Nodes above ``own_depth`` are given whatever their count, because other
+    groups hold more of them.
     """
     data, offsets = bytes_of(texts)
-    spaces = np.flatnonzero(data == 0x20)
-    row = np.searchsorted(offsets, spaces, side="right") - 1
-    place = np.arange(len(row)) - np.searchsorted(row, row)
-    ends = np.zeros((len(texts), MAX_WORDS), np.int64)  # ends[:, k]: where the word k + 1 ends, 0 if there is none
-    ends[row, place] = spaces
-    ends[np.arange(len(texts)), np.bincount(row, minlength=len(texts))] = offsets[1:]
     rows = np.arange(len(texts))
-    for depth in range(2, MAX_WORDS + 1):
-        rows = rows[ends[rows, depth - 1] > 0]
+    starts, limit = offsets[:-1], offsets[1:]
+    spaces = np.flatnonzero(data == 0x20)
+    last = np.searchsorted(spaces, limit)  # behind each row's last space
+    at = np.searchsorted(spaces, starts)
+    spaces = np.r_[spaces, 0]
+
+    def word_end(these: np.ndarray, word: int) -> np.ndarray:
+        place = at[these] + word
+        return np.where(place < last[these], spaces[np.minimum(place, len(spaces) - 1)], limit[these])
+
+    node, begin = np.zeros(len(rows), np.uint64), starts
+    for depth in range(1, MAX_WORDS + 1):
+        end = word_end(rows, depth - 1)
+        h1, h2 = slice_hashes(data, begin, end)
+        order, heads = equal_runs(mix64(h1 ^ node), mix64(h2 + node))
+        size = np.diff(np.r_[heads, len(order)])
+        count = np.add.reduceat(n[rows][order], heads) if len(heads) else size
+        good = (count >= min_count) | (depth < own_depth)
+        first = order[heads[good]]
+        if depth > 1 and len(first):
+            yield depth, take_bytes(data, starts[rows[first]], end[first]), count[good]
+        named = np.repeat(np.cumsum(good), size)  # nodes are numbered, so that a parent is known exactly
+        kept = order[np.repeat(good, size)]
+        node = mix64(named[np.repeat(good, size)].astype(np.uint64))
+        longer = end[kept] < limit[rows[kept]]
+        kept, node = kept[longer], node[longer]
+        rows, begin = rows[kept], end[kept] + 1
         if not len(rows):
             return
-        h1, h2 = prefix_hashes(data, offsets[rows], ends[rows, depth - 1])
-        order, heads = equal_runs(h1, h2)
-        count = np.add.reduceat(n[rows][order], heads)
-        good = (count >= min_count) | (depth < own_depth)
-        first = rows[order[heads[good]]]
-        if len(first):
-            yield depth, take_bytes(data, offsets[first], ends[first, depth - 1]), count[good]
-        kept = np.repeat(good, np.diff(np.r_[heads, len(order)]))
-        rows = np.sort(rows[order[kept]])
 
 
-def prefix_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 19) -> tuple[np.ndarray, np.ndarray]:
-    """Two hashes of every ``data[start:end]``, starts ascending, with scratch memory for one block."""
+def slice_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, block: int = 1 << 15) -> tuple[np.ndarray, np.ndarray]:
+    """Two hashes of every ``data[start:end]``, with scratch memory for ``block`` slices."""
     out = np.zeros(len(starts), np.uint64), np.zeros(len(starts), np.uint64)
-    at = 0
-    while at < len(starts):
-        stop = max(at + 1, int(np.searchsorted(ends, starts[at] + block, side="right")))
-        low, high = int(starts[at]), int(ends[at:stop].max())
-        for held, base in zip(out, (BASE_A, BASE_B)):
-            held[at:stop] = range_hash(data[low:high], starts[at:stop] - low, ends[at:stop] - low, base)
-        at = stop
+    for at in range(0, len(starts), block):
+        part = slice(at, at + block)
+        held, offsets = bytes_of(take_bytes(data, starts[part], ends[part]))
+        for hashes, base in zip(out, (BASE_A, BASE_B)):
+            hashes[part] = range_hash(held, offsets[:-1], offsets[1:], base)
     return out
 
 
@@ -407,19 +450,27 @@ def count_phrases(docs: DataFrame, words: DataFrame, scratch: Scratch, min_count
                   budget: int = SUBTREE_BUDGET) -> DataFrame:
     """(lang, phrase, words, n) of all phrases of one to five words with at least ``min_count`` occurrences."""
     spark = docs.sparkSession
-    often = words.where(F.col("n") >= min_count)
+    often = scratch.write(with_hashes(words.where(F.col("n") >= min_count)), "often")
     bitmap = spark.sparkContext.broadcast(frequent_bitmap(often))
     plan = deal_prefixes(docs, often, bitmap, budget)
     deal = spark.sparkContext.broadcast(plan)
-    tasks = max(partitions(spark), len(plan.depth_of) // 256)
+    tasks = max(partitions(spark), len(plan.depth_of) // GROUPS_PER_TASK)
 
     def nodes(held: Pool, lang: str, group: int) -> Iterator[pa.RecordBatch]:
-        texts, columns = held.compact()
-        for depth, phrases, n in subtree(texts, columns[2], deal.value.depth_of[group], min_count):
+        for depth, phrases, n in subtree(held.all(), held.columns()[-1], deal.value.depth_of[group], min_count):
             yield pa.RecordBatch.from_arrays(
                 [pa.array([lang] * len(n), pa.string()), phrases.cast(pa.binary()).cast(pa.string()),
                  pa.array(np.full(len(n), depth, np.int32)), pa.array(n)], names=["lang", "phrase", "words", "n"])
 
+    def compacted(held: Pool) -> Pool:
+        """Copies of equal suffixes from many windows, added up."""
+        data, offsets = bytes_of(held.all())
+        out = Pool()
+        out.add(held.all(), *slice_hashes(data, offsets[:-1], offsets[1:]), held.columns()[-1])
+        out.compact()
+        out.parts = [out.parts[0][2:]]
+        return out
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pool, now, limit = Pool(), None, 2 * budget
         for batch in batches:
@@ -428,15 +479,13 @@ def count_phrases(docs: DataFrame, words: DataFrame, scratch: Scratch, min_count
                     if now is not None:
                         yield from nodes(pool, now[1], now[0])
                     pool, now, limit = Pool(), (group.as_py(), lang.as_py()), 2 * budget
-                size = np.frombuffer(sizes.as_buffer(), "<i4").astype(np.int64)
+                size = np.frombuffer(_unpacked(sizes), "<i4").astype(np.int64)
                 offsets = np.zeros(len(size) + 1, np.int64)
                 np.cumsum(size, out=offsets[1:])
-                texts = pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), body.as_buffer()])
-                data, offsets = bytes_of(texts)
-                h1, h2 = prefix_hashes(data, offsets[:-1], offsets[1:])
-                pool.add(texts, h1, h2, np.frombuffer(counts.as_buffer(), "<i8"))
-                if pool.rows > limit:  # copies of equal suffixes from many windows
-                    pool.compact()
+                pool.add(pa.Array.from_buffers(pa.large_binary(), len(size), [None, pa.py_buffer(offsets), _unpacked(body)]),
+                         np.frombuffer(_unpacked(counts), "<i4").astype(np.int64))
+                if pool.rows > limit:
+                    pool = compacted(pool)
                     limit = 2 * max(budget, pool.rows)
         if now is not None:
             yield from nodes(pool, now[1], now[0])

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from hydromart.functions.temporal import as_timestamp
+
 
 class EmptyInputError(RuntimeError):
     """A full replace refused an empty input (it would wipe the table)."""
@@ -119,8 +121,14 @@ def append_csv_with_header(df: DataFrame, path: str, sep: str = ",") -> None:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    """False when nothing is stored at ``path`` yet; an unreadable table is an error, not "no table"."""
-    recover_table(spark, path.rstrip("/"))
+    """False when nothing is stored at ``path`` yet; an unreadable table is an error, not "no table".
+
+    Only where the table is missing, a swap that was cut short is finished first. What stands beside
+    a table that is there is left alone: another writer may be filling it.
+    """
+    jvm, fs = _files(spark, path)
+    if not fs.exists(jvm.org.apache.hadoop.fs.Path(path)):
+        recover_table(spark, path.rstrip("/"))
     try:
         spark.read.parquet(path).schema
         return True
@@ -202,13 +210,23 @@ def upsert_changed_only(target: DataFrame, source: DataFrame, keys: Sequence[str
 
 
 # ----------------------------------------------------------------------------- SNK-05
-def rollback_batch(raw: DataFrame, batch_id: str, batch_col: str = "batch_id") -> DataFrame:
-    """SNK-05: table content without one load; earlier versions become current again."""
-    return raw.where(~F.col(batch_col).eqNullSafe(F.lit(batch_id)))
+def _of_load(batch_id: str, batch_col: str, inserted_at) -> F.Column:
+    """Rows of one load: of the batch, and of the one instant that the load stamped them with, if given."""
+    mine = F.col(batch_col).eqNullSafe(F.lit(batch_id))
+    return mine if inserted_at is None else mine & F.col("inserted_at").eqNullSafe(as_timestamp(inserted_at))
+
+
+def rollback_batch(raw: DataFrame, batch_id: str, batch_col: str = "batch_id", inserted_at=None) -> DataFrame:
+    """SNK-05: table content without one load; earlier versions become current again.
+
+    With ``inserted_at`` only the rows stamped at this instant go: a load that replays an older
+    batch id takes back its own rows, not those of the earlier load.
+    """
+    return raw.where(~_of_load(batch_id, batch_col, inserted_at))
 
 
 def rollback_table(spark: SparkSession, path: str, batch_id: str, partition_by: Sequence[str] = (),
-                   batch_col: str = "batch_id") -> None:
+                   batch_col: str = "batch_id", inserted_at=None) -> None:
     """SNK-05 on a stored table: remove one load's rows.
 
     Partitioned tables rewrite only the partitions holding the batch (dynamic overwrite); the
@@ -216,14 +234,15 @@ def rollback_table(spark: SparkSession, path: str, batch_id: str, partition_by:
     that one load can touch.
     """
     if not partition_by:
-        write_table(rollback_batch(spark.read.parquet(path), batch_id, batch_col), path, dynamic=False)
+        write_table(rollback_batch(spark.read.parquet(path), batch_id, batch_col, inserted_at), path, dynamic=False)
         return
     raw = spark.read.parquet(path)
+    mine = _of_load(batch_id, batch_col, inserted_at)
     folder = F.regexp_replace(F.col("_metadata.file_path"), "/[^/]*$", "")
-    per_folder = raw.select(folder.alias("_folder"), F.col(batch_col)).groupBy("_folder").agg(
-        F.count_if(F.col(batch_col) == batch_id).alias("_mine"), F.count(F.lit(1)).alias("_all"))
+    per_folder = raw.select(folder.alias("_folder"), mine.alias("_of_load")).groupBy("_folder").agg(
+        F.count_if("_of_load").alias("_mine"), F.count(F.lit(1)).alias("_all"))
     emptied = [r._folder for r in per_folder.where((F.col("_mine") > 0) & (F.col("_mine") == F.col("_all"))).collect()]
-    write_table(touched_partitions(raw, batch_id, partition_by, batch_col), path, partition_by, dynamic=True)
+    write_table(touched_partitions(raw, batch_id, partition_by, batch_col, inserted_at), path, partition_by, dynamic=True)
     jvm, fs = _files(spark, path)
     for gone in emptied:
         # file paths are reported as URIs: decode them once, as Hadoop does
@@ -231,9 +250,10 @@ def rollback_table(spark: SparkSession, path: str, batch_id: str, partition_by:
 
 
 def touched_partitions(raw: DataFrame, batch_id: str, partition_cols: Sequence[str],
-                       batch_col: str = "batch_id") -> DataFrame:
+                       batch_col: str = "batch_id", inserted_at=None) -> DataFrame:
     """SNK-05: only the partitions containing the batch, minus its rows (dynamic overwrite input)."""
-    return rollback_batch(_in_scope(raw, raw.where(F.col(batch_col) == batch_id), partition_cols), batch_id, batch_col)
+    mine = raw.where(_of_load(batch_id, batch_col, inserted_at))
+    return rollback_batch(_in_scope(raw, mine, partition_cols), batch_id, batch_col, inserted_at)
 
 
 # ----------------------------------------------------------------------------- SNK-09

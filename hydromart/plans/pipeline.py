@@ -7,7 +7,9 @@ observations and marts are persisted by writing them, as the reference materiali
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,7 @@ from hydromart.operators import ml, quality, tables, thresholds
 from hydromart.operators.versions import LoadRejected, load_versioned
 from hydromart.plans import marts, staging
 from hydromart.plans.gates import QualityGateFailed, gate
+from hydromart.session import checkpoint_dir
 from hydromart.sources import landing, readers, schemas
 
 __all__ = ["Paths", "QualityGateFailed", "build_marts", "daily_loads", "ingest_river_pages", "ingest_weather",
@@ -82,7 +85,9 @@ def build_marts(spark: SparkSession, p: Paths, cutover: str = staging.WEATHER_CU
     if tables.table_exists(spark, wpath):
         # incremental: only the months holding reprocessed rows are rewritten (dynamic overwrite)
         current = spark.read.parquet(wpath)
+        checkpoint_dir(spark)
         rows = tables.incremental_rows(weather.select(*current.columns), current, "date", "row_hash")
+        rows = rows.checkpoint(eager=True)  # feeds the scope, the anti-join and the union: computed once
         weather = tables.upsert(current, rows, ["row_hash"], scope=["mois_partition"])
     tables.write_table(weather, wpath, ["mois_partition"], dynamic=True, sort_by=["code_insee", "date"])
     out["fct_weather"] = wpath
@@ -135,23 +140,58 @@ RIVER_PAGE_SCHEMA = (
     "longitude: double, latitude: double, grandeur_hydro_elab: string>>")
 
 
-def ingest_river_pages(spark: SparkSession, landing_path: str, raw_path: str, batch_id: str,
-                       inserted_at=None, partition_by=("mois",)) -> dict:
-    """Entry point A steps 2-3 on landed files: pages -> records -> versioned raw table.
+def _now(inserted_at):
+    """The one instant of a load, known before it starts so that its rows can be taken back."""
+    return inserted_at if inserted_at is not None else dt.datetime.now(dt.timezone.utc)
+
+
+@contextmanager
+def taken_back_on_failure(spark: SparkSession, loads: Sequence[tuple[str, str]], inserted_at):
+    """SNK-05 around loads of (table path, batch id): when anything inside fails, at whatever point,
+    the rows that carry the batch id and this instant are removed again, appended or half appended."""
+    try:
+        yield
+    except Exception:
+        for path, batch_id in loads:
+            if tables.table_exists(spark, path):
+                parts = ["mois"] if "mois" in spark.read.parquet(path).columns else []
+                tables.rollback_table(spark, path, batch_id, parts, inserted_at=inserted_at)
+        raise
 
-    Refuses the load when a request's pages do not add up to its announced count (SRC-05),
-    keeps the expected columns (SRC-06), sets aside records without a station (SRC-07) and
-    appends the changed versions (VER-01..06). Returns the appended and rejected counts.
+
+def ingest_river_pages(spark: SparkSession, landing_path: str, raw_path: str, batch_id: str,
+                       inserted_at=None, partition_by=("mois",), set_aside: str | None = None) -> dict:
+    """Entry point A steps 2-3 on landed files: JSON lines -> pages -> records -> versioned raw table.
+
+    A line that cannot be read as a page, or a request whose pages do not add up to its announced
+    count (SRC-05), refuses the load. With ``set_aside`` (a folder) such lines and the pages of such
+    requests are appended there as text with their reason, and the rest is loaded. Keeps the expected
+    columns (SRC-06), sets aside records without a station (SRC-07) and appends the changed versions
+    (VER-01..06). Everything is counted before the append; a failure after it takes the rows back.
+    Returns the appended and rejected records, and the lines and pages set aside.
     """
-    pages = spark.read.schema(RIVER_PAGE_SCHEMA).json(landing_path)
-    if not landing.page_problems(pages).isEmpty():
-        raise LoadRejected(f"incomplete pages in {landing_path}")
-    records = readers.keep_columns(landing.explode_pages(pages, strict=False), schemas.RIVER_OBS_COLUMNS)
+    checkpoint_dir(spark)
+    lines = spark.read.text(landing_path).where(F.trim("value") != "")  # blank lines between documents
+    parsed = landing.parse_json_pages(lines, RIVER_PAGE_SCHEMA).checkpoint(eager=True)
+    unreadable = landing.json_rejects(parsed)
+    n_unreadable = unreadable.count()
+    requests = landing.complete_requests(landing.json_documents(parsed), all_readable=n_unreadable == 0)
+    n_incomplete = requests["incomplete"].count()
+    if set_aside is None and n_unreadable + n_incomplete:
+        raise LoadRejected(f"{n_unreadable} unreadable lines and {n_incomplete} pages of incomplete requests in {landing_path}")
+    if n_unreadable + n_incomplete:
+        short = requests["incomplete"].select(F.to_json(F.struct("*")).alias("value"), F.lit("incomplete request").alias("reason"))
+        tables.append(unreadable.select("value", "reason").unionByName(short).withColumn("batch_id", F.lit(batch_id)), set_aside)
+    records = readers.keep_columns(landing.explode_pages(requests["complete"], strict=False), schemas.RIVER_OBS_COLUMNS)
     records = records.withColumn("date_prod", F.col("date_prod").try_cast("timestamp"))
     parts = readers.split_missing(records, "code_station")
-    appended = load_versioned(spark, raw_path, parts["kept"], "river", batch_id, inserted_at,
-                              content=schemas.RIVER_OBS_COLUMNS, partition_by=partition_by)
-    return {"appended": appended, "rejected": parts["rejected"].count()}
+    rejected = parts["rejected"].count()
+    stamp = _now(inserted_at)
+    with taken_back_on_failure(spark, [(raw_path, batch_id)], stamp):
+        appended = load_versioned(spark, raw_path, parts["kept"], "river", batch_id, stamp,
+                                  content=schemas.RIVER_OBS_COLUMNS, partition_by=partition_by)
+    out = {"appended": appended, "rejected": rejected}
+    return out if set_aside is None else {**out, "set_aside": n_unreadable + n_incomplete}
 
 
 # Landed weather documents: one per place, parallel daily arrays as delivered.
@@ -164,10 +204,17 @@ def ingest_weather(spark: SparkSession, landing_path: str, requested: DataFrame,
                    inserted_at=None, partition_by: Sequence[str] = ("mois",)) -> dict:
     """Landed weather documents -> daily rows -> versioned raw table (SRC-04, VER-01..06).
 
-    Refuses the load when a document is inconsistent, or when the places answered are not exactly
-    the ``requested`` ones (column ``code_INSEE``), each once. Returns the appended count.
+    Refuses the load when a line cannot be read, when a document is inconsistent, or when the places
+    answered are not exactly the ``requested`` ones (column ``code_INSEE``), each once. Returns the
+    appended count; a failure after the append takes the rows back.
     """
-    docs = spark.read.schema(WEATHER_DOC_SCHEMA).json(landing_path)
+    checkpoint_dir(spark)
+    lines = spark.read.text(landing_path).where(F.trim("value") != "")
+    parsed = landing.parse_json(lines, WEATHER_DOC_SCHEMA, required=("code_INSEE", "daily")).checkpoint(eager=True)
+    unreadable = landing.json_rejects(parsed).count()
+    if unreadable:
+        raise LoadRejected(f"{unreadable} unreadable weather documents in {landing_path}")
+    docs = landing.json_documents(parsed)
     problems = landing.series_problems(docs, schemas.WEATHER_VARIABLES, ["code_INSEE"])
     if not problems.isEmpty():
         raise LoadRejected(f"inconsistent weather documents in {landing_path}")
@@ -179,8 +226,10 @@ def ingest_weather(spark: SparkSession, landing_path: str, requested: DataFrame,
     rows = landing.explode_series(docs, schemas.WEATHER_VARIABLES, ["code_INSEE", "Latitude", "Longitude"])
     content = ["Latitude", "Longitude", "code_INSEE", "date", *schemas.WEATHER_VARIABLES]
     rows = rows.withColumn("date", F.col("time")).withColumn("weather_code", F.col("weather_code").cast("long"))
-    return {"appended": load_versioned(spark, raw_path, rows.select(*content), "weather", batch_id, inserted_at,
-                                       content=content, partition_by=partition_by)}
+    stamp = _now(inserted_at)
+    with taken_back_on_failure(spark, [(raw_path, batch_id)], stamp):
+        return {"appended": load_versioned(spark, raw_path, rows.select(*content), "weather", batch_id, stamp,
+                                           content=content, partition_by=partition_by)}
 
 
 def replace_stations(spark: SparkSession, snapshot: DataFrame, path: str, low: int = 2700, high: int = 3300) -> int:
@@ -194,17 +243,12 @@ def replace_stations(spark: SparkSession, snapshot: DataFrame, path: str, low: i
 
 def daily_loads(spark: SparkSession, p: Paths, batch_id: str, river_pages: str | None = None,
                 weather_docs: str | None = None, requested: DataFrame | None = None, inserted_at=None) -> dict:
-    """Both raw loads as one: when one of them fails, what this batch added is removed again."""
+    """Both raw loads as one: whatever fails, and wherever, nothing of this batch stays in either table."""
+    stamp = _now(inserted_at)
     loaded: dict[str, dict] = {}
-    try:
+    with taken_back_on_failure(spark, [(p.raw_obs, batch_id), (p.raw_weather, batch_id)], stamp):
         if river_pages:
-            loaded[p.raw_obs] = ingest_river_pages(spark, river_pages, p.raw_obs, batch_id, inserted_at)
+            loaded[p.raw_obs] = ingest_river_pages(spark, river_pages, p.raw_obs, batch_id, stamp)
         if weather_docs:
-            loaded[p.raw_weather] = ingest_weather(spark, weather_docs, requested, p.raw_weather, batch_id, inserted_at)
-    except Exception:
-        for path, result in loaded.items():
-            if result["appended"]:
-                parts = ["mois"] if "mois" in spark.read.parquet(path).columns else []
-                tables.rollback_table(spark, path, batch_id, parts)
-        raise
+            loaded[p.raw_weather] = ingest_weather(spark, weather_docs, requested, p.raw_weather, batch_id, stamp)
     return loaded

@@ -45,7 +45,8 @@ def balanced_weights(df: DataFrame, label: str = LABEL, weight: str = "weight")
 
 
 def logistic_pipeline(features: Sequence[str] = SCORING_FEATURES, label: str = LABEL, weight: str = "weight",
-                      reg_param: float = 0.0, max_iter: int = 1000, relative_error: float = 0.0) -> Pipeline:
+                      reg_param: float = 0.0, max_iter: int = 1000, relative_error: float = 0.0,
+                      tol: float = 1e-6) -> Pipeline:
     """ML-02..04: median imputation -> standardisation -> weighted logistic regression.
 
     Medians are exact (``relative_error`` 0); a larger error makes them cheaper on very large tables.
@@ -58,7 +59,7 @@ def logistic_pipeline(features: Sequence[str] = SCORING_FEATURES, label: str = L
         VectorAssembler(inputCols=imputed, outputCol="raw_features"),
         StandardScaler(inputCol="raw_features", outputCol="features", withMean=True, withStd=True),
         LogisticRegression(featuresCol="features", labelCol=label, weightCol=weight, maxIter=max_iter,
-                           regParam=reg_param, elasticNetParam=0.0, standardization=False),
+                           regParam=reg_param, elasticNetParam=0.0, standardization=False, tol=tol),
     ])
 
 
@@ -80,6 +81,10 @@ def forest_pipeline(features: Sequence[str] = SCORING_FEATURES, label: str = LAB
 def fit(train: DataFrame, kind: str = "logistic", label: str = LABEL, **kw) -> PipelineModel:
     """Fit a pipeline on balanced weights; the logistic penalty is scaled by the weight total.
 
+    The scaler divides by the sample deviation. Dividing by the population deviation instead scales
+    every feature by sqrt(n / (n - 1)), which a penalty (n - 1) / n times as large makes up for: the
+    fitted scores are those of a fit on population deviations (``certificate`` checks it).
+
     The weighted training set is checkpointed once (reliable, in ``spark.checkpoint.dir``):
     the imputer, the scaler and every optimiser iteration then read it instead of
     re-evaluating the feature plan, and a lost executor does not replay the whole lineage.
@@ -90,8 +95,8 @@ def fit(train: DataFrame, kind: str = "logistic", label: str = LABEL, **kw) -> P
     weighted = weighted.checkpoint(eager=True)
     if kind == "logistic":
         if "reg_param" not in kw:
-            total = weighted.agg(F.sum("weight")).first()[0] or 1.0  # one scalar
-            kw["reg_param"] = 1.0 / total
+            total, n = weighted.agg(F.sum("weight"), F.count(F.lit(1))).first()
+            kw["reg_param"] = (n - 1) / n / total if n > 1 else 1.0 / (total or 1.0)
         return logistic_pipeline(label=label, **kw).fit(weighted)
     return forest_pipeline(label=label, **kw).fit(weighted)
 
@@ -113,6 +118,44 @@ def coefficients(model: PipelineModel, features: Sequence[str] = SCORING_FEATURE
             .orderBy(F.abs("coefficient").desc()))
 
 
+def certificate(model: PipelineModel, train: DataFrame, features: Sequence[str] = SCORING_FEATURES,
+                label: str = LABEL, penalty: float = 1.0) -> DataFrame:
+    """ML-03/04/06/12: proof that a logistic model is the minimum of the penalised weighted loss.
+
+    The loss ``sum(weight * log loss) + penalty / 2 * |b|^2`` over features imputed with their medians
+    and divided by their population deviation is strictly convex, so coefficients at which its gradient
+    vanishes are the only ones that minimise it, however they were found. One aggregate over ``train``
+    recomputes, from the coefficients alone and without the model's own transformers, per feature:
+    ``median``, ``mean``, ``deviation`` (of the population), ``coefficient`` (for one population
+    deviation) and ``gradient`` (per unit of weight); and the same for ``(intercept)``.
+    """
+    from hydromart.session import checkpoint_dir
+    spark = train.sparkSession
+    lr = model.stages[-1]
+    rows = train.where(F.col(label).isNotNull())
+    medians = rows.agg(*[F.expr(f"percentile_disc(0.5) WITHIN GROUP (ORDER BY `{c}`)").alias(c) for c in features]).first()
+    checkpoint_dir(spark)
+    filled = balanced_weights(rows.select(F.col(label).cast("double").alias(label),
+                                          *[F.coalesce(F.col(c).cast("double"), F.lit(medians[c])).alias(c) for c in features]), label)
+    filled = filled.checkpoint(eager=True)
+    told = filled.agg(F.count(F.lit(1)).alias("n"), F.sum("weight").alias("total"),
+                      *[F.avg(c).alias(f"mean_{c}") for c in features],
+                      *[F.stddev_pop(c).alias(f"deviation_{c}") for c in features]).first()
+    per_sample = ((told.n - 1) / told.n) ** 0.5 if told.n > 1 else 1.0  # population over sample deviation
+    fitted = [float(x) * per_sample for x in lr.coefficients.toArray()]
+    scaled = {c: ((F.col(c) - told[f"mean_{c}"]) / told[f"deviation_{c}"] if told[f"deviation_{c}"] else F.lit(0.0)) for c in features}
+    margin = F.lit(float(lr.intercept))
+    for c, b in zip(features, fitted):
+        margin = margin + scaled[c] * b
+    slope = F.col("weight") * (1 / (1 + F.exp(-margin)) - F.col(label))
+    pulls = filled.agg(F.sum(slope).alias("intercept"), *[F.sum(slope * scaled[c]).alias(c) for c in features]).first()
+    out = [(c, float(medians[c]), told[f"mean_{c}"], told[f"deviation_{c}"], b, (pulls[c] + penalty * b) / told.total)
+           for c, b in zip(features, fitted)]
+    out.append(("(intercept)", None, None, None, float(lr.intercept), pulls["intercept"] / told.total))
+    return spark.createDataFrame(out, "feature string, median double, mean double, deviation double, "
+                                      "coefficient double, gradient double")
+
+
 # ----------------------------------------------------------------------------- evaluation
 def classification_report(df: DataFrame, label: str = LABEL, prediction: str = "prediction",
                           by: Sequence[str] = ()) -> DataFrame:

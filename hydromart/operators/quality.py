@@ -8,9 +8,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from hydromart.functions.temporal import as_date
+
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
     """DQ-01."""
@@ -98,6 +100,32 @@ def coverage(df: DataFrame, entity: str, date: str) -> DataFrame:
     return per.withColumn("expected", expected).where(F.col("n_dates") < F.col("expected"))
 
 
+def coverage_gaps(df: DataFrame, entity: str, date: str, start=None, end=None, entities: DataFrame | None = None) -> DataFrame:
+    """DQ-11: the missing stretches of every entity: (entity, first_missing, last_missing, n_days).
+
+    Looked for between ``start`` and ``end`` (default: the overall first and last date of the data).
+    ``entities`` (a frame with the entity column) adds entities without any date, which miss it all.
+    Repeated dates count once and dates outside the range are ignored; a NULL date covers nothing, and
+    rows without an entity are left out. The window runs over distinct (entity, day) rows, at most one per calendar day.
+    """
+    day = F.to_date(F.col(date))
+    low = as_date(start) if start is not None else df.agg(F.min(day)).scalar()
+    high = as_date(end) if end is not None else df.agg(F.max(day)).scalar()
+    days = (df.select(F.col(entity).alias("_entity"), day.alias("_day")).where("_entity IS NOT NULL AND _day IS NOT NULL")
+            .where((F.col("_day") >= low) & (F.col("_day") <= high)).distinct())
+    # a day before the range and one behind it bound every entity's stretches
+    named = df.select(F.col(entity).alias("_entity"))
+    if entities is not None:
+        named = named.unionByName(entities.select(F.col(entity).alias("_entity")))
+    named = named.where("_entity IS NOT NULL").distinct()
+    edges = named.select("_entity", F.explode(F.array(F.date_sub(low, 1), F.date_add(high, 1))).alias("_day"))
+    following = F.lead("_day").over(Window.partitionBy("_entity").orderBy("_day"))
+    return (days.unionByName(edges).withColumn("_next", following)
+            .where(F.datediff("_next", "_day") > 1)
+            .select(F.col("_entity").alias(entity), F.date_add("_day", 1).alias("first_missing"),
+                    F.date_sub("_next", 1).alias("last_missing"), (F.datediff("_next", "_day") - 1).alias("n_days")))
+
+
 def partial_last_day(df: DataFrame, date: str, entity: str, measures: Sequence[str]) -> DataFrame:
     """DQ-11 / FN-20: rows with any missing measure, counted per date (dates and places affected)."""
     missing = F.lit(False)

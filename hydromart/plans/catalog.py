@@ -1285,3 +1285,6 @@ def q_train_medians(spark, sf_dir):
     if train.isEmpty():
         return spark.range(1).select(*[F.lit(None).cast("double").alias(c) for c in FEATS])
     return ml.logistic_pipeline().getStages()[0].fit(train).surrogateDF.select(*FEATS)
+
+
+from hydromart.plans import catalog_stored  # noqa: E402, F401  (registers the queries over stored tables)

@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hydromart.operators import membership, ml, quality, versions as vers
+from hydromart.operators import geo, membership, ml, nearest, quality, versions as vers
 from hydromart.operators.bucketed import BucketedTable
 from hydromart.operators.threshold_state import ThresholdState, merge_states, state_of
 from hydromart.plans import backfill, catalog, testbed
@@ -204,6 +204,42 @@ def q_backfill_ledger(spark, sf_dir):
     return ledger.read().select("grandeur_hydro_elab", "mois", "nb_lignes")
 
 
+# --------------------------------------------------------------------------- nearest station with pruning
+@register("nearest_pruned", ORACLES["nearest_fallback"])
+def q_nearest_pruned(spark, sf_dir):
+    """JN-10 by descent through bounding boxes, for the communes without a station in reach."""
+    co, st = catalog._geo_frames(spark, sf_dir)
+    found = nearest.nearest_in_tree(geo.communes_without_station(co, st), nearest.station_tree(st))
+    return found.select("code_insee", "code_station", F.round("distance_m", 2).alias("distance_m"))
+
+
+@register("nearest_cluster", """
+WITH co AS (SELECT CAST(c_custkey AS VARCHAR) AS code_insee,
+                   42.0 + ((c_custkey * 37) % 900) / 100.0 AS lat, -5.0 + ((c_custkey * 53) % 1300) / 100.0 AS lon
+            FROM customer),
+st AS (SELECT CAST(s_suppkey AS VARCHAR) AS code_station,
+              CASE WHEN s_suppkey % 3 = 0 THEN 46.0 + s_suppkey / 1000000.0 ELSE 42.0 + ((s_suppkey * 71) % 900) / 100.0 END AS lat,
+              CASE WHEN s_suppkey % 3 = 0 THEN 2.0 + (s_suppkey % 100) / 1000000.0 ELSE -5.0 + ((s_suppkey * 29) % 1300) / 100.0 END AS lon
+       FROM supplier)
+SELECT code_insee, code_station, round(2 * 6371008.8 * asin(sqrt(least(1.0,
+         pow(sin((radians(st.lat) - radians(co.lat)) / 2), 2)
+         + cos(radians(co.lat)) * cos(radians(st.lat)) * pow(sin((radians(st.lon) - radians(co.lon)) / 2), 2)))), 2) AS distance_m
+FROM co CROSS JOIN st
+QUALIFY row_number() OVER (PARTITION BY code_insee ORDER BY 2 * 6371008.8 * asin(sqrt(least(1.0,
+         pow(sin((radians(st.lat) - radians(co.lat)) / 2), 2)
+         + cos(radians(co.lat)) * cos(radians(st.lat)) * pow(sin((radians(st.lon) - radians(co.lon)) / 2), 2)))), code_station) = 1""")
+def q_nearest_cluster(spark, sf_dir):
+    """A third of all stations stands within a few metres; every commune looks for its nearest one."""
+    co, st = catalog._geo_frames(spark, sf_dir)
+    key = F.col("code_station").cast("long")
+    third = key % 3 == 0
+    st = st.withColumns({
+        "latitude_station": F.when(third, F.lit(46.0) + key / 1000000.0).otherwise(F.col("latitude_station")),
+        "longitude_station": F.when(third, F.lit(2.0) + (key % 100) / 1000000.0).otherwise(F.col("longitude_station"))})
+    found = nearest.nearest_in_tree(co, nearest.station_tree(st))
+    return found.select("code_insee", "code_station", F.round("distance_m", 2).alias("distance_m"))
+
+
 # --------------------------------------------------------------------------- certificate of the fit
 @register("fit_certificate", with_ctes(*FEATURE_CHAIN) + f"""
 , train AS (SELECT * FROM features WHERE target_j1 IS NOT NULL AND date < DATE '{ML_CUTOFF}'),

@@ -1,4 +1,5 @@
 import hashlib
+import json
 import random
 
 import pytest
@@ -58,12 +59,38 @@ def test_long_fragments_merge_the_same(own):
         assert own._merge_long(list(ids)) == own.merge(list(ids))
 
 
-def test_recent_table_is_bounded():
-    seen = M.Recent(10)
-    for i in range(1000):
-        seen.put(i, [i])
-        assert seen.get(0) in (None, [0])
-    assert len(seen.new) + len(seen.old) <= 20 and seen.get(999) == [999]
+def test_fragment_table_is_bounded(own, library, monkeypatch):
+    monkeypatch.setattr(M, "TABLE_IDS", 50)
+    for text in random_texts(60):
+        assert own.encode(text) == library.encode(text, add_special_tokens=False).ids
+        assert own.fragments.held <= 50
+
+
+@pytest.mark.parametrize("stretch", [1, 7, 64])
+def test_stretches_of_any_length_give_the_same(own, library, monkeypatch, stretch):
+    """Cuts before blanks, special tokens between and behind stretches, many texts at once."""
+    monkeypatch.setattr(M, "STRETCH", stretch)
+    texts = ODD + random_texts(60) + ["a<|endoftext|>b <|endoftext|><|endoftext|>", "́ e ́\ń"]
+    ids, offsets = own.encode_all(texts)
+    decoded = own.decode_all(ids, offsets)
+    for i, text in enumerate(texts):
+        want = library.encode(text, add_special_tokens=False).ids
+        assert ids[offsets[i]:offsets[i + 1]].tolist() == want
+        assert decoded[i].as_py() == library.decode(want, skip_special_tokens=False)
+
+
+def test_special_tokens_of_any_form(own):
+    """A file's special tokens are found whatever characters they are made of."""
+    spec = json.loads(open(M.TOKENIZER).read())
+    spec["added_tokens"].append({**spec["added_tokens"][0], "id": 49408, "content": "[SEP]"})
+    other, theirs = M.Bpe(json.dumps(spec).encode()), Tokenizer.from_str(json.dumps(spec))
+    for text in ("x[SEP]y", "[SEP][SEP]", "[sep] a[SEP"):
+        assert other.encode(text) == theirs.encode(text, add_special_tokens=False).ids
+
+
+def test_unknown_ids_are_left_out(own, library):
+    ids = [-1, 320, 10**6, 321]
+    assert own.decode(ids) == library.decode([320, 321], skip_special_tokens=False)
 
 
 def test_query(spark, docs, tmp_path, library):

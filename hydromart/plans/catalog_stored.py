@@ -19,6 +19,7 @@ from hydromart.plans import backfill, catalog, testbed
 from hydromart.plans.catalog import FEATURE_CHAIN, FEATS, ML_CUTOFF, ORACLES, SQL_OBS, register, with_ctes
 from hydromart.session import checkpoint_dir
 from hydromart.sources import landing
+from hydromart.streaming import ingest
 
 
 def _folder(spark, name: str) -> str:
@@ -257,3 +258,35 @@ def q_fit_certificate(spark, sf_dir):
     proof = ml.certificate(ml.fit(train, tol=1e-9), train)
     return proof.select("feature", *[F.round(c, 6).alias(c) for c in ("median", "mean", "deviation")],
                         (F.abs("gradient") < 1e-5).alias("stationary"))
+
+
+# --------------------------------------------------------------------------- streamed loads
+@register("stream_versioned_ingest", """
+SELECT CAST(event_id AS VARCHAR) AS code_station, CAST(CAST(ts AS DATE) AS VARCHAR) AS date_obs_elab, event_type AS grandeur_hydro_elab,
+       value AS resultat_obs_elab, 1 AS n_loads
+FROM events""")
+def q_stream_versioned_ingest(spark, sf_dir):
+    """STR-01, VER-02: ``events`` streamed as landed files, in several loads.
+
+    The last load is rolled back and streamed again by a new stream over all files: only what is
+    missing is appended, so every event ends in the table once, under one load.
+    """
+    base = _folder(spark, "stream-ingest")
+    ev = testbed.table(spark, sf_dir, "events").select(
+        F.col("event_id").cast("string").alias("code_station"), F.to_date("ts").cast("string").alias("date_obs_elab"),
+        F.col("event_type").alias("grandeur_hydro_elab"), F.col("value").alias("resultat_obs_elab"),
+        F.lit("2001-01-01 00:00:00").cast("timestamp").alias("date_prod"))
+    ev.repartition(3, "code_station").write.parquet(f"{base}/landing")
+
+    def run(name: str, files: int | None) -> None:
+        ingest.versioned_ingest(spark, f"{base}/landing", ev.schema, f"{base}/raw", "river", f"{base}/{name}", "parquet",
+                                files_per_load=files).awaitTermination()
+    run("first", 1)
+    log = ingest.LoadLog(spark, f"{base}/raw.loads")
+    last = log.read().orderBy(F.desc("inserted_at")).first()
+    if last is not None:
+        ingest.roll_back_load(spark, f"{base}/raw", log, last.load_id)
+    run("second", None)
+    raw = spark.read.parquet(f"{base}/raw")
+    return raw.groupBy("code_station", F.col("date_obs_elab").cast("string").alias("date_obs_elab"), "grandeur_hydro_elab",
+                       "resultat_obs_elab").agg(F.count_distinct("batch_id").cast("int").alias("n_loads"))

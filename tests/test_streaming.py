@@ -68,3 +68,51 @@ def test_late_older_version_does_not_win_and_no_state_is_kept(spark, tmp_path):
     got = {(r.k, r.date): r.v for r in spark.read.parquet(out).collect()}
     assert got[("a", day(0))] == 2.0 and len(got) == 91
     assert not query.lastProgress or not query.lastProgress["stateOperators"]
+
+
+def test_loads_keep_their_identity_over_restarts(spark, tmp_path):
+    from pyspark.sql.types import StructType
+    schema = StructType.fromDDL(SCHEMA)
+    landing, raw = tmp_path / "landing", str(tmp_path / "raw")
+    run = lambda name: ingest.versioned_ingest(spark, str(landing), schema, raw, "weather", str(tmp_path / name)).awaitTermination()
+    land(landing, "a.json", [("37001", "2026-10-01", 1.0)])
+    run("one")
+    land(landing, "b.json", [("37001", "2026-10-01", 2.0), ("37002", "2026-10-01", 5.0)])
+    run("one")
+    log = ingest.LoadLog(spark, f"{raw}.loads")
+    first, second = [f"stream-{ingest.stream_id(spark, str(tmp_path / 'one'))}-{n}" for n in (0, 1)]
+    assert {r.load_id: (r.state, r.n_rows) for r in log.read().collect()} == {first: ("done", 1), second: ("done", 2)}
+    # a rollback addresses one load; a new checkpoint counts its epochs from 0 again under another id
+    ingest.roll_back_load(spark, raw, log, second)
+    assert [(r.rain_sum, r.batch_id) for r in spark.read.parquet(raw).collect()] == [(1.0, first)]
+    land(landing, "a.json", [("37003", "2026-10-01", 9.0)])  # rewritten file: both files are new to the new stream
+    run("two")
+    other = f"stream-{ingest.stream_id(spark, str(tmp_path / 'two'))}-0"
+    assert other != first
+    got = sorted((r.code_INSEE, r.rain_sum, r.batch_id) for r in spark.read.parquet(raw).collect())
+    assert got == [("37001", 1.0, first), ("37001", 2.0, other), ("37002", 5.0, other), ("37003", 9.0, other)]
+    ingest.roll_back_load(spark, raw, log, other)
+    assert [r.batch_id for r in spark.read.parquet(raw).collect()] == [first]
+
+
+def test_a_load_cut_short_is_finished_with_its_first_stamp(spark, tmp_path, monkeypatch):
+    import pytest
+    raw = str(tmp_path / "raw")
+    log = ingest.LoadLog(spark, f"{raw}.loads")
+    batch = spark.createDataFrame([("37001", "2026-10-01", 1.0)], SCHEMA)
+    real = ingest.load_versioned
+
+    def dies(*args, **kw):
+        real(*args, **kw)
+        raise RuntimeError("after the append")
+    monkeypatch.setattr(ingest, "load_versioned", dies)
+    with pytest.raises(RuntimeError):
+        ingest.load_once(spark, raw, batch, "weather", "stream-x-0", log)
+    stamp = log.find("stream-x-0").inserted_at
+    monkeypatch.setattr(ingest, "load_versioned", real)
+    assert ingest.load_once(spark, raw, batch, "weather", "stream-x-0", log) == 1
+    assert ingest.load_once(spark, raw, batch, "weather", "stream-x-0", log) == 0
+    assert [r.inserted_at for r in spark.read.parquet(raw).collect()] == [stamp]
+    assert log.find("stream-x-0").state == "done"
+    with pytest.raises(ValueError, match="no such load"):
+        ingest.roll_back_load(spark, raw, log, "stream-x-9")

@@ -34,7 +34,8 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "components") ->
 
     Loops and repeated edges are allowed; null ends are ignored; no edges give no rows.
     """
-    current = scratch.write(edges.select("a", "b").where("a <> b"), f"{name}_0")
+    # few edges come from many tasks: rebalanced, they are a few files instead of one for each task
+    current = scratch.write(edges.select("a", "b").where("a <> b").hint("rebalance"), f"{name}_0")
     last, turn = None, 0
     while True:
         state = current.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first()

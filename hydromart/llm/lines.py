@@ -101,7 +101,7 @@ def dropped_positions(docs: DataFrame, scratch: Scratch, min_docs: int = MIN_DOC
              .select("doc_id", "_text", "pos", F.xxhash64("line").alias("h1"),
                      F.xxhash64(F.lit("second"), "line").alias("h2"),
                      F.pmod(F.xxhash64("doc_id"), F.lit(batches)).cast("int").alias("batch")))
-    lines = scratch.write(lines, "lines", partition_by="batch")
+    lines = scratch.write(lines.sortWithinPartitions("batch"), "lines")  # one file a task; statistics skip other batches
     runs = LineRuns(scratch, min_docs)
     for batch in range(batches):
         runs.add(lines.where(F.col("batch") == batch))

@@ -156,7 +156,7 @@ def simhash_groups(docs: DataFrame, shingle: int = SHINGLE_WORDS, radius: int =
     """One row per document: doc_id, th, fp, root (of the component), component_id (smallest doc_id reachable)."""
     spark: SparkSession = docs.sparkSession
     scratch = Scratch(spark, "simhash")
-    prints = scratch.write(fingerprint(docs, shingle), "prints")
+    prints = scratch.write(fingerprint(docs, shingle).hint("rebalance", "fp"), "prints")  # a few files, equal values together
     classes = scratch.write(prints.groupBy("fp").agg(F.min("doc_id").alias("low_id")), "classes")
     links = link_fingerprints(classes, radius)
     roots = components(links, scratch)

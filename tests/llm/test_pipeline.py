@@ -3,6 +3,8 @@ import shutil
 import subprocess
 import sys
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from hydromart.llm import decontaminate, lines, quality
 from tests.llm.test_lines import brute as brute_lines
@@ -39,10 +41,35 @@ def test_stages_against_brute_force(spark, tmp_path):
 def test_registered(spark):
     import __spark_entry__ as entry
     names = entry.queries()
-    assert {f"op{n}_" for n in range(1, 11)} <= {k.split("_")[0] + "_" for k in names} and "pipeline" in names
+    assert {f"op{n}_" for n in range(1, 14)} <= {k.split("_")[0] + "_" for k in names} and "pipeline" in names
     assert corpus_pipeline.run(spark, SF).count() > 100
 
 
+def _beside(spark, docs, folder):
+    docs.write.parquet(f"{folder}/documents.parquet")
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{name}.parquet").write.parquet(f"{folder}/{name}.parquet")
+    return str(folder)
+
+
+def test_empty_table(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("false")
+    assert corpus_pipeline.run(spark, _beside(spark, docs, tmp_path)).count() == 0
+
+
+def test_nulls_repeated_ids_and_clashing_columns(spark, tmp_path):
+    given = spark.read.parquet(f"{SF}/documents.parquet")
+    odd = spark.createDataFrame([(900001, None, "en", None, None), (900002, "", None, "src0", 0), (None, "no id", "en", "src1", 5),
+                                 (900003, "two texts", "en", "src1", 9), (900003, "of one id", "en", "src1", 9)], given.schema)
+    docs = given.unionByName(odd)
+    for i, name in enumerate(("fp", "row", "score", "th", "root", "_lines", "_gone", "batch", "ids", "key", "component_id")):
+        docs = docs.withColumn(name, F.lit(i))
+    out = corpus_pipeline.run(spark, _beside(spark, docs, tmp_path)).collect()
+    plain = {r.doc_id for r in corpus_pipeline.run(spark, SF).collect()}
+    assert out and {r.doc_id for r in out} - plain <= {900001, 900002, 900003, None}
+    assert all(len(r.ids) == r.n_tokens for r in out)
+
+
 def test_entry_works_without_the_subpackage(tmp_path):
     for name in ("__spark_entry__.py",):
         shutil.copy(f"{REPO}/{name}", tmp_path)

@@ -42,9 +42,9 @@ TOP = 2000
 SUBSUMED_PERCENT = 100
 SUBTREE_BUDGET = 1 << 19  # suffixes of a group: the memory of one subtree
 BUCKETS_PER_GROUP = 16
-GROUPS_PER_TASK = 8
+GROUPS_PER_TASK = 2
 FILTER_BITS = 1 << 26  # the bitmap of words that reach the threshold: 8 MB at any size
-WINDOW_SUFFIXES = 1 << 20  # suffixes that a task adds up before it sends them
+WINDOW_SUFFIXES = 1 << 19  # suffixes that a task adds up before it sends them
 
 _GAP = np.zeros(256, bool)
 _GAP[[0x20, 0x09]] = True

@@ -35,6 +35,7 @@ _ASSIGN_WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 _ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 _ASSIGN_MIN = 12
+DELIVERIES = 2  # parts in which the registered query brings the documents to its ledger
 
 
 def spans_of(text: str) -> list[dict]:
@@ -102,9 +103,22 @@ def count_kind(spans, kind: str):
     return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long")
 
 
+def scan_deliveries(docs: DataFrame, ledger: BlobLedger, deliveries: int, key: str = "doc_id",
+                    rule_version: str = RULE_VERSION) -> DataFrame:
+    """(key, spans) per row of ``docs``, delivered to the ledger in parts by a hash of the key.
+
+    A blob that an earlier part brought is not scanned again; the findings of all parts come from the
+    one ledger.
+    """
+    for part in range(deliveries):
+        ledger.scan_unseen(docs.where(F.pmod(F.xxhash64(key), F.lit(deliveries)) == part), rule_version)
+    return ledger.findings(docs, key, rule_version)
+
+
 def op8_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    found = scan_secrets(docs, BlobLedger(spark, Scratch(spark, "secrets").path("ledger")))
+    ledger = BlobLedger(spark, Scratch(spark, "secrets").path("ledger"))
+    found = scan_deliveries(docs, ledger, DELIVERIES)
     count = [count_kind(F.col("spans"), k).alias(f"n_{k}") for k in KINDS]
     text = span_text(F.col("spans"))
     return found.select("doc_id", *count, F.sha2(text, 256).alias("base_sha256"), text.alias("spans"))

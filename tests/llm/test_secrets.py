@@ -40,5 +40,14 @@ def test_ledger_scans_only_what_it_lacks(spark, docs, tmp_path, clash):
     assert ledger.rows("2").count() == 1 and ledger.rows(M.RULE_VERSION).count() == 4
 
 
+def test_deliveries_share_one_ledger(spark, docs, tmp_path):
+    """Copies come with every delivery; only the first is scanned, or the ledger would hold a blob twice."""
+    pairs = [(i, f"token=abcdefghijkl{i % 7}") for i in range(90)] + [(None, "plain")]
+    ledger = M.BlobLedger(spark, str(tmp_path / "ledger"))
+    got = M.scan_deliveries(docs(pairs), ledger, 3).collect()
+    assert ledger.rows(M.RULE_VERSION).count() == 8
+    assert sorted(((r.doc_id, len(r.spans)) for r in got), key=repr) == sorted(((i, t.count("token")) for i, t in pairs), key=repr)
+
+
 def test_empty_table(spark, docs, tmp_path):
     assert M.scan_secrets(docs([]), M.BlobLedger(spark, str(tmp_path / "ledger"))).count() == 0

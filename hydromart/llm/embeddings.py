@@ -50,11 +50,13 @@ SAMPLE_LEAF = 32  # sampled classes in a leaf, at least
 SEED = 20240
 DENSE_SAMPLE = 8192  # classes of one label that centres are looked for in, at most
 DENSE_LEAST = 4  # sampled neighbours of a dense vector, at least
+FORESTS = 64  # vector lengths that get trees; labels of further lengths are compared in pairs of blocks
 BLOCK = 8192  # vectors of a dense group that are compared with one other block in one task
 
 
 def unit_rows(vectors: list) -> np.ndarray:
     x = np.array([np.asarray(v, np.float64) for v in vectors])
+    x = x / np.abs(x).max(axis=1, keepdims=True)  # squares of very large or small components would leave the range
     return x / np.sqrt((x * x).sum(axis=1, keepdims=True))
 
 
@@ -224,13 +226,15 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, leaf: int = LEAF, t
     deepest = int(np.log2(max(1, sample // SAMPLE_LEAF)))
     level = F.least(F.lit(deepest), F.greatest(F.lit(0), F.ceil(F.log2(F.col("size") / leaf)).cast("int")))
     sizes = sizes.withColumn("levels", level).withColumn("lab", F.xxhash64("label"))  # equal hashes only share centres
-    depth = {r.dim: r.depth for r in sizes.groupBy("dim").agg(F.max("levels").alias("depth")).where("depth > 0")
-             .orderBy("dim").limit(64).collect()}  # vector lengths that need trees
+    need = (sizes.groupBy("dim").agg(F.max("levels").alias("depth")).where("depth > 0")
+            .orderBy("dim").limit(FORESTS + 1).collect())  # vector lengths that need trees
+    depth = {r.dim: r.depth for r in need[:FORESTS]}
+    grown = (F.col("levels") == 0) | F.col("dim").isin(list(depth))  # true for all labels but those of further lengths
     forests, centres = {}, {}
     for dim, d in depth.items():
         chosen = (classes.where(F.col("dim") == dim).join(sizes, ["label", "dim"]).orderBy(F.xxhash64("low"), "low").limit(sample)
                   .select("lab", "size", "levels", "embedding"))
-        held = [(r.lab, r.size if r.levels else 0, np.array(r.embedding, np.float32)) for r in chosen.toLocalIterator()]
+        held = [(r.lab, r.size if r.levels else 0, unit_rows([r.embedding])[0].astype(np.float32)) for r in chosen.toLocalIterator()]
         x, labs, size = unit_rows([h[2] for h in held]), np.array([h[0] for h in held]), np.array([h[1] for h in held])
         rest = np.ones(len(x), bool)
         for lab in np.unique(labs[size > 0]):
@@ -273,7 +277,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, leaf: int = LEAF, t
                             names=["label", "dim", "low", "n", "embedding", "code", "codes"])
 
     kinds = {f.name: f.dataType.simpleString() for f in classes.schema}
-    routed = (classes.join(sizes, ["label", "dim"])
+    routed = (classes.join(sizes.where(grown), ["label", "dim"])
               .select("label", "dim", "low", "n", "embedding", "levels", "lab")
               .mapInArrow(route, f"label {kinds['label']}, dim int, low {kinds['low']}, n long, "
                                  f"embedding {kinds['embedding']}, code long, codes array<long>"))
@@ -293,6 +297,11 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, leaf: int = LEAF, t
                           .applyInPandas(compare, f"a {kinds['low']}, b {kinds['low']}, links long"), "found")
     if centres:
         found = found.unionByName(_dense_links(classes, sizes, sent, scratch, cosine, block))
+    if len(need) > FORESTS:
+        plain = (classes.join(sizes.where(~grown), ["label", "dim"])
+                 .select("label", "dim", "low", "n", "embedding", F.lit(-1).cast("long").alias("centre"),
+                         F.lit(True).alias("core"), F.lit(False).alias("inside")))
+        found = found.unionByName(scratch.write(_block_pairs(plain, cosine, block), "plain_links"))
     counts = found.groupBy(F.col("a").alias("low")).agg(F.sum("links").alias("links"))
     roots = components(found.select("a", "b"), scratch).select(F.col("node").alias("low"), "component")
     settled = (classes.select("label", "dim", "d1", "d2", "low", "n").join(counts, "low", "left").join(roots, "low", "left")
@@ -335,6 +344,13 @@ def _dense_links(classes: DataFrame, sizes: DataFrame, sent, scratch: Scratch, c
     sums = inside.groupBy(*group).agg(F.min("low").alias("lead"), F.sum("n").alias("sum"))
     alike = (inside.select(*group, "low", "n").join(sums, group)
              .select(F.col("low").alias("a"), F.col("lead").alias("b"), (F.col("sum") - F.col("n")).alias("links")))
+    return scratch.write(_block_pairs(dense, cosine, block).unionByName(alike), "dense_links")
+
+
+def _block_pairs(dense: DataFrame, cosine: float, block: int) -> DataFrame:
+    """(a, b, links) of the pairs with a core vector inside every (label, dim, centre), dealt in pairs of blocks."""
+    group = ["label", "dim", "centre"]
+    low_kind = dense.schema["low"].dataType.simpleString()
     blocks = dense.groupBy(*group).agg(F.ceil(F.count("*") / block).cast("int").alias("blocks"))
     own = F.pmod(F.xxhash64("low", "embedding"), F.col("blocks")).cast("int")
     dealt = (dense.join(blocks, group).withColumn("own", own)
@@ -353,9 +369,8 @@ def _dense_links(classes: DataFrame, sizes: DataFrame, sent, scratch: Scratch, c
         return out[(out.a != out.b) | (out.links > 0)]
 
     keys = [*group, "p", "q"]
-    pairs = (dealt.repartition(4 * partitions(classes.sparkSession), *keys).groupBy(*keys)
-             .applyInPandas(compare, f"a {kinds['low']}, b {kinds['low']}, links long"))
-    return scratch.write(pairs.unionByName(alike), "dense_links")
+    return (dealt.repartition(4 * partitions(dense.sparkSession), *keys).groupBy(*keys)
+            .applyInPandas(compare, f"a {low_kind}, b {low_kind}, links long"))
 
 
 def op3_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

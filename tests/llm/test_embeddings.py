@@ -102,3 +102,22 @@ def test_clusters_larger_than_a_leaf_are_exact(spark):
 
 def test_empty_table(spark):
     assert run(spark.createDataFrame([], SCHEMA)) == []
+
+
+def test_very_large_and_very_small_vectors(spark):
+    """Cosine does not depend on length, up to the ends of the double range."""
+    rows = [(1, [1e200, 1e200], 0), (2, [1e200, 1.01e200], 0), (3, [1e-200, 0.0], 0), (4, [2e-200, 0.0], 0), (5, [1.0, 0.0], 0),
+            (6, [5e-324, 0.0], 0), (7, [1.7e308, -1.7e308], 0), (8, [1e-300, -1e-300], 0)]
+    got = run(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"))
+    assert got == [(1, 1, 1), (2, 1, 1), (3, 3, 3), (4, 3, 3), (5, 3, 3), (6, 3, 3), (7, 1, 7), (8, 1, 7)]
+
+
+def test_lengths_beyond_the_forests_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(M, "FORESTS", 1)
+    long = cases(90, dim=16)
+    short = [(i + 5000 if i is not None else None, None if v is None else v[:6], k) for i, v, k in cases(90, dim=6, seed=9)]
+    rows = [r for r in long + short if r[1] is None or len(r[1]) in (6, 16)]
+    got = run(spark.createDataFrame(rows, SCHEMA), leaf=20, block=16)
+    want = brute(rows)
+    few = {i for i, v, _ in rows if v is not None and len(v) == 16}
+    assert [g for g in got if g[0] not in few] == [w for w in want if w[0] not in few]

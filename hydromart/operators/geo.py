@@ -9,11 +9,9 @@ Points are mapped to unit vectors and bucketed in cubes. For a search radius r (
   haversine test as its condition.
 
 Only points not settled by the fine-cube test are paired, and only with neighbours. AQE's skew
-join splits a hot cube across tasks. The nearest-station fallback uses cubes doubling in size
-per level and settles a commune at a level whose best candidate lies within the cube side
-(nothing closer can be outside the 27 neighbours); a commune that saw a farther candidate jumps
-to the level covering it, and only unresolved communes go on, so the work follows the answer
-instead of all pairs.
+join splits a hot cube across tasks. The nearest-station fallback descends through the bounding
+boxes of a station tree (``nearest``), once per place: a place meets the few stations of the leaf
+cubes that can hold its nearest one, however densely they stand, instead of all in a fixed cube.
 """
 
 from __future__ import annotations
@@ -23,7 +21,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hydromart.functions.spatial import chord_for_arc, grid_cell, haversine_m, neighbour_cells
+from hydromart.functions.spatial import chord_for_arc, grid_cell, haversine_m, neighbour_cells, unit_xyz
+from hydromart.operators.nearest import nearest_in_tree, station_tree
 from hydromart.session import checkpoint_dir
 
 # Fixed value: search radius around a commune, metres.
@@ -36,6 +35,12 @@ def _points(df: DataFrame, id_col: str, lat: str, lon: str, prefix: str) -> Data
                     F.col(lon).alias(f"{prefix}lon")))
 
 
+def _on_sphere(points: DataFrame, prefix: str) -> DataFrame:
+    """The points whose coordinates are finite numbers."""
+    x, y, z = unit_xyz(f"{prefix}lat", f"{prefix}lon")
+    return points.where(~F.isnan(x + y + z))
+
+
 def _hit_within(a: DataFrame, b: DataFrame, side: float, radius_m: float) -> DataFrame:
     """Rows of ``a`` with a ``b`` point within the radius: a semi-join on the 27 cubes around ``b``
     that stops at the first hit, so candidate pairs are tested but never written out."""
@@ -93,48 +98,26 @@ def nearest_station(communes: DataFrame, stations: DataFrame, radius_m: float =
                     start_level: int = 0) -> DataFrame:
     """JN-10: nearest station for each commune; ties broken by station code.
 
-    Cubes at level k have side ``chord(r) * 2**k``; stations carry one cube id per level. A
-    commune searches the 27 cubes around it at its current level and is settled when its best
-    candidate lies within the level's side (nothing closer can be outside). A commune that saw a
-    candidate at chord d but is not settled jumps straight to the first level whose side covers
-    d, where it is certain to settle; one without any candidate moves up one level. Each round
-    is one equi-join and one aggregate over communes at mixed levels, checkpointed once: the
-    settled rows and the next round's input are both read back from it (short lineage,
-    executor loss survivable, nothing recomputed at the end). ``start_level=1`` suits the
-    output of ``communes_without_station``, for which level 0 can never settle anything.
+    Every distinct place of the communes descends once through the boxes of a tree of the stations
+    (``nearest``), so neither many communes nor many stations in one neighbourhood make more pairs
+    than places times a few leaves. ``radius_m`` and ``start_level`` say that nothing lies nearer;
+    the descent needs no such hint, and the answer never depends on it.
     """
-    spark = communes.sparkSession
-    c0 = chord_for_arc(radius_m)
-    top = max(start_level, math.ceil(math.log2(2.0 / c0)))  # side >= 2 spans the whole sphere
-    side = F.lit(c0) * F.pow(F.lit(2.0), F.col("lvl"))
-    st = (_points(stations, station_id, station_lat, station_lon, "a_")
-          .withColumn("lvl", F.explode(F.sequence(F.lit(start_level), F.lit(top))))
-          .withColumn("_cell", grid_cell("a_lat", "a_lon", side)))
-    pending = _points(communes, commune_id, commune_lat, commune_lon, "b_").withColumn("lvl", F.lit(start_level))
-    settled = []
-    while True:
-        around = pending.select("*", F.explode(neighbour_cells(grid_cell("b_lat", "b_lon", side))).alias("_cell"))
-        # left join: a commune without any station in its 27 cubes keeps a row with NULL distance
-        pairs = around.join(st, ["lvl", "_cell"], "left").withColumn(
-            "distance_m", haversine_m("a_lat", "a_lon", "b_lat", "b_lon"))
-        order = F.when(F.col("distance_m").isNotNull(), F.struct("distance_m", "a_id"))
-        best = pairs.groupBy("b_id", "b_lat", "b_lon", "lvl").agg(
-            F.min_by(F.struct("a_id", "distance_m"), order).alias("best"))
-        chord_best = 2.0 * F.sin(F.col("best.distance_m") / F.lit(2.0 * 6371008.8))
-        done = F.col("best").isNotNull() & ((chord_best <= side) | (F.col("lvl") >= top))
-        jump = F.ceil(F.log2(chord_best / F.lit(c0)))  # first level whose side covers the candidate
-        nxt = F.least(F.lit(top), F.greatest(F.col("lvl") + 1, F.coalesce(jump, F.col("lvl") + 1))).cast("int")
-        checkpoint_dir(spark)
-        rnd = best.select("*", done.alias("_done"), nxt.alias("_next")).checkpoint(eager=True)
-        settled.append(rnd.where("_done").select(F.col("b_id").alias(commune_id), F.col("best.a_id").alias(station_id),
-                                                 F.col("best.distance_m").alias("distance_m")))
-        pending = rnd.where(~F.col("_done") & (F.col("lvl") < top)).select(
-            "b_id", "b_lat", "b_lon", F.col("_next").alias("lvl"))
-        if pending.isEmpty():
-            break
-    out = settled[0]
-    for s in settled[1:]:
-        out = out.unionByName(s)
+    checkpoint_dir(communes.sparkSession)
+    # the communes often come from a search of their own: run once, read for the places and again for the codes
+    co = _points(communes, commune_id, commune_lat, commune_lon, "b_").checkpoint(eager=True)
+    # as a struct a NULL code counts as a code, the smallest one
+    st = _points(stations, station_id, station_lat, station_lon, "a_").withColumn("a_id", F.struct("a_id"))
+    places = co.select("b_lat", "b_lon").distinct().withColumn("place", F.struct("b_lat", "b_lon"))
+    tree = station_tree(_on_sphere(st, "a_"), "a_id", "a_lat", "a_lon")
+    found = nearest_in_tree(_on_sphere(places, "b_"), tree, "place", "b_lat", "b_lon", "a_id")
+    # coordinates that are no numbers lie as far as can be from everything: there the smallest code wins
+    least = st.agg(F.min("a_id").alias("_least")).where("_least IS NOT NULL")
+    nowhere = F.lit(math.nan)
+    out = (co.join(found.select("place.b_lat", "place.b_lon", "a_id", "distance_m"), ["b_lat", "b_lon"], "left")
+           .crossJoin(F.broadcast(least))
+           .select(F.col("b_id").alias(commune_id), F.coalesce("a_id", "_least")["a_id"].alias(station_id),
+                   F.coalesce("distance_m", haversine_m(nowhere, nowhere, nowhere, nowhere)).alias("distance_m")))
     # a code with several coordinates keeps the nearest of its stations
     nearest = F.min_by(F.struct(station_id, "distance_m"), F.struct("distance_m", station_id)).alias("n")
     return out.groupBy(commune_id).agg(nearest).select(commune_id, f"n.{station_id}", "n.distance_m")

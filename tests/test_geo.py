@@ -91,3 +91,35 @@ def test_far_commune_jumps_levels_and_stays_exact(spark):
     _, nearest = brute(communes, stations, 0.0)  # radius 0: every commune uses the fallback
     got = {x.code_insee: x.code_station for x in geo.nearest_station(co, st, 15000.0).collect()}
     assert got == nearest
+
+
+def test_a_dense_neighbourhood_is_not_paired_whole(spark, monkeypatch):
+    """Stations and communes of one crowded cube used to be paired all with all."""
+    rnd = random.Random(7)
+    stations = [(f"s{i:04d}", 46.5 + rnd.uniform(0, 0.1), 2.5 + rnd.uniform(0, 0.1)) for i in range(1500)]
+    communes = [(f"c{i}", 46.2 + rnd.uniform(0, 0.1), 2.5 + rnd.uniform(0, 0.1)) for i in range(60)]
+    communes += [(f"d{i}", *communes[0][1:]) for i in range(300)]
+    tested, descend = [], geo.nearest_in_tree
+
+    def counted(*args, **kw):
+        found = descend(*args, **kw)
+        tested.append(sum(r.n_tested for r in found.select("n_tested").collect()))
+        return found
+    monkeypatch.setattr(geo, "nearest_in_tree", counted)
+    co, st = spark.createDataFrame(communes, CO), spark.createDataFrame(stations, ST)
+    got = {x.code_insee: x.code_station for x in geo.nearest_station(co, st).collect()}
+    assert got == {c: min((hav(p, q), s) for s, *q in stations)[1] for c, *p in communes}
+    assert tested[0] < 0.1 * 60 * len(stations)
+
+
+def test_codes_that_are_null_and_coordinates_that_are_no_numbers(spark):
+    nan = float("nan")
+    stations = [("b", 46.0, 2.0), (None, 46.0, 2.0), ("c", 40.0, 2.0), ("a", nan, 2.0)]
+    communes = [("x", 45.0, 2.0), ("y", 40.5, 2.0), (None, 40.1, 2.0), ("odd", nan, 1.0), ("z", None, 1.0)]
+    co, st = spark.createDataFrame(communes, CO), spark.createDataFrame(stations, ST)
+    got = {r.code_insee: (r.code_station, round(r.distance_m)) for r in geo.nearest_station(co, st).collect()}
+    half = round(math.pi * EARTH_RADIUS_M)
+    assert got == {"x": (None, 111195), "y": ("c", 55598), None: ("c", 11120), "odd": (None, half)}
+    only = spark.createDataFrame(stations[3:], ST)
+    assert {r.code_insee: r.code_station for r in geo.nearest_station(co, only).collect()} == dict.fromkeys(["x", "y", None, "odd"], "a")
+    assert geo.nearest_station(co, st.limit(0)).collect() == []

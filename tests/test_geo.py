@@ -112,6 +112,23 @@ def test_a_dense_neighbourhood_is_not_paired_whole(spark, monkeypatch):
     assert tested[0] < 0.1 * 60 * len(stations)
 
 
+def test_relevant_stations_descend_once_per_place(spark, monkeypatch):
+    rnd = random.Random(8)
+    stations = [(f"s{i:04d}", 46.5 + rnd.uniform(0, 0.1), 2.5 + rnd.uniform(0, 0.1)) for i in range(800)]
+    communes = [(f"c{i}", 46.2 + rnd.uniform(0, 0.05), 2.5) for i in range(20)] + [(f"d{i}", 46.2, 2.51) for i in range(400)]
+    tested, descend = [], geo.nearest_in_tree
+
+    def counted(*args, **kw):
+        found = descend(*args, **kw)
+        tested.append(sum(r.n_tested for r in found.select("n_tested").collect()))
+        return found
+    monkeypatch.setattr(geo, "nearest_in_tree", counted)
+    rel = geo.relevant_stations(spark.createDataFrame(communes, CO), spark.createDataFrame(stations, ST))
+    near, nearest = brute(communes, stations, 15000.0)
+    assert [x.code_station for x in rel.collect()] == sorted(near | set(nearest.values()))
+    assert len(nearest) == 420 and tested[0] < 0.2 * 21 * len(stations)
+
+
 def test_codes_that_are_null_and_coordinates_that_are_no_numbers(spark):
     nan = float("nan")
     stations = [("b", 46.0, 2.0), (None, 46.0, 2.0), ("c", 40.0, 2.0), ("a", nan, 2.0)]

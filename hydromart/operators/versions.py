@@ -288,7 +288,9 @@ def load_versioned(spark, path: str, batch: DataFrame, source: str, batch_id: st
     cfg = SOURCES[source]
     ent, dat, oth, width = cfg["entity"], cfg["date"], cfg["others"], cfg["width"]
     checkpoint_dir(spark)
-    enriched = enrich_batch(batch, batch_id, inserted_at, content).checkpoint(eager=True)  # parsed once per load
+    # dealt out by key first: a load of one large file (one row group) would otherwise go through one task at every step
+    spread = batch.repartition(*[F.col(c) for c in (ent, dat, *oth)])
+    enriched = enrich_batch(spread, batch_id, inserted_at, content).checkpoint(eager=True)  # parsed once per load
     norm = normalise_keys(enriched, ent, dat, oth, width, prefix="_k_")
     if not norm["rejected"].isEmpty():
         raise LoadRejected("invalid business keys in batch " + batch_id)

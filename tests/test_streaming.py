@@ -116,3 +116,24 @@ def test_a_load_cut_short_is_finished_with_its_first_stamp(spark, tmp_path, monk
     assert log.find("stream-x-0").state == "done"
     with pytest.raises(ValueError, match="no such load"):
         ingest.roll_back_load(spark, raw, log, "stream-x-9")
+
+
+def test_a_load_of_one_file_is_dealt_out_to_several_tasks(spark, tmp_path, monkeypatch):
+    from hydromart.operators import versions
+    rows = [(f"{n:05d}", "2026-10-01", float(n)) for n in range(200)]
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "landed"))
+    parts, check = [], versions.normalise_keys
+
+    def seen(df, *args, **kw):
+        parts.append(df.rdd.getNumPartitions())
+        return check(df, *args, **kw)
+    monkeypatch.setattr(versions, "normalise_keys", seen)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        batch = spark.read.schema(SCHEMA).parquet(str(tmp_path / "landed"))
+        assert versions.load_versioned(spark, str(tmp_path / "raw"), batch, "weather", "one") == 200
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert parts == [4]
+    got = spark.read.parquet(str(tmp_path / "raw")).select("code_INSEE", "date", "rain_sum").collect()
+    assert sorted((r[0], str(r[1]), r[2]) for r in got) == rows
